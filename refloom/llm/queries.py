@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+import corpus_pipeline  # noqa: F401
 
+from .covertree import OP2_SQL, op2_cover_tree
+from .minhash import OP7_SQL, op7_circulant_minhash
 from .packing import op5_hilbert_packing
 from .pii import op1_offset_deobfuscation
 from .sharding import op10_prefix_sum_sharding
+from .substrings import OP3_SQL, op3_recompression
 
 QUERIES = {
     "op1_offset_deobfuscation": op1_offset_deobfuscation,
+    "op2_cover_tree": op2_cover_tree,
+    "op3_recompression": op3_recompression,
     "op5_hilbert_packing": op5_hilbert_packing,
+    "op7_circulant_minhash": op7_circulant_minhash,
     "op10_prefix_sum_sharding": op10_prefix_sum_sharding,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_cover_tree": OP2_SQL, "op3_recompression": OP3_SQL, "op7_circulant_minhash": OP7_SQL}
