@@ -116,7 +116,7 @@ def dual(a: Tree, b: Tree, threshold: float):
         if level == len(RADII):
             ok = cosine >= threshold
             if same:
-                ok &= p < q
+                ok &= p <= q
             yield level, p[ok], q[ok]
             continue
         d = np.sqrt(np.maximum(2 - 2 * cosine, 0))
@@ -175,7 +175,8 @@ def joined(ka, na, ta: Tree, kb, nb, tb: Tree, threshold: float) -> tuple[np.nda
             us, vs = [np.arange(len(low))], [low]
     ids = ka[oa] if same else np.r_[ka[oa], kb[ob]]
     low = roots(len(ids), np.concatenate(us), np.concatenate(vs)) if us else np.arange(len(ids))
-    counts = np.cumsum(ca[:-1]) if same else np.r_[np.cumsum(ca[:-1]), np.cumsum(cb[:-1])]
+    # within one tree each vector has met itself once
+    counts = np.cumsum(ca[:-1]) - wa if same else np.r_[np.cumsum(ca[:-1]), np.cumsum(cb[:-1])]
     at = np.flatnonzero(low != np.arange(len(low)))
     some = np.flatnonzero(counts > 0.5)
     return ids[some], np.rint(counts[some]).astype(np.int64), ids[at], ids[low[at]], low
