@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -62,8 +63,10 @@ class Scratch:
 
     def release(self) -> None:
         """Let Spark remove the shuffle files of finished steps."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
     def _close(self) -> None:
         try:

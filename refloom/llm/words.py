@@ -67,11 +67,13 @@ def chunks(b: pa.RecordBatch, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
 class Words:
     """names: of each word; start, end: its bytes; first: each text's first word, and the number of all at the end."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, table: np.ndarray | None = None):
+        """table: what each byte is read as, for words that are cut or folded in another way; raw keeps the bytes."""
         data, bounds = text_bytes(column)
         self.origin = int(bounds[0])
         data = data[self.origin : int(bounds[-1])]
-        self.data, bounds = (LOWER[data] if lower else data), bounds - bounds[0]
+        table = LOWER if lower else table
+        self.raw, self.data, bounds = data, (data if table is None else table[data]), bounds - bounds[0]
         word = ~SPACE[self.data]
         n = len(word)
         edge = bounds[:-1][(bounds[1:] > bounds[:-1])] if n else np.zeros(0, np.int64)
@@ -85,19 +87,20 @@ class Words:
         self.start, self.end = np.flatnonzero(start), np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.start, bounds)
         self.bounds = bounds
-        self.names = self._hash()
+        self.names = self.named(self.start, self.end)
         self.counts = np.diff(self.first)
 
-    def _hash(self) -> np.ndarray:
-        out, i, n = np.empty(len(self.start), U), 0, len(self.start)
+    def named(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Names of the bytes from start to end (both in order)."""
+        out, i, n = np.empty(len(start), U), 0, len(start)
         while i < n:
-            low = int(self.start[i])
-            j = max(i + 1, int(np.searchsorted(self.end, low + BLOCK, "right")))
-            high = int(self.end[j - 1])
+            low = int(start[i])
+            j = max(i + 1, int(np.searchsorted(end, low + BLOCK, "right")))
+            high = int(end[j - 1])
             up, down = powers(high - low + 1)
             sums = np.zeros(high - low + 1, U)
             np.cumsum((self.data[low:high].astype(U) + U(1)) * up[: high - low], out=sums[1:])
-            s, e = self.start[i:j] - low, self.end[i:j] - low
+            s, e = start[i:j] - low, end[i:j] - low
             out[i:j] = mix((sums[e] - sums[s]) * down[s] ^ (e - s).astype(U) * U(0xD6E8FEB86659FD93))
             i = j
         return out
