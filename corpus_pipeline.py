@@ -1,4 +1,55 @@
-"""A cleaning pipeline over ``documents``: each stage is one operator, written and read again by the next."""
+"""A cleaning pipeline over ``documents``: each stage is one operator, written and read again by the next.
 
-STAGES: list = []
-ORACLE_SQL = None
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from refloom.llm import decontamination, minhash, packing, pii, toxicity
+from refloom.llm.common import Scratch, table
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from all labels and drops documents that score 0.5 or more."""
+    model = toxicity.learn(spark, docs, table(spark, sf_dir, "labels"))
+    return toxicity.accepted(docs, model)
+
+
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each group of near copies (five words, 0.8)."""
+    groups = minhash.near_duplicates(spark, docs, percent=80, rows=5, n_bands=20)
+    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage."""
+    return decontamination.clean(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts a mark in the place of personal data, and counts characters again."""
+    return pii.mask(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full training sequences."""
+    return packing.pack(spark, docs)
+
+
+STAGES = [("toxicity", toxic_out), ("near_duplicates", near_duplicates_out), ("decontamination", benchmark_out), ("personal_data", personal_data_out), ("packing", packed)]
+ORACLE_SQL = None  # a fitted model and a tokenizer decide; tests hold it against a brute-force version
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        old, docs = docs, stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = scratch.save(docs)
+            if i:
+                scratch.drop(old)
+    return docs

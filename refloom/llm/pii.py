@@ -14,6 +14,7 @@ from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import batch, id_text, table
 
@@ -228,14 +229,15 @@ def spans(documents: DataFrame) -> DataFrame:
 
 
 def mask(documents: DataFrame) -> DataFrame:
-    """The documents, all columns, with personal data in ``text`` replaced; other columns stay as they are."""
+    """The documents, all columns, with personal data in ``text`` replaced and ``n_chars``, if there, counted again."""
     at = documents.columns.index("text")
 
     def run(batches):
         for b in batches:
             yield b.set_column(at, b.schema.field(at), pa.array([masked(t.as_py()) for t in b.column(at)], b.schema.field(at).type))
 
-    return documents.mapInArrow(run, documents.schema)
+    out = documents.mapInArrow(run, documents.schema)
+    return out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in documents.columns else out
 
 
 def op1_offset_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,6 +186,16 @@ OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted",
 OUT_DDL = "doc_id long, score double, predicted int, offending array<struct<start:long,end:long,score:double>>"
 
 
+def text_scores(w: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Noisy-or of each text's sentences; the sentence of each word; each text's first sentence; each sentence's score."""
+    number, first = sentences(w)
+    p = sigmoid(model.sentence_scores(w, number, int(first[-1])))
+    logs = np.r_[0, np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))]
+    silent = float(sigmoid(np.array([model.bias]))[0])
+    score = np.where(np.diff(first) > 0, 1 - np.exp(logs[first[1:]] - logs[first[:-1]]), silent)
+    return np.clip(score, 0, 1), number, first, p
+
+
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted and, where toxic, the sentences that say so (code points, from first to last word)."""
 
@@ -193,14 +203,8 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
         for whole in batches:
             for b in chunks(whole):
                 w = Words(b.column("text"), table=FOLD)
-                number, first = sentences(w)
-                n = int(first[-1])
-                p = sigmoid(model.sentence_scores(w, number, n))
-                logs = np.r_[0, np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))]
-                silent = float(sigmoid(np.array([model.bias]))[0])
-                score = np.where(np.diff(first) > 0, 1 - np.exp(logs[first[1:]] - logs[first[:-1]]), silent)
-                score = np.clip(score, 0, 1)
-                begin = np.searchsorted(number, np.arange(n + 1))
+                score, number, first, p = text_scores(w, model)
+                begin = np.searchsorted(number, np.arange(len(p) + 1))
                 found = []
                 for i in range(b.num_rows):
                     spans = None
@@ -216,6 +220,18 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     return id_text(documents).mapInArrow(run, OUT_DDL)
 
 
+def accepted(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents, all columns, without the toxic ones."""
+
+    def run(batches):
+        for whole in batches:
+            for b in chunks(whole):
+                w = Words(b.column("text"), table=FOLD)
+                yield b.filter(pa.array(text_scores(w, model)[0] < 0.5))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame, allowed=None) -> DataFrame:
     """documents, labels (doc_id, toxic) -> doc_id, score, predicted, offending; one row a document.
 
