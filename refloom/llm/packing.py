@@ -7,12 +7,12 @@ The Hilbert index of the point orders the documents; tokens are laid end to end
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import Scratch, batch, id_text, partitions, table
@@ -23,7 +23,6 @@ DIMENSIONS = 3
 END = 0
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 400_000
 
 
 def tokenizer_path() -> str:
@@ -33,32 +32,42 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes. Pieces are looked up once found; the table of pieces is bounded."""
+    """Ids of whole texts as the tokenizer's file gives them, by a faster encoder over the same vocabulary.
+
+    The file's byte-level vocabulary becomes a table of ranks. That is the same tokenizer only if merges are in the
+    order of their ids and its pattern is the known one; otherwise, and for a text with a special token's string, the
+    file's own library encodes.
+    """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(PATTERN).findall
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.whole(text)
-        found = self.split(text)
-        known = self.known
-        new = [p for p in set(found) if p not in known]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list(set(found))
-        if new:
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, found))
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, before = file["model"], file.get("pre_tokenizer") or {}
+        vocabulary = {k: v for k, v in model["vocab"].items() if k not in self.special}
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        ids = [vocabulary.get("".join(m), -1) for m in pairs]
+        plain = ids == sorted(ids) and ids[:1] != [-1] and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and not file.get("normalizer")
+        letter = {c: b for b, c in byte_letters().items()}
+        ranks = {bytes(letter[c] for c in k): v for k, v in vocabulary.items()} if plain else None
+        self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary if plain else None
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, text: str) -> list[int]:
+        return self.whole(text) if self.fast is None or any(s in text for s in self.special) else self.fast(text)
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -113,7 +122,7 @@ def tokens(documents: DataFrame, path: str) -> DataFrame:
                 b = whole.slice(at, 256)
                 packed, points = [], []
                 for text in b.column("text"):
-                    ids = np.frombuffer(encode(text.as_py() or "") + END.to_bytes(4, "little"), "<u4")
+                    ids = np.array([*encode(text.as_py() or ""), END], "<u4")
                     points.append(curve_key(ids, signs))
                     packed.append(ids.astype("<u2").tobytes() if int(ids.max()) < 65536 else b"\0" + ids.tobytes())
                 z = np.array(points).reshape(-1, DIMENSIONS)
