@@ -23,7 +23,9 @@ from .common import Scratch, batch, id_text, table
 from .words import U, Words, chunks, content, mix, prefix_sums
 
 WINDOW = 13
-ROUNDS = 2
+ROUNDS = 3
+#: A symbol that depends on at least so many words stands for a window rather than one that depends on fewer: it is rarer.
+LONG = 6
 
 
 def recompress(names: np.ndarray, bounds: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,7 +107,8 @@ class Windows:
         key = mix(content(sums, clipped[0], np.maximum(*clipped)) ^ symbol)
         self.symbol = np.empty(len(self.word), U)
         self.at = np.full(len(self.word), -1, np.int64)
-        self.at[inside] = least_in_ranges(key, start[inside], end[inside])
+        order = np.where(high - low + 1 < LONG, U(1 << 63), U(0)) | (key >> U(1))
+        self.at[inside] = least_in_ranges(order, start[inside], end[inside])
         self.symbol[inside] = key[self.at[inside]]
         rest = ~inside  # only where no symbol depends on the window alone: the window stands for itself
         self.symbol[rest] = mix(content(sums, self.word[rest], self.word[rest] + WINDOW) ^ U(0x5BD1E995))
@@ -136,8 +139,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-SEGMENTS = pa.schema([("symbol", pa.int64()), ("segment", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int32()), ("first", pa.int32()), ("size", pa.int32())])
-DDL = "symbol long, segment long, doc_id long, part int, first int, size int"
+SEGMENTS = pa.schema([("symbol", pa.int64()), ("segment", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int32()), ("span", pa.int64())])
+DDL = "symbol long, segment long, doc_id long, part int, span long"
+
+
+def packed(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The first window and the number of windows in one number."""
+    return first << 32 | size
+
+
+def spans_of(values: list[int] | None) -> np.ndarray:
+    """Rows of (first, size)."""
+    x = np.array(values or [], np.int64)
+    return np.stack([x >> 32, x & 0xFFFFFFFF], axis=1)
 
 
 def segment_rows(rows: DataFrame) -> DataFrame:
@@ -148,7 +162,7 @@ def segment_rows(rows: DataFrame) -> DataFrame:
                 w = Windows(words.names, words.first)
                 first, size, name = w.segments()
                 row = w.row[first]
-                yield batch(SEGMENTS, signed(w.symbol[first]), signed(name), b.column("doc_id").take(pa.array(row)), b.column("part").take(pa.array(row)), w.place[first].astype(np.int32), size.astype(np.int32))
+                yield batch(SEGMENTS, signed(w.symbol[first]), signed(name), b.column("doc_id").take(pa.array(row)), b.column("part").take(pa.array(row)), packed(w.place[first], size))
 
     return rows.filter("doc_id is not null").mapInArrow(run, DDL)
 
@@ -173,7 +187,7 @@ def covered(n: int, first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def applied(rows: DataFrame) -> DataFrame:
-    """Takes rows with ``known`` (repeated segments) and ``open`` (first, size: their windows must still be looked up)."""
+    """Takes rows with ``known`` (repeated segments) and ``open`` (their windows must still be looked up)."""
 
     def run(batches):
         for whole in batches:
@@ -188,13 +202,13 @@ def applied(rows: DataFrame) -> DataFrame:
                     sub = Windows(words.names[np.repeat(some, words.counts)], np.r_[0, np.cumsum(words.counts[some])])
                     begin = np.searchsorted(sub.row, np.arange(len(ask)))
                     for j, i in enumerate(ask):
-                        spans = np.array([(x["first"], x["size"]) for x in later[i].as_py()], np.int64)
+                        spans = spans_of(later[i].as_py())
                         at, name = sub.names(spans[:, 0] + begin[j], spans[:, 1])
                         windows[i] = pa.StructArray.from_arrays([pa.array(signed(sub.symbol[at])), pa.array(signed(name)), pa.array(sub.place[at].astype(np.int32))], ["symbol", "name", "place"]).to_pylist()
                 out = []
                 for i in range(b.num_rows):
                     n, text = int(words.counts[i]), b.column("text")[i].as_py()
-                    spans = np.array([(x["first"], x["size"]) for x in known[i].as_py() or ()], np.int64).reshape(-1, 2)
+                    spans = spans_of(known[i].as_py())
                     removed = covered(n, spans[:, 0], spans[:, 1]) if len(spans) else np.zeros(n, bool)
                     wait = i in windows
                     out.append((n, np.packbits(removed).tobytes() if wait else None, text if wait else None, windows.get(i), int(removed.sum()), None if wait else kept_words(text, removed)))
@@ -252,8 +266,8 @@ def repeats_removed(spark: SparkSession, documents: DataFrame) -> DataFrame:
     # A segment seen first here, of a symbol seen before: some of its windows may have been seen.
     contested = shared.filter("doc_id = owner and doc_id > least").select("symbol").distinct()
     asked = shared.filter("doc_id = owner").join(contested, "symbol", "left_semi")
-    spans = shared.filter("doc_id > owner").select("doc_id", "part", F.struct("first", "size").alias("known"), F.lit(None).cast("struct<first:int,size:int>").alias("open"))
-    spans = spans.unionByName(asked.select("doc_id", "part", F.lit(None).cast("struct<first:int,size:int>").alias("known"), F.struct("first", "size").alias("open")))
+    spans = shared.filter("doc_id > owner").select("doc_id", "part", F.col("span").alias("known"), F.lit(None).cast("long").alias("open"))
+    spans = spans.unionByName(asked.select("doc_id", "part", F.lit(None).cast("long").alias("known"), F.col("span").alias("open")))
     by_document = spans.groupBy("doc_id", "part").agg(F.collect_list("known").alias("known"), F.collect_list("open").alias("open"))  # at most a document's own segments
     state = scratch.save(applied(rows.join(by_document.hint("shuffle_hash"), ["doc_id", "part"], "left").select("doc_id", "part", "text", "known", "open")))
     scratch.drop(shared)
