@@ -1,4 +1,528 @@
-"""Registered queries of the engine and their SQL."""
+"""Registered queries of the engine and their SQL for another engine.
+
+The tables hold no identifiers, so each query puts some in by an expression that both engines read alike.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import identifiers as I
+from .functions import similarity as S
+from .functions import text as T
+from .operators import authority as A
+from .operators import candidates as C
+from .operators import decisions as D
+from .plans import records as P
+from .sources import files, front_page
+
+# ---------------------------------------------------------------- inputs, in SQL that both engines read
+PAD = "lpad(cast(doc_id % 100000 as string), 5, '0')"
+RAW = f"""CASE doc_id % 16
+ WHEN 0 THEN 'https://doi.org/10.1021/acs' || doc_id || ']' WHEN 1 THEN '10.1002/ange.2019' || {PAD}
+ WHEN 2 THEN '10.21203/rs.3.rs-' || doc_id || '_v1' WHEN 3 THEN '10.1002/((please'
+ WHEN 4 THEN 'DOI: 10.1016/S0378-7753(98)' || {PAD} || '-9;' WHEN 5 THEN '10.1000/abc.' || doc_id || ').;)'
+ WHEN 6 THEN '10.1039/x0xx00000x' WHEN 7 THEN '10.1002/adma.2024' || {PAD} || '.Advanced'
+ WHEN 8 THEN '10.1007/s' || doc_id || '5.Conclusion' WHEN 9 THEN '10.1021/jp' || doc_id || '/suppl_file/x.pdf'
+ WHEN 10 THEN '10.1149/2.' || doc_id || 'jes&gt;<b>' WHEN 11 THEN '10.1088/2053-1591/0/0/000'
+ WHEN 12 THEN 'doi.org/10.5555/A(' || doc_id || ')b)].' WHEN 13 THEN '10.1002/anie.2020' || {PAD} || 'wileyonline.text'
+ WHEN 14 THEN '10.1016/j.' || source || '.' || doc_id || ';10.1000/next' ELSE '10.' || doc_id || '/short' END"""
+# A whole text with an identifier after it; every third has a second, spaced or broken one.
+TEXT = f"""coalesce(text, '') || ' doi: 10.' || (1000 + doc_id % 7) || '/j.' || lang || '.' || doc_id || '. ' ||
+ CASE doc_id % 3 WHEN 0 THEN 'see 10.1021/acs.' || doc_id || ', too' WHEN 1 THEN 'and http://dx.doi.org/10.1002/anie.2019' || {PAD} || ')' ELSE '' END"""
+STEM = f"""CASE doc_id % 6 WHEN 0 THEN '10.1016_j.' || source || '.' || doc_id WHEN 1 THEN '1-s2.0-S03787753' || '98' || {PAD} || '9-main'
+ WHEN 2 THEN 'paper_ssrn-' || (10000 + doc_id) || '_final' WHEN 3 THEN '10.1149_1945-7111_ac' || doc_id
+ WHEN 4 THEN '10.1021_acs.' || doc_id || '_si_001' ELSE 'notes on ' || source || ' ' || doc_id END"""
+TITLE = "CASE doc_id % 9 WHEN 0 THEN 'Abstract' WHEN 1 THEN 'Microsoft Word' WHEN 2 THEN '  ' WHEN 3 THEN 'Master''s thesis of ' || source WHEN 4 THEN 'β-phase <i>' || source || '</i> films – a study_of ' || lang || ' growth' ELSE coalesce(text, '') END"
+SOURCES = ("filename_doi", "markdown_references_front", "xmp_tag_prism:doi_0", "pypdf_page_1", "raw_pdf_bytes", "ocr_body", "grobid_doi", "crossref_title_search", "llm_candidate", "markdown_front", "other")
+SOURCE_SQL = "CASE (doc_id + k * 5) % 11 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(SOURCES)) + " END"
+SCORES = "((doc_id * 37) % 101) / 100.0"
+SCORES_A = "((doc_id * 53) % 101) / 100.0"
+SCORES_C = "((doc_id * 71) % 101) / 100.0"
+FACTS = f"""doc_id, cast({SCORES} as double) AS t, cast({SCORES_A} as double) AS a, cast({SCORES_C} as double) AS c, doc_id % 13 <> 0 AS doi, doc_id % 3 = 0 AS ff,
+ doc_id % 4 = 0 AS no_authors, doc_id % 5 = 0 AS bad_title, doc_id % 7 <> 0 AS res, doc_id % 11 < 5 AS mainstream, doc_id % 6 = 0 AS search,
+ doc_id % 8 AS title_words, doc_id % 10 = 0 AS prefix_variant, doc_id % 2 = 0 AS useful, doc_id % 3 <> 1 AS visible, doc_id % 17 = 0 AS suspicious, doc_id % 19 = 0 AS "references" """
+PEOPLE = "'Ana ' || source || '; Bob de ' || lang || ' and C. ' || upper(source) || 'son'"
+WORK_PEOPLE = "CASE doc_id % 3 WHEN 0 THEN 'A. ' || source || ';Someone Else' WHEN 1 THEN 'Other Person' ELSE 'de ' || lang || ', and Xu Li' END"
+SHORT_A = "'Growth of ' || source || ' films in ' || lang || ' oxide layers number ' || (doc_id % 10)"
+SHORT_B = "CASE doc_id % 4 WHEN 0 THEN 'Growth of ' || source || ' films in ' || lang || ' oxide layers number ' || (doc_id % 10) WHEN 1 THEN 'Growth of ' || source || ' films' WHEN 2 THEN 'Films of ' || lang || ' oxide: growth and ' || source ELSE 'An unrelated ' || lang || ' title' END"
+JSON = """'{"message":{"DOI":"10.1000/x' || doc_id || '","title":["","Work ' || doc_id || '"],"author":[{"given":"A","family":"' || source || '"},{"family":"B"}],"container-title":["J ' || lang || '"],"publisher":"P","issued":{"date-parts":[[' || (1990 + doc_id % 30) || ',1]]},"type":"journal-article"}}'"""
+MARKDOWN = "coalesce(text, '') || chr(10) || '## References' || chr(10) || '[1] doi:10.1000/ref.' || doc_id || chr(10)"
+
+
+def docs(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    quoted = [c.replace('"references"', "`references`") for c in columns]
+    return spark.read.parquet(f"{d}/documents.parquet").selectExpr(*quoted)
+
+
+# ---------------------------------------------------------------- pieces of SQL for the other engine
+def q_clean(x: str) -> str:
+    return f"regexp_replace(translate(coalesce({x}, ''), chr(13) || chr(10), '  '), '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g')"
+
+
+def q_norm(x: str) -> str:
+    y = f"lower({q_clean(x)})"
+    for a, b in T.GREEK:
+        y = f"replace({y}, '{a}', '{b}')"
+    y = f"translate({y}, '{T.DASHES}', '{'-' * len(T.DASHES)}')"
+    return f"trim(regexp_replace(regexp_replace({y}, '<[^>]+>', ' ', 'g'), '[^\\pL\\pN]+', ' ', 'g'))"
+
+
+def q_plausible(x: str) -> str:
+    return f"""(regexp_full_match({x}, '(?i)10\\.\\d{{4,9}}/[-._;()/:+A-Z0-9_]+') AND length({x}) BETWEEN 8 AND 300 AND lower({x}) <> '{I.PLACEHOLDER}'
+      AND NOT regexp_matches({x}, '(?i)^10\\.1088/2053-1591/0/0/0+$') AND NOT regexp_matches({x}, '{I.PLACEHOLDER_WORDS}') AND NOT regexp_matches({x}, '^[^/]*/\\(\\(')
+      AND length(replace({x}, '(', '')) = length(replace({x}, ')', '')) AND NOT regexp_matches({x}, '(?i)/\\(?ISSN\\)?'))"""
+
+
+def q_normalize(rows: str, keep: str) -> str:
+    """CTEs over ``rows`` (keep, raw), the last one named ``normal`` with ``doi``."""
+    r = lambda x, p, to="": f"regexp_replace({x}, '{p}', '{to}')"
+    edge = "[ \\t\\r\\n\"''<>\\[\\]{}(.,;:)]"
+    steps = r("raw", f"^{edge}+")
+    steps = r(steps, f"{edge}+$")
+    for p in ("(?i)^https?://(?:dx\\.)?doi\\.org/", "(?i)^(?:dx\\.)?doi\\.org/", "(?i)^doi\\s*[:=]\\s*"):
+        steps = r(steps, p)
+    steps = f"regexp_replace(replace({steps}, '\\/', '/'), '\\\\\\s*|\\s+', '', 'g')"
+    steps = r(steps, "(?s)[;,，。]+10\\.\\d{4,9}/.*")
+    steps = f"replace(replace({steps}, '&gt', ''), '&lt', '')"
+    for p in ("(?i)\\)tj$", "(?s)\\)/[A-Za-z]+.*", "(?is)/suppl_file/.*", "(?is)\\.?doi[:=].*"):
+        steps = r(steps, p)
+    steps = r(steps, "(?i)^(10\\.1002/\\d{10,13})\\.fmatter$", "\\1")
+    steps = r(steps, "(?is)(?:<|%0a|%0d).*")
+    steps = r(steps, "(?i)^(10\\.21203/rs\\.3\\.rs-[a-z0-9-]+)_v(\\d+)$", "\\1/v\\2")
+    steps = r(steps, "(?i)^(10\\.1002/)ange(\\.\\d+)$", "\\1anie\\2")
+    w = [f"regexp_extract(d1, '{p}', 1)" for p in I.WILEY_TAILS]
+    s = f"regexp_extract(d2, '{I.SENTENCE_TAIL}', 1)"
+    run = "regexp_extract(d3, '([.,;:''\"\\]}>)]*)$', 1)"
+    return f"""n1 AS (SELECT {keep}, {steps} AS d1 FROM ({rows})),
+    n2 AS (SELECT {keep}, CASE WHEN {q_plausible(w[0])} THEN {w[0]} WHEN {q_plausible(w[1])} THEN {w[1]} ELSE d1 END AS d2 FROM n1),
+    n3 AS (SELECT {keep}, CASE WHEN {q_plausible(s)} THEN {s} ELSE d2 END AS d3 FROM n2),
+    n4 AS (SELECT {keep}, d3, {run} AS tail, greatest(0, length(replace(d3, '(', '')) - length(replace(d3, ')', ''))) AS excess FROM n3),
+    n5 AS (SELECT {keep}, d3, tail, string_split(tail, ')') AS parts, len(string_split(tail, ')')) - 1 - excess AS kept FROM n4),
+    normal AS (SELECT {keep}, left(d3, length(d3) - length(tail)) || CASE WHEN kept <= 0 THEN '' ELSE array_to_string(parts[1:kept], ')') || ')' END AS doi FROM n5)"""
+
+
+def q_group(x: str) -> str:
+    return "CASE " + " ".join(f"WHEN starts_with({x}, '{a}') THEN '{b}'" for a, b in I.GROUPS) + " ELSE 'unknown' END"
+
+
+def q_weight(x: str) -> str:
+    return "CASE " + " ".join(f"WHEN starts_with({x}, '{a}') THEN '{b}'" for a, b in I.WEIGHTS) + " ELSE 'low' END"
+
+
+def q_bad(x: str) -> str:
+    empty = T.EMPTY_TITLES.replace("'", "''")
+    return f"(length({q_norm(x)}) < 5 OR regexp_matches({q_clean(x)}, '{empty}') OR {q_norm(x)} IN {T.EMPTY_NORMAL_TITLES})"
+
+
+def q_foreign(x: str, words: str) -> str:
+    return f"regexp_matches({q_clean(x)}, '(?i)({words.replace(chr(39), chr(39) * 2)})')"
+
+
+def q_authors(x: str) -> str:
+    return f"list_filter(list_transform(string_split_regex({q_clean(x)}, ';|, and | and '), lambda s: trim(s)), lambda s: s <> '')"
+
+
+def q_words(x: str) -> str:
+    return f"list_filter(string_split({q_norm(x)}, ' '), lambda w: w <> '')"
+
+
+def q_overlap(a: str, b: str) -> str:
+    return f"len(list_intersect(list_distinct({q_words(a)}), list_distinct({q_words(b)}))) / greatest(len(list_distinct({q_words(a)})), 1)"
+
+
+def q_containment(a: str, b: str) -> str:
+    x, y = q_norm(a), q_norm(b)
+    return f"CASE WHEN {x} <> '' AND {y} <> '' AND (contains({x}, {y}) OR contains({y}, {x})) THEN least(length({x}), length({y})) / greatest(length({x}), length({y})) ELSE 0 END"
+
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---------------------------------------------------------------- identifiers
+@query(f"WITH {q_normalize(f'SELECT doc_id, {RAW} AS raw FROM documents', 'doc_id')} SELECT doc_id, doi, {q_plausible('doi')} AS plausible FROM normal")
+def doi_normalize(spark, d):
+    doi = I.normalize(F.expr(RAW))
+    return docs(spark, d, "doc_id", "source").select("doc_id", doi.alias("doi"), I.is_plausible(doi).alias("plausible"))
+
+
+_SCAN_SQL = f"SELECT doc_id, regexp_extract_all(x, '{I.SCAN}', 1) AS ms FROM (SELECT doc_id, {TEXT} AS x FROM documents)"
+_SCAN_ROWS = f"SELECT doc_id, unnest(ms) AS raw, unnest(range(1, len(ms) + 1)) - 1 AS ord FROM ({_SCAN_SQL})"
+
+
+@query(f"WITH {q_normalize(_SCAN_ROWS, 'doc_id, ord')} SELECT doc_id, ord::BIGINT AS ord, doi FROM normal WHERE {q_plausible('doi')}")
+def doi_scan(spark, d):
+    hits = C.explode_hits(docs(spark, d, "doc_id", "text", "lang").select("doc_id", F.expr(TEXT).alias("x")), "doc_id", I.find(F.col("x"), F.lit("text")))
+    return hits.select("doc_id", F.col("ord").cast("long").alias("ord"), "doi")
+
+
+@query(f"""SELECT doc_id, trim(regexp_replace(substring(x, greatest(1, at - 80), at + n + 80 - greatest(1, at - 80)), '\\s+', ' ', 'g')) AS context
+FROM (SELECT doc_id, x, strpos(x, m) AS at, length(m) AS n FROM (SELECT doc_id, x, regexp_extract(x, '{I.SCAN}', 0) AS m FROM (SELECT doc_id, {TEXT} AS x FROM documents)))""".replace(" at ", " pos ").replace("at - 80", "pos - 80").replace("at + n", "pos + n").replace("AS at,", "AS pos,"))
+def doi_context(spark, d):
+    hits = I.find(F.col("x"), F.lit("text"))
+    return docs(spark, d, "doc_id", "text", "lang").select("doc_id", F.expr(TEXT).alias("x")).select("doc_id", F.get(hits, F.lit(0))["context"].alias("context"))
+
+
+@query()
+def doi_scan_spaced(spark, d):
+    x = F.concat(F.expr(TEXT), F.lit(" 10 . 1021 / jp"), F.col("doc_id"), F.lit(" . s001 and 10.1000/a\\\n b"))
+    return C.explode_hits(docs(spark, d, "doc_id", "text", "lang").select("doc_id", x.alias("x")), "doc_id", I.find(F.col("x"), F.lit("text"), spaced=True)).select("doc_id", "ord", "doi", "context")
+
+
+_PII = "regexp_replace(stem, '[^A-Za-z0-9]', '', 'g')"
+
+
+def _pii(i: int) -> str:
+    return f"regexp_extract(p, '(?i)^(?:101016)?S(\\d{{8}})(\\d{{2}})(\\d{{5}})([0-9X])', {i})"
+
+
+@query(f"""SELECT doc_id, CASE WHEN {_pii(1)} <> '' THEN '10.1016/S' || left({_pii(1)}, 4) || '-' || right({_pii(1)}, 4) || '(' || {_pii(2)} || ')' || {_pii(3)} || '-' || upper({_pii(4)}) ELSE '' END AS pii,
+CASE WHEN regexp_extract(stem, '(?i)(?:^|[^A-Za-z0-9])ssrn[-_]?(\\d{{5,10}})(?:[^0-9]|$)', 1) <> '' THEN '10.2139/ssrn.' || regexp_extract(stem, '(?i)(?:^|[^A-Za-z0-9])ssrn[-_]?(\\d{{5,10}})(?:[^0-9]|$)', 1) ELSE '' END AS ssrn
+FROM (SELECT doc_id, stem, regexp_replace(regexp_replace(stem, '^1-s2.0-', ''), '[^A-Za-z0-9]', '', 'g') AS p FROM (SELECT doc_id, {STEM} AS stem FROM documents))""")
+def filename_codes(spark, d):
+    df = docs(spark, d, "doc_id", f"{STEM} AS stem")
+    return df.select("doc_id", I.from_pii(F.regexp_replace("stem", r"^1-s2.0-", "")).alias("pii"), I.from_ssrn(F.col("stem")).alias("ssrn"))
+
+
+@query(f"""WITH s AS (SELECT doc_id, {STEM} AS stem FROM documents),
+x AS (SELECT doc_id, regexp_extract(stem, '^(10\\.\\d{{4,9}})_(.+)$', 1) AS p, regexp_extract(stem, '^(10\\.\\d{{4,9}})_(.+)$', 2) AS q FROM s),
+{q_normalize("SELECT doc_id, p || '/' || q AS raw FROM x WHERE p <> '' AND NOT regexp_matches(q, '(?i)(?:^|[_.-])(si|supp|supporting)(?:[_.-]|[0-9]{1,4}$|$)')", "doc_id")}
+SELECT doc_id, doi FROM normal WHERE {q_plausible('doi')}""")
+def filename_doi(spark, d):
+    hits = C.explode_hits(docs(spark, d, "doc_id", f"{STEM} AS stem"), "doc_id", I.scan_filename(F.col("stem")))
+    return hits.filter("source = 'filename_doi'").select("doc_id", "doi")
+
+
+@query(f"SELECT doc_id, k, s AS source, {q_group('s')} AS source_group, {q_weight('s')} AS weight FROM (SELECT doc_id, k, {SOURCE_SQL} AS s FROM documents, range(3) r(k))")
+def source_weight(spark, d):
+    df = docs(spark, d, "doc_id").select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(2))).cast("long").alias("k")).withColumn("source", F.expr(SOURCE_SQL))
+    return df.withColumn("source_group", I.source_group(F.col("source"))).withColumn("weight", I.source_weight(F.col("source")))
+
+
+_CAND = f"SELECT doc_id, k AS ord, {SOURCE_SQL} AS source, CASE WHEN (doc_id + k) % 3 = 0 THEN '10.1000/A.' || doc_id ELSE '10.1000/' || CASE WHEN k % 2 = 0 THEN 'a.' ELSE 'b.' END || doc_id END AS doi"
+
+
+def _candidates(spark, d):
+    df = docs(spark, d, "doc_id").select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"))
+    return df.selectExpr("doc_id", "k", "k AS ord", f"{SOURCE_SQL} AS source", _CAND.split(" AS source, ")[1].removesuffix(" AS doi") + " AS doi")
+
+
+_CHOICE = f"""WITH c AS (SELECT *, {q_group('source')} AS grp, {q_weight('source')} AS conf FROM ({_CAND} FROM documents, range(5) r(k))),
+w AS (SELECT *, CASE conf WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END AS wt FROM c WHERE {q_plausible('doi')}),
+g AS (SELECT doc_id, lower(doi) AS key, count(DISTINCT CASE WHEN grp <> 'filename' THEN grp END) AS ng, max(wt) AS mw, count(*) AS n, min(ord) AS o, arg_min(doi, ord) AS doi, arg_min(source, ord) AS source, arg_max(conf, wt * 1000 - ord) AS conf FROM w GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ng DESC, mw DESC, n DESC, o) AS rn FROM g),
+b AS (SELECT doc_id, doi, CASE WHEN ng = 0 THEN 'review' WHEN ng >= 2 THEN 'high' ELSE conf END AS confidence, CASE WHEN ng = 0 THEN 'filename_only_candidate_requires_validation' WHEN ng >= 2 THEN 'multiple_independent_sources' ELSE 'selected_by_source_weight' END AS doi_decision, source AS doi_source FROM r WHERE rn = 1),
+f AS (SELECT *, CASE WHEN confidence = 'review' THEN 'review' ELSE 'ok' END AS status FROM b)"""
+
+
+@query(f"{_CHOICE} SELECT * FROM f")
+def choose_candidate(spark, d):
+    return C.chosen_for_all(docs(spark, d, "doc_id"), C.to_candidates(_candidates(spark, d), "doc_id"), "doc_id")
+
+
+@query(f"{_CHOICE} SELECT status, confidence, count(*)::BIGINT AS n FROM f GROUP BY 1, 2")
+def status_counts(spark, d):
+    return choose_candidate(spark, d).groupBy("status", "confidence").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT doc_id, lower(doi) AS doi_key, source, min(ord)::BIGINT AS ord FROM ({_CAND} FROM documents, range(5) r(k)) GROUP BY 1, 2, 3")
+def hit_dedup(spark, d):
+    return C.unique_hits(_candidates(spark, d), "doc_id").select("doc_id", F.lower("doi").alias("doi_key"), "source", F.col("ord").cast("long").alias("ord"))
+
+
+@query("""WITH d AS (SELECT doc_id, unnest(['10.1000/a.' || (doc_id % 50), '10.1000/a.' || (doc_id % 50) || '.s1', '10.1000/a.' || (doc_id % 50) || 'x', '10.1000/a.' || (doc_id % 50) || '/b/c', '10.1000/a.' || (doc_id % 50) || '/b']) AS doi FROM documents)
+SELECT x.doc_id, x.doi FROM d x WHERE NOT EXISTS (SELECT 1 FROM d y WHERE y.doc_id = x.doc_id AND (starts_with(y.doi, x.doi || '.') OR starts_with(y.doi, x.doi || '/')))""")
+def prefix_subsume(spark, d):
+    base = F.concat(F.lit("10.1000/a."), (F.col("doc_id") % 50).cast("string"))
+    df = docs(spark, d, "doc_id").select("doc_id", F.explode(F.array(base, *[F.concat(base, F.lit(x)) for x in (".s1", "x", "/b/c", "/b")])).alias("doi"))
+    return C.longest_only(df, "doc_id")
+
+
+# ---------------------------------------------------------------- text
+_LINES = f"string_split(regexp_replace({MARKDOWN}, '\\r\\n|[\\r\\x0B\\x0C\\x1C-\\x1E\\x{{0085}}\\x{{2028}}\\x{{2029}}]', chr(10), 'g'), chr(10))"
+
+
+@query(f"""WITH l AS (SELECT doc_id, {_LINES} AS x FROM documents), m AS (SELECT doc_id, CASE WHEN x[-1] = '' THEN x[1:len(x) - 1] ELSE x END AS x FROM l),
+r AS (SELECT doc_id, x, coalesce(list_position(list_transform(x, lambda s: regexp_matches(trim(s), '(?i)^#*\\s*(references|bibliography)\\s*$')), true) - 1, len(x)) AS e FROM m)
+SELECT doc_id, array_to_string(x[1:least(150, e)], chr(10)) AS front, CASE WHEN e > 150 THEN array_to_string(x[151:e], chr(10)) ELSE '' END AS body, array_to_string(x[e + 1:], chr(10)) AS refs FROM r""")
+def markdown_sections(spark, d):
+    s = docs(spark, d, "doc_id", f"{MARKDOWN} AS x").select("doc_id", T.sections(F.col("x")).alias("s"))
+    return s.select("doc_id", "s.front", "s.body", F.col("s.references").alias("refs"))
+
+
+@query(f"SELECT doc_id, {q_norm(TITLE)} AS normal FROM documents")
+def norm_text(spark, d):
+    return docs(spark, d, "doc_id", f"{TITLE} AS x").select("doc_id", T.norm_text(F.col("x")).alias("normal"))
+
+
+@query(f"""SELECT doc_id, {q_bad('x')} AS bad, {q_bad('x')} OR {q_foreign('x', T.FOREIGN_TITLE)} AS bad_local, {q_bad('x')} OR length({q_norm('x')}) < 8 OR {q_foreign('x', T.FOREIGN_TITLE_MORE)} AS bad_hard FROM (SELECT doc_id, {TITLE} AS x FROM documents)""")
+def bad_title(spark, d):
+    x = F.col("x")
+    return docs(spark, d, "doc_id", f"{TITLE} AS x").select("doc_id", T.is_bad_title(x).alias("bad"), T.local_title_is_bad(x).alias("bad_local"), T.title_is_bad(x).alias("bad_hard"))
+
+
+_LONG = f"list_filter({q_words('x')}, lambda w: length(w) >= 3)"
+_USEFUL = f"(length({q_clean('x')}) <= 280 AND length({q_norm('x')}) >= 18 AND len({_LONG}) >= 4 AND NOT ({q_bad('x')} OR length({q_norm('x')}) < 8 OR {q_foreign('x', T.FOREIGN_TITLE_MORE)}))"
+
+
+@query(f"SELECT doc_id, {_USEFUL} AND len(list_filter({_LONG}, lambda w: w NOT IN {T.DOMAIN_STOP_WORDS})) >= 2 AS useful, {_USEFUL} AS useful_ocr FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN {SHORT_A} ELSE 'lithium battery electrode ' || lang END AS x FROM documents)")
+def useful_title(spark, d):
+    x = F.col("x")
+    return docs(spark, d, "doc_id", f"CASE WHEN doc_id % 2 = 0 THEN {SHORT_A} ELSE 'lithium battery electrode ' || lang END AS x").select("doc_id", T.useful_title(x).alias("useful"), T.useful_title(x, domain=False).alias("useful_ocr"))
+
+
+@query(f"SELECT doc_id, len({q_authors(PEOPLE)})::BIGINT AS n, array_to_string({q_authors(PEOPLE)}, '|') AS names FROM documents")
+def parse_authors(spark, d):
+    a = T.parse_authors(F.expr(PEOPLE))
+    return docs(spark, d, "doc_id", "source", "lang").select("doc_id", F.size(a).cast("long").alias("n"), F.array_join(a, "|").alias("names"))
+
+
+_KEYS = lambda a: f"list_transform({a}, lambda p: list_filter(string_split({q_norm('p')}, ' '), lambda w: length(w) >= 2))"
+
+
+@query(f"""WITH k AS (SELECT doc_id, list_transform({_KEYS(q_authors(PEOPLE))}, lambda w: CASE WHEN len(w) > 0 THEN [array_to_string(w, ''), w[-1]] ELSE [] END) AS q,
+ flatten(list_transform({_KEYS(q_authors(WORK_PEOPLE))}, lambda w: CASE WHEN len(w) > 0 THEN [array_to_string(w, ''), w[-1]] ELSE [] END)) AS ws FROM documents)
+SELECT doc_id, CASE WHEN len(q) > 0 AND len(ws) > 0 THEN round(len(list_filter(q, lambda ks: len(list_filter(ks, lambda x: len(list_filter(ws, lambda y: contains(y, x) OR contains(x, y))) > 0)) > 0)) / len(q), 4) ELSE 0 END AS score FROM k""")
+def author_score(spark, d):
+    df = docs(spark, d, "doc_id", f"{PEOPLE} AS p", f"{WORK_PEOPLE} AS w")
+    return df.select("doc_id", F.round(S.author_score(T.parse_authors(F.col("p")), T.parse_authors(F.col("w"))), 4).alias("score"))
+
+
+@query(f"SELECT doc_id, round({q_overlap('x', 'y')}, 4) AS overlap, round({q_containment('x', 'y')}, 4) AS containment FROM (SELECT doc_id, {SHORT_A} AS x, {SHORT_B} AS y FROM documents)")
+def title_overlap(spark, d):
+    x, y = F.col("x"), F.col("y")
+    return docs(spark, d, "doc_id", f"{SHORT_A} AS x", f"{SHORT_B} AS y").select("doc_id", F.round(S.token_overlap(x, y), 4).alias("overlap"), F.round(S.containment(x, y), 4).cast("double").alias("containment"))
+
+
+_TELLING = f"list_filter({q_words('t')}, lambda w: length(w) >= 4 AND w NOT IN {T.COVERAGE_STOP_WORDS})"
+
+
+@query(f"""WITH x AS (SELECT doc_id, {SHORT_A} AS t, {q_norm("coalesce(text, '') || ' ' || " + SHORT_B)} AS n FROM documents)
+SELECT doc_id, round(CASE WHEN {q_norm('t')} = '' OR n = '' THEN 0 WHEN contains(n, {q_norm('t')}) THEN 1 WHEN len({_TELLING}) > 0 THEN len(list_filter({_TELLING}, lambda w: contains(n, w))) / len({_TELLING}) ELSE 0 END, 4) AS coverage FROM x""")
+def title_coverage(spark, d):
+    df = docs(spark, d, "doc_id", f"{SHORT_A} AS t", f"coalesce(text, '') || ' ' || {SHORT_B} AS x")
+    return df.select("doc_id", F.round(S.title_coverage(F.col("t"), F.col("x")), 4).cast("double").alias("coverage"))
+
+
+@query()
+def title_score(spark, d):
+    df = docs(spark, d, "doc_id", f"{SHORT_A} AS x", f"{SHORT_B} AS y")
+    return S.with_title_score(df, "score", F.col("x"), F.col("y")).select("doc_id", F.round("score", 4).alias("score"))
+
+
+@query("SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM pages")
+def page_title(spark, d):
+    df = spark.read.parquet(f"{d}/pages.parquet")
+    return df.select("page_id", F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"))
+
+
+@query()
+def tei_header(spark, d):
+    xml = F.expr(f"'<TEI xmlns=\"http://www.tei-c.org/ns/1.0\"><teiHeader><titleStmt><title>Work ' || doc_id || '</title></titleStmt><sourceDesc><analytic><author><persName><forename>A</forename><surname>' || source || '</surname></persName></author></analytic><idno type=\"DOI\">10.1000/' || {PAD} || '</idno></sourceDesc></teiHeader></TEI' || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '>' END")
+    return docs(spark, d, "doc_id", "source").select("doc_id", files.tei_header(xml).alias("h")).select("doc_id", "h.*")
+
+
+@query()
+def front_title_authors(spark, d):
+    return docs(spark, d, "doc_id", "text").select("doc_id", front_page.title_authors(F.col("text")).alias("f")).select("doc_id", "f.title", F.array_join("f.authors", "; ").alias("authors"))
+
+
+@query(f"SELECT doc_id, regexp_replace(regexp_replace(lower(source || ' ' || lang || '-' || doc_id), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS packed, regexp_matches({TITLE}, '[\\x{{4E00}}-\\x{{9FFF}}]') AS cjk FROM documents")
+def name_checks(spark, d):
+    return docs(spark, d, "doc_id", "source || ' ' || lang || '-' || doc_id AS x", f"{TITLE} AS t").select("doc_id", T.compact(F.col("x")).alias("packed"), T.has_cjk(F.col("t")).alias("cjk"))
+
+
+# ---------------------------------------------------------------- joins with side tables and authorities
+_SIDE = "SELECT source || '.pdf' AS name_key, CASE WHEN n % 3 = 0 THEN '' ELSE 'Side title of ' || source END AS title, 'X ' || source || '; Y' AS authors, '2020' AS year FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)"
+
+
+@query(f"""WITH s AS ({_SIDE}), r AS (SELECT doc_id, source || '.pdf' AS name_key, {TITLE} AS title, doc_id % 2 = 0 AS own, CASE WHEN doc_id % 5 = 0 THEN '1999' ELSE '' END AS year FROM documents),
+j AS (SELECT r.*, s.title AS st, s.authors AS sa, s.year AS sy, (coalesce(s.title, '') <> '' AND {q_bad('r.title')}) AS nt FROM r LEFT JOIN s ON r.name_key = s.name_key)
+SELECT doc_id, CASE WHEN nt THEN st ELSE title END AS title, CASE WHEN own THEN 'Own' ELSE replace(sa, '; ', '|') END AS authors, CASE WHEN year = '' THEN sy ELSE year END AS year,
+CASE WHEN nt THEN 'grobid' WHEN title <> '' THEN 'pdf' ELSE '' END AS title_source, CASE WHEN NOT own THEN 'grobid' ELSE 'pdf' END AS authors_source, CASE WHEN nt OR NOT own OR year = '' THEN 'grobid' ELSE '' END AS metadata_source FROM j""")
+def sidecar_merge(spark, d):
+    side = docs(spark, d, "source").groupBy("source").agg(F.count("*").alias("n")).selectExpr("source || '.pdf' AS name_key", "CASE WHEN n % 3 = 0 THEN '' ELSE 'Side title of ' || source END AS title", "'X ' || source || '; Y' AS authors", "'2020' AS year", "'' AS journal", "'' AS publisher", "'' AS abstract")
+    rec = docs(spark, d, "doc_id", "source || '.pdf' AS name_key", f"{TITLE} AS title", "CASE WHEN doc_id % 2 = 0 THEN array('Own') ELSE cast(array() as array<string>) END AS authors", "CASE WHEN doc_id % 5 = 0 THEN '1999' ELSE '' END AS year")
+    return P.with_side_metadata(rec, side).select("doc_id", "title", F.array_join("authors", "|").alias("authors"), "year", "title_source", "authors_source", "metadata_source")
+
+
+@query(f"""WITH x AS (SELECT doc_id, {JSON} AS j FROM documents), m AS (SELECT doc_id, json_extract(j, '$.message') AS m FROM x)
+SELECT doc_id, json_extract_string(m, '$.DOI') AS authority_doi, json_extract_string(m, '$.title[1]') AS title, 'A ' || json_extract_string(m, '$.author[0].family') || '; ' || json_extract_string(m, '$.author[1].family') AS authors, json_extract_string(m, '$."container-title"[0]') AS container, json_extract_string(m, '$.publisher') AS publisher, json_extract_string(m, '$.issued."date-parts"[0][0]') AS year, json_extract_string(m, '$.type') AS type FROM m""")
+def authority_json(spark, d):
+    df = docs(spark, d, "doc_id", f"{JSON} AS j").select("doc_id", A.parsed("crossref", F.col("j")).alias("a")).select("doc_id", "a.*")
+    return df.withColumn("authors", F.array_join("authors", "; "))
+
+
+_ANSWERS = "SELECT doc_id, lower('10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200)) AS doi_key, src AS source, (doc_id + p) % 3 <> 0 AS resolved, CASE WHEN (doc_id + p) % 5 = 0 THEN '' ELSE 'T' || doc_id || src END AS title FROM documents, (VALUES (0, 'osti'), (1, 'doi.org'), (2, 'crossref'), (3, 'datacite')) v(p, src) WHERE doc_id < 200"
+
+
+@query(f"""WITH a AS ({_ANSWERS}), q AS (SELECT doc_id, '10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200) AS doi FROM documents),
+u AS (SELECT * FROM a WHERE source <> 'osti' OR starts_with(doi_key, '10.2172/')),
+b AS (SELECT doi_key, count(*) AS tried, arg_min(source, CASE WHEN resolved AND title <> '' THEN CASE source WHEN 'osti' THEN 0 WHEN 'doi.org' THEN 1 WHEN 'crossref' THEN 2 ELSE 3 END END) AS s, arg_min(title, CASE WHEN resolved AND title <> '' THEN CASE source WHEN 'osti' THEN 0 WHEN 'doi.org' THEN 1 WHEN 'crossref' THEN 2 ELSE 3 END END) AS t FROM u GROUP BY 1)
+SELECT q.doc_id, q.doi, coalesce(b.tried, 0)::BIGINT AS tried, b.s AS authority_source, b.t AS authority_title FROM q LEFT JOIN b ON lower(q.doi) = b.doi_key""")
+def authority_priority(spark, d):
+    key = "'10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200)"
+    src = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), F.lit(s).alias("source")) for i, s in enumerate(("osti", "doi.org", "crossref", "datacite"))]))
+    ans = docs(spark, d, "doc_id", f"lower({key}) AS doi_key").filter("doc_id < 200").select("doc_id", "doi_key", src.alias("v")).selectExpr("doi_key", "v.source AS source", "(doc_id + v.p) % 3 <> 0 AS resolved", "CASE WHEN (doc_id + v.p) % 5 = 0 THEN '' ELSE 'T' || doc_id || v.source END AS title")
+    return A.resolve(docs(spark, d, "doc_id", f"{key} AS doi"), ans, "doc_id").select("doc_id", "doi", "tried", "authority_source", "authority_title")
+
+
+@query("SELECT user_id AS key, max(ts) AS ts, arg_max(event_type, struct_pack(ts := ts, e := event_type, i := event_id)) AS event_type FROM events GROUP BY 1")
+def cache_latest(spark, d):
+    ev = spark.read.parquet(f"{d}/events.parquet").selectExpr("user_id AS key", "ts", "event_type", "event_id")
+    return A.latest(ev, ["key"], "ts").select("key", "ts", "event_type")
+
+
+@query("SELECT DISTINCT o_custkey AS key FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'click' AND user_id IS NOT NULL)")
+def cache_misses(spark, d):
+    wanted = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_custkey AS key")
+    return A.misses(wanted, spark.read.parquet(f"{d}/events.parquet").filter("event_type = 'click'").selectExpr("user_id AS key"), "key")
+
+
+_JOBS = "doc_id AS ord, CASE WHEN doc_id % 2 = 0 THEN '10.1000/A' ELSE '10.1000/a' END || (doc_id % 40) AS doi, doc_id % 7 = 0 AS force"
+
+
+@query(f"SELECT lower(doi) AS doi_key, arg_min(doi, ord) AS doi, bool_or(force) AS force FROM (SELECT {_JOBS} FROM documents) GROUP BY 1")
+def job_dedup(spark, d):
+    return A.jobs(docs(spark, d, *_JOBS.split(", ")) if False else docs(spark, d, "doc_id AS ord", "CASE WHEN doc_id % 2 = 0 THEN '10.1000/A' ELSE '10.1000/a' END || (doc_id % 40) AS doi", "doc_id % 7 = 0 AS force"))
+
+
+@query(f"""WITH w AS (SELECT DISTINCT source, 'Growth of ' || source || ' films in en oxide layers number 3' AS wt FROM documents), r AS (SELECT doc_id, source, {SHORT_A} AS t, doc_id % 4 = 0 AS noa, doc_id % 11 = 0 AS gone FROM documents),
+j AS (SELECT r.*, CASE WHEN NOT gone THEN wt END AS wt FROM r JOIN w ON r.source = w.source), s AS (SELECT *, CASE WHEN wt IS NULL THEN 0 WHEN {q_norm('t')} = {q_norm('wt')} THEN 1.0 ELSE greatest(0.94 * ({q_overlap('t', 'wt')}), {q_containment('t', 'wt')}) END AS ts, CASE WHEN wt IS NULL OR noa THEN 0.0 ELSE 1.0 END AS aus FROM j)
+SELECT doc_id, (wt IS NOT NULL AND ts >= 0.94 AND (aus >= 0.15 OR (ts >= 0.985 AND noa))) AS verified, CASE WHEN wt IS NULL THEN 'crossref_not_found' WHEN ts >= 0.94 AND (aus >= 0.15 OR (ts >= 0.985 AND noa)) THEN 'verified' ELSE 'score_below_threshold' END AS reason, round(ts, 4)::DOUBLE AS title_score, round(aus, 4)::DOUBLE AS author_score FROM s""")
+def verify(spark, d):
+    rec = docs(spark, d, "doc_id", "'10.1000/' || CASE WHEN doc_id % 11 = 0 THEN 'gone.' ELSE 'x.' END || source AS doi", f"{SHORT_A} AS title", "CASE WHEN doc_id % 4 = 0 THEN cast(array() as array<string>) ELSE array('Ana ' || source) END AS authors")
+    works = docs(spark, d, "source").distinct().selectExpr("'10.1000/x.' || source AS doi_key", "'Growth of ' || source || ' films in en oxide layers number 3' AS work_title", "array('A. ' || source) AS work_authors")
+    return A.verify(rec, works, exact=False).select("doc_id", "verified", "reason", "title_score", "author_score")
+
+
+# ---------------------------------------------------------------- decisions
+def _decision(table: str):
+    rules = D.TABLES[table]
+    arm = lambda i: "CASE " + " ".join(f"WHEN {r[0].replace('references', chr(34) + 'references' + chr(34))} THEN {(str(r[i]).lower() if i == 1 else chr(39) + r[i] + chr(39))}" for r in rules) + " END"
+
+    def run(spark, d):
+        return docs(spark, d, *_split(FACTS)).select("doc_id", D.decide(table).alias("d")).select("doc_id", "d.*")
+
+    run.__name__ = f"decide_{table}"
+    query(f"SELECT doc_id, {arm(1)} AS accepted, {arm(2)} AS confidence, {arm(3)} AS decision FROM (SELECT {FACTS} FROM documents)")(run)
+
+
+def _split(columns: str) -> list[str]:
+    out, depth, now = [], 0, ""
+    for c in columns:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append(now.strip())
+            now = ""
+        else:
+            now += c
+    return [*out, now.strip()]
+
+
+for _t in D.TABLES:
+    _decision(_t)
+
+
+@query(f"""WITH x AS (SELECT doc_id % 100 AS path, doc_id AS ord, {FACTS.replace('doc_id, ', '', 1)}, 8 + doc_id % 9 AS doi_length FROM documents), y AS (SELECT *, t >= 0.5 AS accepted, CASE WHEN t >= 0.8 THEN 'high' WHEN t >= 0.5 THEN 'medium' ELSE 'none' END AS confidence FROM x),
+r AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY accepted DESC, CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 0 END DESC, t DESC, a DESC, c DESC, doi_length DESC, ord) AS n FROM y)
+SELECT path, ord, confidence FROM r WHERE n = 1""")
+def best_result(spark, d):
+    df = docs(spark, d, "doc_id % 100 AS path", "doc_id AS ord", *_split(FACTS)[1:4], "8 + doc_id % 9 AS doi_length").selectExpr("*", "t >= 0.5 AS accepted", "CASE WHEN t >= 0.8 THEN 'high' WHEN t >= 0.5 THEN 'medium' ELSE 'none' END AS confidence")
+    return df.groupBy("path").agg(F.max_by(F.struct("ord", "confidence"), D.best_by("ocr")).alias("b")).select("path", "b.*")
+
+
+_ACT = "doc_id, doc_id % 9 = 0 AS has_candidate, (doc_id * 97) % 2000 AS text_chars, lower(CASE doc_id % 5 WHEN 0 THEN 'PhD Thesis ' WHEN 1 THEN 'book chapter ' ELSE 'report ' END || source) AS text, doc_id % 7 = 0 AS cjk, CASE WHEN doc_id % 4 = 0 THEN 'no_doi_unresolved' ELSE 'review' END AS final_decision"
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN {c.replace('text rlike', 'regexp_matches(text,') + (')' if 'rlike' in c else '')} THEN '{n}'" for c, n in D.ACTIONS) + f" END AS action FROM (SELECT {_ACT} FROM documents)")
+def suggested_action(spark, d):
+    return docs(spark, d, *_split(_ACT)).select("doc_id", D.action().alias("action"))
+
+
+@query(f"""WITH f AS ({_CHOICE} SELECT * FROM f) SELECT metric, value, count(*)::BIGINT AS n FROM (
+SELECT 'total' AS metric, '' AS value FROM f UNION ALL SELECT 'status', status FROM f UNION ALL SELECT 'confidence', confidence FROM f UNION ALL SELECT 'doi_decision', doi_decision FROM f) GROUP BY 1, 2""")
+def summary_grouping_sets(spark, d):
+    return P.summary(choose_candidate(spark, d), ["status", "confidence", "doi_decision"])
+
+
+# ---------------------------------------------------------------- variants
+_TOK = f"CASE doc_id % 6 WHEN 0 THEN '10.1149_1945-7111_ac' || doc_id WHEN 1 THEN '10.5445_ir_' || doc_id WHEN 2 THEN '10.1021_acs.' || doc_id || '.s001' WHEN 3 THEN '10.1039_c_' || {PAD} WHEN 4 THEN '10.1000_a@b_' || doc_id ELSE '10.1007-s' || {PAD} END"
+
+
+@query(f"""WITH t AS (SELECT doc_id, replace({_TOK}, '@', '_') AS x FROM documents), s AS (SELECT doc_id, regexp_extract(x, '^(10\\.\\d{{4,9}})[_-](.+)$', 1) AS p, regexp_extract(x, '^(10\\.\\d{{4,9}})[_-](.+)$', 2) AS q FROM t),
+v AS (SELECT doc_id, 0 AS k, p || '/' || q AS doi FROM s
+ UNION ALL SELECT doc_id, 1, p || '/' || upper(replace(q, '_', '/')) FROM s WHERE p IN {I.REPOSITORY_PREFIXES} AND contains(q, '_')
+ UNION ALL SELECT doc_id, 2, p || '/' || regexp_replace(q, '_', '/') FROM s WHERE contains(q, '_')
+ UNION ALL SELECT doc_id, 3, p || '/' || replace(q, '_', '/') FROM s WHERE contains(q, '_')
+ UNION ALL SELECT doc_id, 4, p || '/' || regexp_replace(q, '(?i)\\.s\\d{{3,4}}$', '') FROM s WHERE p = '10.1021' AND regexp_matches(q, '(?i)\\.s\\d{{3,4}}$')
+ UNION ALL SELECT doc_id, 5, p || '/' || replace(q, '_', '') FROM s WHERE p = '10.1039')
+SELECT doc_id, arg_min(doi, k) AS doi FROM v WHERE {q_plausible('doi')} GROUP BY doc_id, lower(doi)""")
+def variants_filename(spark, d):
+    return docs(spark, d, "doc_id", f"{_TOK} AS x").select("doc_id", F.explode(I.token_variants(F.col("x"))).alias("v")).select("doc_id", "v.doi")
+
+
+_ECS = "'10.1149/' || CASE doc_id % 3 WHEN 0 THEN 'ma2013-0' || (1 + doc_id % 2) || '_4_' || doc_id WHEN 1 THEN '1945-7111_ac' || doc_id ELSE '2.' || doc_id || 'jes' END"
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN '' ELSE '10.1149/' || regexp_replace(replace(substring(x, 9), '_', '/'), '^ma', 'MA') END AS doi FROM (SELECT doc_id, {_ECS} AS x FROM documents)")
+def variants_ecs(spark, d):
+    return docs(spark, d, "doc_id", f"{_ECS} AS x").select("doc_id", I.ecs_variant(F.col("x")).alias("doi"))
+
+
+_PRE = "CASE doc_id % 5 WHEN 0 THEN '10.1049/ic_' || doc_id WHEN 1 THEN '10.1023/a_' || doc_id WHEN 2 THEN '10.4233/uuid_ab-' || doc_id WHEN 3 THEN '10.1088/0022_' || doc_id || '_7' ELSE '10.1117/12.' || (700000 + doc_id) || '.x' END"
+
+
+@query(f"""WITH x AS (SELECT doc_id, {_PRE} AS x FROM documents) SELECT doc_id, unnest(CASE doc_id % 5 WHEN 0 THEN ['10.1049/ic:' || doc_id, '10.1049/cp:' || doc_id] WHEN 1 THEN ['10.1023/a:' || doc_id] WHEN 2 THEN ['10.4233/uuid:ab-' || doc_id] WHEN 3 THEN ['10.1088/0022/' || doc_id || '/7'] ELSE ['10.1117/12.' || (700000 + doc_id)] END) AS doi FROM x""")
+def variants_prefix(spark, d):
+    return docs(spark, d, "doc_id", f"{_PRE} AS x").select("doc_id", F.explode(I.prefix_variants(F.col("x"))).alias("v")).select("doc_id", "v.doi")
+
+
+# ---------------------------------------------------------------- whole passes
+@query()
+def identify_records(spark, d):
+    df = docs(spark, d, "doc_id", "text", "lang", "source").select("doc_id", F.expr(TEXT).alias("x"), F.expr(STEM).alias("stem"), F.expr(MARKDOWN).alias("md"))
+    hits = F.concat(I.scan_filename(F.col("stem")), files.raw_hits(F.col("x")), files.section_hits(F.col("md")))
+    return P.identify(df, hits, "doc_id").withColumn("doi_candidates", F.to_json("doi_candidates"))
+
+
+def _records(spark, d):
+    return docs(spark, d, "doc_id", "text", "lang", "source").selectExpr("cast(doc_id as string) AS path", "'10.1149_ma2013-01_4_' || doc_id || '.pdf' AS filename", "CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01_4_' || doc_id ELSE '10.1000/x' || doc_id END AS doi", "CASE WHEN doc_id % 5 = 0 THEN 'ok' ELSE 'review' END AS status", f"{SHORT_A} AS title", "array('Ana ' || source) AS authors", "array('filename_doi') AS sources", f"cast({SCORES} as double) AS old_t", f"cast({SCORES_A} as double) AS old_a", "coalesce(text, '') AS text")
+
+
+def _answers(spark, d):
+    return docs(spark, d, "doc_id", "lang", "source").selectExpr("CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01/4/' || doc_id ELSE '10.1000/x' || doc_id END AS doi_key", "'crossref' AS source", "doc_id % 7 <> 0 AS resolved", "CASE WHEN doc_id % 3 = 0 THEN '10.1149/MA2013-01/4/' || doc_id ELSE '10.1000/X' || doc_id END AS doi", f"{SHORT_B} AS title", "array('A. ' || source) AS authors", "'timeout' AS error")
+
+
+@query()
+def review_pass(spark, d):
+    ans = _answers(spark, d).selectExpr("doi_key", "resolved", "doi AS authority_doi", "title AS authority_title", "authors AS authority_authors", "error")
+    return P.review(_records(spark, d), ans)
+
+
+@query()
+def hard_case_pass(spark, d):
+    return P.hard_cases(_records(spark, d), _answers(spark, d))
+
+
+@query("""WITH q AS (SELECT doc_id AS query_id, lang || ' ' || source || ' note ' || (doc_id % 97) AS t FROM documents), x AS (SELECT item_id AS doc_key, 'note ' || item_id || ' on src' || (item_id % 20) || ' ' || CASE item_id % 2 WHEN 0 THEN 'en' ELSE 'fr' END AS t FROM benchmark),
+qw AS (SELECT query_id, list_distinct(string_split(t, ' ')) AS ws FROM q), xw AS (SELECT doc_key, list_distinct(string_split(t, ' ')) AS ws FROM x), l AS (SELECT doc_key, unnest(ws) AS w FROM xw),
+rare AS (SELECT w FROM l GROUP BY w HAVING count(*) <= 50), p AS (SELECT DISTINCT a.query_id, l.doc_key FROM (SELECT query_id, unnest(ws) AS w FROM qw) a JOIN l ON a.w = l.w JOIN rare ON rare.w = a.w),
+s AS (SELECT p.*, round(len(list_intersect(qw.ws, xw.ws)) / len(qw.ws), 4) AS overlap FROM p JOIN qw USING (query_id) JOIN xw USING (doc_key)), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, doc_key) AS rank FROM s)
+SELECT query_id, doc_key, rank::INT AS rank, overlap FROM r WHERE rank <= 5""")
+def title_search_topk(spark, d):
+    q = docs(spark, d, "doc_id AS query_id", "lang || ' ' || source || ' note ' || (doc_id % 97) AS title")
+    x = spark.read.parquet(f"{d}/benchmark.parquet").selectExpr("item_id AS doc_key", "'note ' || item_id || ' on src' || (item_id % 20) || ' ' || CASE item_id % 2 WHEN 0 THEN 'en' ELSE 'fr' END AS title")
+    return P.title_search(q, x)
