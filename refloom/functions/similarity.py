@@ -26,8 +26,7 @@ def containment(left: Column, right: Column) -> Column:
     return let(norm_text(left), lambda a: let(norm_text(right), lambda b: ratio(a, b)))
 
 
-@F.pandas_udf("double")
-def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+def _ratios(left: pd.Series, right: pd.Series) -> pd.Series:
     """The ratio of matching blocks, which is none of the edit distances that SQL has. Null where either is null."""
     known: dict[tuple[str, str], float] = {}
 
@@ -41,6 +40,11 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([ratio(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
+def sequence_ratio(left: Column, right: Column) -> Column:
+    """Marked so that the optimizer neither repeats it nor moves it into a filter or another expression."""
+    return F.pandas_udf(_ratios, "double").asNondeterministic()(left, right)
+
+
 def with_title_score(df: DataFrame, name: str, left: Column, right: Column, exact: bool = True) -> DataFrame:
     """Adds the score of two titles, 0 to 1 and not symmetric.
 

@@ -207,7 +207,7 @@ def filename_doi(spark, d):
 
 @query(f"SELECT doc_id, k, s AS source, {q_group('s')} AS source_group, {q_weight('s')} AS weight FROM (SELECT doc_id, k, {SOURCE_SQL} AS s FROM documents, range(3) r(k))")
 def source_weight(spark, d):
-    df = docs(spark, d, "doc_id").select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(2))).cast("long").alias("k")).withColumn("source", F.expr(SOURCE_SQL))
+    df = docs(spark, d, "doc_id").select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).withColumn("k", F.col("k").cast("long")).withColumn("source", F.expr(SOURCE_SQL))
     return df.withColumn("source_group", I.source_group(F.col("source"))).withColumn("weight", I.source_weight(F.col("source")))
 
 
@@ -396,7 +396,7 @@ _JOBS = "doc_id AS ord, CASE WHEN doc_id % 2 = 0 THEN '10.1000/A' ELSE '10.1000/
 
 @query(f"SELECT lower(doi) AS doi_key, arg_min(doi, ord) AS doi, bool_or(force) AS force FROM (SELECT {_JOBS} FROM documents) GROUP BY 1")
 def job_dedup(spark, d):
-    return A.jobs(docs(spark, d, *_JOBS.split(", ")) if False else docs(spark, d, "doc_id AS ord", "CASE WHEN doc_id % 2 = 0 THEN '10.1000/A' ELSE '10.1000/a' END || (doc_id % 40) AS doi", "doc_id % 7 = 0 AS force"))
+    return A.jobs(docs(spark, d, "doc_id AS ord", "CASE WHEN doc_id % 2 = 0 THEN '10.1000/A' ELSE '10.1000/a' END || (doc_id % 40) AS doi", "doc_id % 7 = 0 AS force"))
 
 
 @query(f"""WITH w AS (SELECT DISTINCT source, 'Growth of ' || source || ' films in en oxide layers number 3' AS wt FROM documents), r AS (SELECT doc_id, source, {SHORT_A} AS t, doc_id % 4 = 0 AS noa, doc_id % 11 = 0 AS gone FROM documents),
