@@ -200,6 +200,7 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
     known = np.array([r["word"] for r in top], np.int64)
     order = np.argsort(known)
     known, known_n = known[order], np.array([r["n"] for r in top], np.int64)[order]
+    end_n = int(counts.filter(F.col("word") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     types = Types(np.array([r["word"] for r in top if r["word"] != END][:HEAD], np.int64))
     in_head = F.lit(False)
     if len(types.head):
@@ -230,7 +231,6 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
                 where = np.arange(len(c)) + w.document()
                 logs[where] = np.log10(c + 1.0)
                 hits[where] = c > 0
-                end_n = known_n[place(known, np.array([END]))[0]][0] if place(known, np.array([END]))[1][0] else 0
                 ends = first[1:] - 1
                 logs[ends], hits[ends] = np.log10(end_n + 1.0), end_n > 0
                 add = lambda x: np.add.reduceat(x, first[:-1])

@@ -27,6 +27,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Characters drawn like an ASCII letter (Cyrillic and Greek).
 LOOK_ALIKE = dict(zip("АВЕКМНОРСТУХаеорсухіјѕԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧοι", "ABEKMHOPCTYXaeopcyxijsdqwABEZHIKMNOPTYXoi", strict=True))
+# Endings of addresses; words around "at" and "dot" are an address only if the last one is among these.
+ENDINGS = frozenset("com org net edu gov mil int info biz io ai co app dev me tv eu uk us de fr es it nl be at ch pl pt se no fi dk ie cz ru cn jp kr in br mx ar cl au nz ca za example test".split())
 # Digits in the words of the four languages, and a doubled or tripled one in English.
 SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
@@ -48,6 +50,7 @@ DISGUISE = re.compile(
     re.IGNORECASE,
 )
 WORD_DOT = re.compile(r"([A-Za-z0-9-]+)(\x20dot\x20)(?=[A-Za-z0-9-])", re.IGNORECASE)
+LABEL = re.compile("[A-Za-z0-9]+|")
 #: Lower-case texts without any of these hold no disguise of that sort; the scans are much faster than the pattern.
 HINT = re.compile(rf"[\[({{<]\x20*(?:{_at}|{_dot})\x20*[\])}}>]|&(?:#|commat|period|plus)")
 DIGITS_HINT = re.compile(rf"(?<!\w){_digit}[\x20-]+(?:{_digit}|[0-9]+|dot|punkt|punto|point)[\x20-]+")
@@ -129,10 +132,12 @@ def pieces(text: str) -> list[tuple[int, int, str]]:
                 said = "".join((SPELLED.get(w := p[0].lower()) or MARKS.get(w) or w) for p in PIECE.finditer(m[0]))
                 out.append((a, b, said))
             elif m["words"]:
-                out.append((a, b, "@"))
-                while d := WORD_DOT.match(text, b):
-                    out.append((*d.span(2), "."))
-                    b = d.end()
+                dots, at = [], b
+                while d := WORD_DOT.match(text, at):
+                    dots.append((*d.span(2), "."))
+                    at = d.end()
+                if LABEL.match(text, at)[0].lower() in ENDINGS:
+                    out += [(a, b, "@"), *dots]
             elif m["mark"]:
                 out.append((a, b, "@" if re.search(_at, m["mark"], re.IGNORECASE) else "."))
             else:
