@@ -6,7 +6,7 @@ import argparse
 import json
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import records as P
@@ -40,20 +40,26 @@ def run(spark: SparkSession, o: argparse.Namespace) -> dict:
     if o.side_table:
         empty = {c: F.lit("") for c in ("year", "journal", "publisher", "abstract")}
         records = P.with_side_metadata(records.withColumns(empty).withColumn("name_key", F.lower("filename")), files.side_table(spark, o.side_table)).drop("name_key")
-    records.write.mode("overwrite").parquet(f"{o.output_dir}/records.parquet")  # extraction runs once, whatever follows
-    records = spark.read.parquet(f"{o.output_dir}/records.parquet")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """Written and read again: extraction and decisions run once, whatever reads them."""
+        df.write.mode("overwrite").parquet(f"{o.output_dir}/{name}.parquet")
+        return spark.read.parquet(f"{o.output_dir}/{name}.parquet")
+
+    records = kept(records, "identified")
     report = {}
     if o.authority_table and not o.no_review:
         answers = spark.read.parquet(o.authority_table)
         named = answers.select("doi_key", "resolved", F.col("doi").alias("authority_doi"), F.col("title").alias("authority_title"), F.col("authors").alias("authority_authors"), "error")
         sources = F.transform(F.coalesce("doi_candidates", F.array().cast(dict(records.dtypes)["doi_candidates"])), lambda c: c["source"])
-        decided = P.review(records.withColumns({"sources": sources, "old_t": F.lit(0.0), "old_a": F.lit(0.0)}), named)
+        decided = kept(P.review(records.withColumns({"sources": sources, "old_t": F.lit(0.0), "old_a": F.lit(0.0)}), named), "review")
         report["review"] = [r.asDict() for r in P.summary(decided, ["stage", "decision"]).collect()]
-        records = P.applied(records, decided).drop("decision")
+        records = kept(P.applied(records, decided).drop("decision"), "reviewed")
         if not o.no_hard_cases:
-            hard = P.hard_cases(records.withColumn("text", F.lit("")), answers)
+            hard = kept(P.hard_cases(records.withColumn("text", F.lit("")), answers), "hard_cases")
             report["hard_cases"] = [r.asDict() for r in P.summary(hard, ["confidence", "source", "decision"]).collect()]
             records = P.applied(records, hard.withColumn("final_doi", F.col("doi")))
+    records = kept(records, "records")
     files.write_json(records, f"{o.output_dir}/metadata.jsonl")
     files.write_table(records, f"{o.output_dir}/metadata.tsv")
     counts = {r["status"]: r["count"] for r in records.groupBy("status").count().collect()}

@@ -148,9 +148,8 @@ def applied(records: DataFrame, decisions: DataFrame) -> DataFrame:
 def summary(decisions: DataFrame, by: list[str]) -> DataFrame:
     """metric, value, n: how many rows in all and by each column; one shuffle."""
     which = F.lit("total")
-    for i, c in enumerate(by):
+    for c in by:
         which = F.when(F.grouping(c) == 0, c).otherwise(which)
-        del i
     df = decisions.groupingSets([[F.col(c)] for c in by] + [[]], *[F.col(c) for c in by])
     return df.agg(which.alias("metric"), F.coalesce(*[F.col(c).cast("string") for c in by], F.lit("")).alias("value"), F.count("*").alias("n")).select("metric", "value", "n")
 
