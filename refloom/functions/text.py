@@ -20,7 +20,7 @@ COVERAGE_STOP_WORDS = ("and", "for", "the", "with", "from", "this", "that", "int
 DOMAIN_STOP_WORDS = ("battery", "batteries", "electrode", "electrodes", "electrolyte", "electrolytes", "lithium", "sodium", "materials", "technologies", "chapter", "introduction", "review")
 GREEK = (("β", "beta"), ("α", "alpha"), ("γ", "gamma"))
 DASHES = "–—‐‑−"
-BLANK = r"[\s \u0085\u001c-\u001f  -     　]"
+BLANK = r"[\s\u00a0\u0085\u001c-\u001f\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def let(x: Column, body) -> Column:
