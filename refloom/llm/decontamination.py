@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import id_text, table
 
 MASKS = ((0, 1, 3, 6, 8, 9), (0, 2, 3, 5, 8, 9), (0, 1, 4, 5, 7, 9))
 SPAN = 10
@@ -26,43 +26,53 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(words: Column, at: Column) -> Column:
-    """One seed for each mask, of the words from ``at`` (from 0) on."""
-    return F.array(*[F.xxhash64(F.lit(k), *[F.get(words, at + i) for i in mask]) for k, mask in enumerate(MASKS)])
+def all_seeds(words: Column) -> Column:
+    """Seeds of all masks at all places, place by place: number k is of place k div 3."""
+    places = F.when(F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN)).otherwise(F.array().cast("array<int>"))
+    at = lambda i: F.array(*[F.xxhash64(F.lit(k), *[F.get(words, i + d) for d in mask]) for k, mask in enumerate(MASKS)])
+    return F.flatten(F.transform(places, at))
 
 
-def positions(df: DataFrame, *keep: str) -> DataFrame:
-    """A row for each mask at each place of ``words`` where it fits."""
-    placed = df.select(*keep, "words", F.posexplode("words").alias("at", "_")).drop("_").filter(F.col("at") <= F.size("words") - SPAN)
-    return placed.select(*keep, "words", "at", F.explode(seeds(F.col("words"), F.col("at"))).alias("seed"))
+def seed_rows(df: DataFrame, key: str, words: Column) -> DataFrame:
+    """key, place, seed; the words stay behind, so that a row is a few bytes."""
+    once = F.get(F.transform(F.array(words), all_seeds), F.lit(0))  # the words are made once, not at every place
+    return df.select(key, F.posexplode(once).alias("n", "seed")).select(key, F.floor(F.col("n") / len(MASKS)).cast("int").alias("place"), "seed")
 
 
 def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """documents (doc_id, text), benchmark (item_id, text) -> doc_id, item_id, n_hits, matched, aligned.
 
-    One row for each document and item with a verified overlap: how many seed meetings were verified, and of the best
-    window how many words agree and how many are aligned. Items of fewer than ten words name no passage and match
-    nothing; windows are the whole item where it has fewer than thirteen words. Null and empty texts match nothing;
-    rows with one id count as one document; a null id is an id of its own. Empty tables give no rows.
+    One row for each document and item with a verified overlap: how many aligned places of seeds were verified, and of
+    the best window how many words agree and how many are aligned. Items of fewer than ten words name no passage and
+    match nothing; windows are the whole item where it has fewer than thirteen words. Null and empty texts match
+    nothing; rows with one id count as one document; rows with a null id as well. Empty tables give no rows.
+
+    First all documents' seeds meet the benchmark's; only places that do are looked at again, with the words around them.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), word_hashes(F.col("text").cast("string")).alias("words"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text").cast("string")).alias("words")).filter(F.size("words") >= SPAN)
-    known = positions(items, "item_id").select("item_id", F.col("words").alias("item"), F.col("at").alias("place"), "seed")
-    total = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-    known = F.broadcast(known) if total <= BROADCAST_WORDS else known
-    # the words around the place: WINDOW - 1 before it and as many after the seed's span
-    met = positions(docs, "doc_id").join(known, "seed")
-    low = F.greatest(-F.col("at"), -F.col("place"), F.lit(SPAN - WINDOW))
-    high = F.least(F.size("words") - F.col("at"), F.size("item") - F.col("place"), F.lit(WINDOW))
-    met = met.select("doc_id", "item_id", "at", "place", low.alias("low"), F.slice("words", F.col("at") + low + 1, high - low).alias("x"), F.slice("item", F.col("place") + low + 1, high - low).alias("y"), F.size("item").alias("n"))
-    same = F.zip_with("x", "y", lambda a, b: (a == b).cast("int"))
-    met = met.distinct().withColumn("same", same).withColumn("wide", F.least(F.lit(WINDOW), F.col("n")))
-    # windows of the aligned words that hold the seed
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("same") - F.col("wide")))
-    best = F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice("same", s + 1, F.col("wide")), F.lit(0), lambda acc, v: acc + v)))
-    met = met.withColumn("aligned", F.least(F.col("wide"), F.size("same"))).withColumn("matched", best)
-    found = met.filter((F.col("aligned") == F.col("wide")) & (F.col("matched") >= F.ceil(F.col("wide") * F.lit(SHARE))))
-    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.max(F.struct(F.col("matched").cast("long").alias("matched"), F.col("aligned").cast("long").alias("aligned"))).alias("b")).select("doc_id", "item_id", "n_hits", F.col("b.matched").alias("matched"), F.col("b.aligned").alias("aligned"))
+    docs = id_text(documents)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text").cast("string")).alias("item")).filter(F.size("item") >= SPAN)
+    known = seed_rows(items, "item_id", F.col("item")).withColumnRenamed("place", "item_place")
+    small = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0] <= BROADCAST_WORDS
+    sent = F.broadcast if small else (lambda df: df)
+    met = seed_rows(docs, "doc_id", word_hashes(F.col("text"))).join(sent(known.select("seed").distinct()), "seed", "left_semi")
+    met = met.groupBy(F.col("doc_id").alias("met_id")).agg(F.collect_set(F.struct("place", "seed")).alias("places"))  # at most a document's own places
+    hashed = docs.join(met.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("met_id"))).select("doc_id", "places", "text")
+    # WINDOW - SPAN words before a place and WINDOW from it on hold every window with the seed
+    low = lambda p: F.greatest(F.lit(0), p["place"] + (SPAN - WINDOW))
+    around = lambda words: F.transform("places", lambda p: F.struct(p["place"].alias("place"), p["seed"].alias("seed"), (p["place"] - low(p)).alias("before"), F.slice(words, low(p) + 1, p["place"] - low(p) + WINDOW).alias("x")))
+    near = F.get(F.transform(F.array(word_hashes(F.col("text"))), around), F.lit(0))
+    near = hashed.select("doc_id", F.explode(near).alias("p")).select("doc_id", "p.*").distinct()
+    pairs = near.join(sent(known), "seed").drop("seed").distinct().join(sent(items), "item_id")
+    back = F.least(F.col("before"), F.col("item_place"))
+    x, y = F.slice("x", F.col("before") - back + 1, F.lit(2 * WINDOW)), F.slice("item", F.col("item_place") - back + 1, F.lit(2 * WINDOW))
+    wide = F.least(F.lit(WINDOW), F.size("item"))
+    length = F.least(F.size("x") - F.col("before"), F.size("item") - F.col("item_place"), F.lit(WINDOW)) + back
+    same = F.transform(F.sequence(F.lit(0), length - 1), lambda i: (F.get("_x", i) == F.get("_y", i)).cast("int"))
+    pairs = pairs.withColumns({"_x": x, "_y": y, "aligned": wide, "_n": length}).withColumn("same", same)
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("_n") - F.col("aligned")))
+    best = F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice("same", s + 1, F.col("aligned")), F.lit(0), lambda total, v: total + v)))
+    found = pairs.withColumn("matched", best).filter((F.col("_n") >= F.col("aligned")) & (F.col("matched") >= F.ceil(F.col("aligned") * F.lit(SHARE))))
+    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.max("matched").cast("long").alias("matched"), F.max_by("aligned", "matched").cast("long").alias("aligned"))
 
 
 def clean(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
