@@ -12,6 +12,7 @@ link to the graph: no group of near copies is ever written out pair by pair.
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,16 @@ class Tree:
         points = np.concatenate(groups) if groups else np.zeros(0, np.int64)
         self._level(points, np.zeros(len(points)), np.ones(len(points)), np.repeat(np.arange(len(groups)), [len(g) for g in groups]))
 
+    def packed(self) -> bytes:
+        return pickle.dumps(self.__dict__)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Tree:
+        """A tree that another task has built."""
+        tree = cls.__new__(cls)
+        tree.__dict__.update(pickle.loads(data))
+        return tree
+
     def _level(self, centers, radii, sizes, parents):
         self.centers.append(np.asarray(centers, np.int64))
         self.radii.append(np.asarray(radii, float))
@@ -216,9 +227,9 @@ def links(spark: SparkSession, vectors: DataFrame, threshold: float, scratch: Sc
     def gather(t: pa.Table) -> pa.Table:
         d = t.column("dim")[0].as_py()
         x = t.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-        return pa.table({"dim": pa.array([d], pa.int32()), "cell": t.column("cell").slice(0, 1), "part": t.column("part").slice(0, 1), "keys": pa.array([t.column("k").to_numpy().tobytes()]), "sizes": pa.array([t.column("n").to_numpy().tobytes()]), "x": pa.array([unit(x).tobytes()])})
+        return pa.table({"dim": pa.array([d], pa.int32()), "cell": t.column("cell").slice(0, 1), "part": t.column("part").slice(0, 1), "keys": pa.array([t.column("k").to_numpy().tobytes()]), "sizes": pa.array([t.column("n").to_numpy().tobytes()]), "tree": pa.array([Tree(unit(x)).packed()])})
 
-    blocks = scratch.save(blocked.groupBy("dim", "cell", "part").applyInArrow(gather, "dim int, cell int, part int, keys binary, sizes binary, x binary"))
+    blocks = scratch.save(blocked.groupBy("dim", "cell", "part").applyInArrow(gather, "dim int, cell int, part int, keys binary, sizes binary, tree binary"))
     # number blocks within their dimension; every pair of numbers is one task's work
     order = F.row_number().over(Window.partitionBy("dim").orderBy("cell", "part"))
     numbers = scratch.save(blocks.select("dim", "cell", "part").withColumn("i", (order - 1).cast("int")))
@@ -232,7 +243,7 @@ def links(spark: SparkSession, vectors: DataFrame, threshold: float, scratch: Sc
         made = []
         for r in range(t.num_rows):
             k, n = (np.frombuffer(t.column(c)[r].as_buffer(), np.int64) for c in ("keys", "sizes"))
-            made.append((k, n, Tree(np.frombuffer(t.column("x")[r].as_buffer(), float).reshape(len(k), -1))))
+            made.append((k, n, Tree.unpacked(t.column("tree")[r].as_py())))
         a, b = made[0], made[-1]
         ids, counts, u, v, _ = joined(*a, *b, threshold)
         return pa.table([pa.array(np.r_[ids, u]), pa.array(np.r_[ids, v]), pa.array(np.r_[counts, np.zeros(len(u), np.int64)])], schema=schema)
