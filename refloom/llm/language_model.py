@@ -1,10 +1,12 @@
 """Class-based n-gram scores: Brown classes by exchange clustering.
 
-Word types are the most frequent words and, for all others, a bounded number of groups by their last letters. The
-exchange algorithm moves types between classes while the likelihood of the class bigrams grows. A word's probability
-is that of its class after the class before it, times that of its type in the class, times, for a rarer word, that of
-the word in its group. All counts are over every training text. Counts of the most frequent words go to the tasks as
-one bounded table; those of all others are joined by the word.
+Every word of the training texts is a type. The exchange algorithm first moves the most frequent words, and the others
+in bounded groups by their last letters, between classes while the likelihood of the class bigrams grows. From there
+every other word is moved by itself to the class of the greatest gain, which its own counts of classes before and after
+it give; the groups are only where it starts, and where a word that no training text has stays. A word's probability is
+that of its class after the class before it, times that of the word in its class. All counts are over every training
+text. Counts and classes of the most frequent words go to the tasks as one bounded table; those of all others are
+joined by the word.
 """
 
 from __future__ import annotations
@@ -14,15 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, id_text, table
+from .common import Scratch, batch, id_text, partitions, table
 from .words import Words, chunks, mix
 
-HEAD = 767  # words that are types of their own, besides the end
+HEAD = 767  # words that the first exchange moves one by one, besides the end
 GROUPS = 128
 CLASSES = 48
-LOOKUP = 65_536  # words whose counts every task has
+LOOKUP = 65_536  # words whose counts and classes every task has
 PASSES = 3
 FLUSH = 400_000
+SMALL = 16  # counts whose gains are looked up
+SELF = CLASSES  # in a context: the word itself
+RARE = 255  # in a context: a word whose class is not in the bounded table
 END = np.int64(0x0E7D0E7D0E7D0E7D)
 
 
@@ -166,25 +171,227 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, passes: int = PASSES) ->
     return cls
 
 
+def contexts(rows: DataFrame, types: Types, cls: np.ndarray) -> DataFrame:
+    """word, ctx, n of all words but the head: its class so far, and the class (or SELF) before and after it, in one number."""
+    schema = pa.schema([("word", pa.int64()), ("ctx", pa.int32()), ("n", pa.int64())])
+
+    def run(batches):
+        held, size = [], 0
+        for whole in batches:
+            for b in chunks(whole):
+                w = Words(b.column("text"), lower=True)
+                t, _ = types.of(w)
+                c, where, names = cls[t], np.arange(len(w.names)) + w.document(), np.full(len(t), END)
+                names[where] = signed(w.names)
+                where = where[t[where] > types.end]
+                word = names[where]
+                left = np.where((names[where - 1] == word) & (where > 0), SELF, np.where(where > 0, c[where - 1], cls[types.end]))
+                right = np.where(names[where + 1] == word, SELF, c[where + 1])
+                held.append(tallied(word, (c[where] * (SELF + 1) + left) * (SELF + 1) + right, np.ones(len(word), np.int64)))
+                size += len(held[-1][0])
+                if size > FLUSH:
+                    yield batch(schema, *tallied(*(np.concatenate(x) for x in zip(*held, strict=True))))
+                    held, size = [], 0
+        if held:
+            yield batch(schema, *tallied(*(np.concatenate(x) for x in zip(*held, strict=True))))
+
+    return rows.select("text").mapInArrow(run, "word long, ctx int, n long")
+
+
+def tallied(word: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((ctx, word))
+    word, ctx, n = word[order], ctx[order], n[order]
+    new = np.ones(len(word), bool)
+    new[1:] = (word[1:] != word[:-1]) | (ctx[1:] != ctx[:-1])
+    first = np.flatnonzero(new)
+    return word[first], ctx[first].astype(np.int32), np.add.reduceat(n, first) if len(first) else n
+
+
+class Gains:
+    """Exchange of many words, each by itself, against one table of class bigrams."""
+
+    def __init__(self, after: np.ndarray):
+        self.after, self.both = after, np.stack([after.T, after])  # both[side][c]: with the class c after each class, before each class
+        self.total = np.stack([after.sum(1), after.sum(0)])
+        steps = np.arange(SMALL + 1)[:, None, None, None]
+        self.small = entropy(self.both + steps) - entropy(self.both)
+        self.entropy = entropy(self.both)
+
+    def best(self, word: np.ndarray, ctx: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words in order -> each word once, its class, its count. The word is first taken out of its class so far."""
+        k = SELF
+        new = np.ones(len(word), bool)
+        new[1:] = word[1:] != word[:-1]
+        first, g = np.flatnonzero(new), np.cumsum(new) - 1
+        size = len(first)
+        old, left, right = ctx[first] // (k + 1) ** 2, ctx // (k + 1) % (k + 1), ctx % (k + 1)
+        grid = lambda at, keep: np.bincount((g * (k + 1) + at)[keep], n[keep], size * (k + 1)).reshape(size, k + 1)
+        every = np.ones(len(n), bool)
+        row, col = grid(right, every), grid(left, every)
+        own, count = row[:, k].copy(), row.sum(1)
+        row, col = row[:, :k], col[:, :k]
+        i, gain = np.arange(size), np.zeros((size, k))
+        for side, x in enumerate((row, col)):
+            y = (col, row)[side]
+            at, c = np.nonzero(x)
+            many = x[at, c]
+            add = np.empty((len(at), k))
+            few = many <= SMALL
+            add[few] = self.small[many[few].astype(np.int64), side, c[few]]
+            base = self.both[side][c[~few]]
+            add[~few] = entropy(base + many[~few, None]) - self.entropy[side][c[~few]]
+            where = old[at]  # there its own counts are taken out first
+            was = self.both[side][c, where]
+            inner = was - many - np.where(c == where, y[at, c] + own[at], 0)
+            add[np.arange(len(at)), where] = entropy(inner + many) - entropy(inner)
+            starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+            if len(starts):
+                gain[at[starts]] += np.add.reduceat(add, starts)
+            # the old class is without the word where it stands beside each other class, too
+            beside, mine = self.both[side][old], x[i, old][:, None]
+            less = beside - y
+            fix = entropy(less + mine) - entropy(less) - entropy(beside + mine) + self.entropy[side][old]
+            fix[i, old] = 0
+            gain += fix
+            out = np.repeat(self.total[side][None], size, 0)
+            out[i, old] -= count
+            gain -= entropy(out + count[:, None]) - entropy(out)
+        corner = np.repeat(np.diag(self.after)[None], size, 0)
+        corner[i, old] -= row[i, old] + col[i, old] + own
+        gain += entropy(corner + row + col + own[:, None]) + entropy(corner) - entropy(corner + row) - entropy(corner + col)
+        return word[first], np.argmax(np.round(gain, 6), 1), count
+
+
+def word_classes(rows: DataFrame, types: Types, cls: np.ndarray, after: np.ndarray, parts: int) -> DataFrame:
+    """word, cls, n of every word but the head."""
+    schema = pa.schema([("word", pa.int64()), ("cls", pa.int32()), ("n", pa.int64())])
+    exchanged = Gains(after)
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            held.append([b.column(i).to_numpy() for i in range(3)])
+            size += b.num_rows
+            if size > FLUSH:
+                word, ctx, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
+                held, size = [[word[cut:], ctx[cut:], n[cut:]]], len(word) - cut
+                yield from settled(word[:cut], ctx[:cut], n[:cut])
+        if size:
+            yield from settled(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    def settled(word, ctx, n):
+        a = 0
+        while a < len(word):
+            b = int(np.searchsorted(word, word[min(a + 8192, len(word)) - 1], "right"))
+            yield batch(schema, *(x.astype(t) for x, t in zip(exchanged.best(word[a:b], ctx[a:b], n[a:b]), (np.int64, np.int32, np.int64), strict=True)))
+            a = b
+
+    return contexts(rows, types, cls).repartition(parts, "word").sortWithinPartitions("word").mapInArrow(run, "word long, cls int, n long")
+
+
+class Known:
+    """Counts and classes of the end and the most frequent words; where other words start."""
+
+    def __init__(self, types: Types, cls: np.ndarray, words: list[tuple[int, int, int]], end_n: int):
+        words = sorted(words)
+        self.names, self.cls, self.n = (np.array([w[i] for w in words], np.int64) for i in range(3))
+        self.start, self.end, self.end_n = cls[types.end + 1 :], int(cls[types.end]), end_n
+
+    def of(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class (or RARE) and count of each token, each text's words and then its end, and where each text begins."""
+        at, found = place(self.names, signed(w.names))
+        first = w.first + np.arange(len(w.first))
+        c, n = np.full(first[-1], self.end, np.int64), np.full(first[-1], self.end_n, np.int64)
+        where = np.arange(len(at)) + w.document()
+        c[where] = np.where(found, self.cls[at], RARE) if len(self.cls) else RARE
+        n[where] = np.where(found, self.n[at], 0) if len(self.n) else 0
+        return c, n, first
+
+
+def rare_words(rows: DataFrame, known: Known, words: DataFrame | None, parts: int) -> DataFrame:
+    """rid, at, cls, n of each token that is not known, by row and place; ``at`` has the place, and the classes before and after.
+
+    A word that no training text has keeps the class of its group and a count of 0.
+    """
+    schema = pa.schema([("rid", pa.int64()), ("word", pa.int64()), ("at", pa.int64())])
+
+    def run(batches):
+        for whole in batches:
+            for b in chunks(whole):
+                w = Words(b.column("text"), lower=True)
+                c, _, first = known.of(w)
+                row = w.document()
+                where = np.arange(len(row)) + row
+                rare = np.flatnonzero(c[where] == RARE)
+                if len(rare):
+                    where, row = where[rare], row[rare]
+                    start = known.start[groups(w)[rare]]
+                    at = (((where - first[row]) << 8 | start) << 8 | before(c, first, known.end)[where]) << 8 | c[where + 1]
+                    yield batch(schema, b.column("rid").take(pa.array(row)), signed(w.names)[rare], at)
+
+    found = rows.select("rid", "text").mapInArrow(run, "rid long, word long, at long")
+    start = F.shiftright("at", 16).bitwiseAND(255)
+    if words is None:
+        found = found.select("rid", "at", start.cast("int").alias("cls"), F.lit(0).cast("long").alias("n"))
+    else:
+        found = found.join(words.hint("shuffle_hash"), "word", "left").select("rid", "at", F.coalesce("cls", start).cast("int").alias("cls"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return found.repartition(parts, "rid").sortWithinPartitions("rid", "at")
+
+
+def in_place(batches):
+    """Batches of ``rare_words`` -> rid, class before, class, class after (or RARE), count."""
+    last = 0
+    for b in batches:
+        if b.num_rows:
+            rid, at, cls, n = (b.column(i).to_numpy() for i in range(4))
+            cls = cls.astype(np.int64)
+            left = at >> 8 & 255
+            yield rid, np.where(left == RARE, np.r_[last, cls[:-1]], left), cls, at & 255, n
+            last = int(cls[-1])
+
+
+def class_pairs(training: DataFrame, known: Known, words: DataFrame | None, parts: int) -> np.ndarray:
+    """Counts of pairs of classes over all training texts."""
+    k = CLASSES
+    tally = lambda a, b, keep: np.bincount((a * k + b)[keep], minlength=k * k)
+
+    def frequent(batches):
+        total = np.zeros(k * k, np.int64)
+        for whole in batches:
+            for b in chunks(whole):
+                c, _, first = known.of(Words(b.column("text"), lower=True))
+                prior = before(c, first, known.end)
+                total += tally(prior, c, (prior != RARE) & (c != RARE))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(total)], ["pair", "n"])
+
+    def others(batches):
+        total = np.zeros(k * k, np.int64)
+        for _, left, c, right, _ in in_place(batches):
+            total += tally(left, c, np.ones(len(c), bool)) + tally(c, right, right != RARE)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(total)], ["pair", "n"])
+
+    found = training.select("text").mapInArrow(frequent, "pair long, n long")
+    if words is not None:
+        rows = training.select(F.monotonically_increasing_id().alias("rid"), "text")
+        found = found.unionAll(rare_words(rows, known, words, parts).mapInArrow(others, "pair long, n long"))
+    out = np.zeros(k * k)
+    for r in found.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # CLASSES**2 rows
+        out[r["pair"]] = r["n"]
+    return out.reshape(k, k)
+
+
 class Model:
-    """logs[a, b]: log10 probability of type b's class after type a's, times b in its class, times 1 / (group total) for a group."""
+    """step[a, b]: log10 probability of class b after class a; share[b]: log10 of the class's total, with half a count for each member and for a word not seen."""
 
-    def __init__(self, types: Types, pairs: np.ndarray, group_words: np.ndarray):
-        cls = exchange(pairs)
-        onto = np.eye(CLASSES)[cls]
-        after = onto.T @ pairs @ onto
-        n = pairs.sum(0)
+    def __init__(self, after: np.ndarray, members: np.ndarray):
         total = after.sum(0)
         prior = (total + 1) / (total.sum() + CLASSES)
-        step = (after + 20 * prior) / (after.sum(1, keepdims=True) + 20)
-        members = np.bincount(cls, minlength=CLASSES)
-        emit = (n + 0.5) / (total[cls] + 0.5 * members[cls])
-        share = np.ones(types.count)
-        share[types.end + 1 :] = 1 / (n[types.end + 1 :] + group_words + 1)
-        self.classes, self.step, self.emit = cls, np.log10(step), np.log10(emit) + np.log10(share)
+        self.step = np.log10((after + 20 * prior) / (after.sum(1, keepdims=True) + 20))
+        self.share = np.log10(total + 0.5 * (members + 1))
 
-    def scores(self, tokens: np.ndarray, previous: np.ndarray) -> np.ndarray:
-        return self.step[self.classes[previous], self.classes[tokens]] + self.emit[tokens]
+    def words(self, cls: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.log10(n + 0.5) - self.share[cls]
 
 
 def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scratch: Scratch) -> DataFrame:
@@ -193,23 +400,30 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
     Null and empty texts are the end token alone. Repeated rows get equal results; a null doc_id stays. Without
     training texts all counts are 0. An empty table gives no rows.
     """
-    counts = scratch.save(word_counts(id_text(training.select(F.lit(0).alias("doc_id"), "text"))))
+    training, parts = id_text(training.select(F.lit(0).alias("doc_id"), "text")), partitions(spark)
+    counts = scratch.save(word_counts(training))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n, v = int(total[0]), int(total[1])
-    top = counts.orderBy(F.desc("n"), "word").limit(LOOKUP).collect()  # bounded
-    known = np.array([r["word"] for r in top], np.int64)
-    order = np.argsort(known)
-    known, known_n = known[order], np.array([r["n"] for r in top], np.int64)[order]
     end_n = int(counts.filter(F.col("word") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    types = Types(np.array([r["word"] for r in top if r["word"] != END][:HEAD], np.int64))
-    in_head = F.lit(False)
-    if len(types.head):
-        in_head = F.col("word").isin([int(x) for x in types.head])
-    by_group = counts.filter(~in_head & (F.col("word") != int(END))).groupBy("grp").agg(F.count("*").alias("v")).collect()
-    group_words = np.zeros(GROUPS)
-    for r in by_group:
-        group_words[r["grp"]] = r["v"]
-    model = Model(types, bigrams(training, types), group_words)
+    top = counts.filter(F.col("word") != int(END)).orderBy(F.desc("n"), "word").limit(HEAD).collect()  # bounded
+    scratch.drop(counts)
+    types = Types(np.array([r["word"] for r in top], np.int64))
+    pairs = bigrams(training, types)
+    cls = exchange(pairs)
+    onto = np.eye(CLASSES)[cls]
+    words = scratch.save(word_classes(training, types, cls, onto.T @ pairs @ onto, parts))
+    scratch.release()
+    more = words.orderBy(F.desc("n"), "word").limit(max(LOOKUP - len(top), 0)).collect()  # bounded
+    head_cls = dict(zip(types.head.tolist(), cls.tolist(), strict=False))
+    known = Known(types, cls, [(r["word"], head_cls[r["word"]], r["n"]) for r in top] + [(r["word"], r["cls"], r["n"]) for r in more], end_n)
+    members = np.bincount([known.end, *head_cls.values()], minlength=CLASSES)
+    for r in words.groupBy("cls").agg(F.count("*").alias("v")).collect():
+        members[r["cls"]] += r["v"]
+    rest = None
+    if v - (end_n > 0) > len(known.names):
+        rest = words.filter(F.col("n") <= min((r["n"] for r in more), default=n))
+    model = Model(class_pairs(training, known, rest, parts), members)
+    scratch.release()
     floor = np.log10(n + 1.0 * (v + 1))
     rows = id_text(documents).withColumn("rid", F.xxhash64("doc_id", "text"))
     base = rows
@@ -222,47 +436,32 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
     def frequent(batches):
         for whole in batches:
             for b in chunks(whole):
-                w = Words(b.column("text"), lower=True)
-                t, first = types.of(w)
-                at, found = place(known, signed(w.names))
-                c = np.where(found, known_n[at] if len(known_n) else 0, 0)
-                logs = np.zeros(len(t))
-                hits = np.zeros(len(t), np.int64)
-                where = np.arange(len(c)) + w.document()
-                logs[where] = np.log10(c + 1.0)
-                hits[where] = c > 0
-                ends = first[1:] - 1
-                logs[ends], hits[ends] = np.log10(end_n + 1.0), end_n > 0
+                c, count, first = known.of(Words(b.column("text"), lower=True))
+                size, prior = np.diff(first), before(c, first, known.end)
+                logs = np.zeros(len(c))
+                at = np.flatnonzero(c != RARE)
+                logs[at] = model.words(c[at], count[at])
+                at = at[prior[at] != RARE]
+                logs[at] += model.step[prior[at], c[at]]
                 add = lambda x: np.add.reduceat(x, first[:-1])
-                model_logs = model.scores(t, before(t, first, types.end)) + np.where(t > types.end, logs, 0.0)
-                size = np.diff(first)
-                yield batch(schema, b.column("rid"), size, add(hits), add(logs) - floor * size, add(model_logs))
+                yield batch(schema, b.column("rid"), size, add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)) - floor * size, add(logs))
 
-    rare = pa.schema([("rid", pa.int64()), ("word", pa.int64()), ("tf", pa.int32())])
+    sums = pa.schema([("rid", pa.int64()), ("hits", pa.int64()), ("logs", pa.float64()), ("more", pa.float64())])
 
     def others(batches):
-        for whole in batches:
-            for b in chunks(whole):
-                w = Words(b.column("text"), lower=True)
-                names = signed(w.names)
-                at = np.flatnonzero(~place(known, names)[1])
-                if not len(at):
-                    continue
-                row = w.document()[at]
-                order = np.lexsort((names[at], row))
-                row, word = row[order], names[at][order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
-                first = np.flatnonzero(new)
-                yield batch(rare, b.column("rid").take(pa.array(row[first])), word[first], np.diff(np.r_[first, len(row)]).astype(np.int32))
+        for rid, left, c, right, count in in_place(batches):
+            logs = model.step[left, c] + model.words(c, count)
+            at = np.flatnonzero(right != RARE)
+            logs[at] += model.step[c[at], right[at]]
+            first = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]])
+            add = lambda x: np.add.reduceat(x, first)  # noqa: E731, B023
+            yield batch(sums, rid[first], add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)), add(logs))
 
     head = base.select("rid", "text").mapInArrow(frequent, "rid long, n_tokens long, n_known long, base double, model double")
-    if v > len(known):
-        least = int(known_n.min())
-        tail = counts.filter(F.col("n") <= least).select("word", "n").hint("shuffle_hash")
-        found = base.select("rid", "text").mapInArrow(others, "rid long, word long, tf int").join(tail, "word")
-        found = found.groupBy("rid").agg(F.sum(F.col("tf") * F.log10(F.col("n") + 1.0)).alias("logs"), F.sum("tf").alias("hits"))
-        head = head.join(found, "rid", "left").select("rid", "n_tokens", (F.col("n_known") + F.coalesce("hits", F.lit(0))).alias("n_known"), (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base"), (F.col("model") + F.coalesce("logs", F.lit(0.0))).alias("model"))
+    found = rare_words(base, known, rest, parts).mapInArrow(others, "rid long, hits long, logs double, more double")
+    found = found.groupBy("rid").agg(F.sum("hits").alias("hits"), F.sum("logs").alias("logs"), F.sum("more").alias("more"))
+    none = F.lit(0.0)
+    head = head.join(found, "rid", "left").select("rid", "n_tokens", (F.col("n_known") + F.coalesce("hits", F.lit(0))).alias("n_known"), (F.col("base") + F.coalesce("logs", none)).alias("base"), (F.col("model") + F.coalesce("more", none)).alias("model"))
     return rows.select("doc_id", "rid").join(head, "rid").select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"))
 
 

@@ -285,6 +285,42 @@ def test_exchange_puts_like_words_together():
     assert len(set(cls[:4])) == len(set(cls[4:])) == 1 and cls[0] != cls[4]
 
 
+def test_words_move_to_the_class_of_greatest_gain():
+    rng = np.random.default_rng(2)
+    k, tokens, cls = language_model.CLASSES, rng.integers(0, 60, 3000), rng.integers(0, 6, 60)
+    tokens[1000:1003] = 7
+    e = language_model.entropy
+
+    def after(c):
+        t = np.zeros((k, k))
+        np.add.at(t, (c[tokens], c[np.roll(tokens, -1)]), 1)
+        return t
+
+    def likelihood(t):
+        return e(t).sum() - e(t.sum(0)).sum() - e(t.sum(1)).sum()
+
+    gains = language_model.Gains(after(cls))
+    for w in range(60):
+        at = np.flatnonzero(tokens == w)
+        beside = [np.where(x[at] == w, language_model.SELF, cls[x[at]]) for x in (np.roll(tokens, 1), np.roll(tokens, -1))]
+        _, best, n = gains.best(*language_model.tallied(np.full(len(at), 5), (cls[w] * (k + 1) + beside[0]) * (k + 1) + beside[1], np.ones(len(at), np.int64)))
+        every = [likelihood(after(np.where(np.arange(60) == w, c, cls))) for c in range(k)]
+        assert n.tolist() == [len(at)] and every[best[0]] == pytest.approx(max(every), abs=1e-5)
+
+
+def test_words_of_one_group_have_classes_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "HEAD", 120)
+    rng = random.Random(3)
+    word = lambda k: f"{k}{rng.randrange(60)}"
+    texts = [" ".join(x for _ in range(40) for x in (word("a"), word("b"))) for _ in range(300)]
+    texts += [f"{word('b')} xxend {word('b')} {word('a')} yyend {word('a')}" for _ in range(20)]
+    asked = docs(spark, ["b1 xxend b2", "b1 yyend b2", "a1 yyend a2", "a1 xxend a2"])
+    for lookup in (language_model.LOOKUP, 121):
+        monkeypatch.setattr(language_model, "LOOKUP", lookup)
+        got = {r["doc_id"]: r["score"] for r in language_model.scored(spark, asked, docs(spark, texts), Scratch(spark, "t")).collect()}
+        assert got[0] > got[1] + 0.5 and got[2] > got[3] + 0.5
+
+
 def test_toxic_sentences_are_located(spark):
     rng = random.Random(9)
     texts, labels = [], []
