@@ -1,8 +1,9 @@
 """Personal data, also where it is disguised: detectors over a normalised text whose spans map back to the source.
 
-The plain detectors run over the text as it is. A transducer then rewrites what disguises hide (look-alike
-characters, spelled digits, "at" and "dot" in words or brackets, character references) and remembers where each
-piece came from. The same detectors run over the rewritten text, and spans that are new map back to source characters.
+The plain detectors run over the text as it is. Three transducers then rewrite what disguises hide, each reading what
+the one before wrote and remembering where each piece came from: look-alike characters; spelled digits, marks in brackets
+and character references; "at" and "dot" in words. The same detectors run over the rewritten text, and spans that are new
+map back through all of them to source characters.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Characters drawn like an ASCII letter (Cyrillic and Greek).
 LOOK_ALIKE = dict(zip("АВЕКМНОРСТУХаеорсухіјѕԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧοι", "ABEKMHOPCTYXaeopcyxijsdqwABEZHIKMNOPTYXoi", strict=True))
-# Endings of addresses; words around "at" and "dot" are an address only if the last one is among these.
+# Endings of addresses; words around "at" and "dot" are an address without another sign only if the last one is among these.
 ENDINGS = frozenset("com org net edu gov mil int info biz io ai co app dev me tv eu uk us de fr es it nl be at ch pl pt se no fi dk ie cz ru cn jp kr in br mx ar cl au nz ca za example test".split())
 # Digits in the words of the four languages, and a doubled or tripled one in English.
 SPELLED = {
@@ -41,18 +42,21 @@ REFERENCES = {"&#64;": "@", "&#x40;": "@", "&commat;": "@", "&#46;": ".", "&#x2e
 
 _digit = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + ")"
 _at, _dot = r"(?:at|arroba|arobase|@)", r"(?:dot|point|punkt|punto|\.)"
-# A run of at least three digits of which some are words; an address in words; a bracketed mark; a character reference.
+_blank = r"[\x20\t\r\n]"
+# A run of at least three digits of which some are words; a bracketed mark; a character reference.
 DISGUISE = re.compile(
     rf"(?P<digits>(?<!\w)(?:plus[\x20-]+)?{_digit}(?:[\x20-]+(?:{_digit}|[0-9]+|dot|punkt|punto|point)){{2,}}(?!\w))"
-    rf"|(?P<words>(?<=[A-Za-z0-9._%+-])\x20at\x20(?=[A-Za-z0-9-]+\x20dot\x20[A-Za-z0-9-]))"
-    rf"|(?P<mark>\x20*[\[({{<]\x20*(?:{_at}|{_dot})\x20*[\])}}>]\x20*)"
+    rf"|(?P<mark>{_blank}*[\[({{<]{_blank}*(?:{_at}|{_dot}){_blank}*[\])}}>]{_blank}*)"
     rf"|(?P<reference>{'|'.join(map(re.escape, REFERENCES))})",
     re.IGNORECASE,
 )
-WORD_DOT = re.compile(r"([A-Za-z0-9-]+)(\x20dot\x20)(?=[A-Za-z0-9-])", re.IGNORECASE)
-LABEL = re.compile("[A-Za-z0-9]+|")
+BLANKS = frozenset(" \t\r\n")
+WORD_AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:@|{_blank}+at{_blank}+)(?=[A-Za-z0-9-])", re.IGNORECASE)
+WORD_DOT = re.compile(rf"(?:\.|(?P<word>{_blank}+dot{_blank}+))(?=[A-Za-z0-9-])", re.IGNORECASE)
+LABEL = re.compile("[A-Za-z0-9-]+")
+LETTERS = re.compile("[A-Za-z]{2,}")
 #: Lower-case texts without any of these hold no disguise of that sort; the scans are much faster than the pattern.
-HINT = re.compile(rf"[\[({{<]\x20*(?:{_at}|{_dot})\x20*[\])}}>]|&(?:#|commat|period|plus)")
+HINT = re.compile(rf"[\[({{<]{_blank}*(?:{_at}|{_dot}){_blank}*[\])}}>]|&(?:#|commat|period|plus)")
 DIGITS_HINT = re.compile(rf"(?<!\w){_digit}[\x20-]+(?:{_digit}|[0-9]+|dot|punkt|punto|point)[\x20-]+")
 NAMES = frozenset(SPELLED)
 DIGIT = re.compile("[0-9]")
@@ -117,47 +121,86 @@ def plain(c: str, _known: dict[str, str] = {}) -> str:  # noqa: B006  a table of
 
 def hinted(text: str) -> bool:
     low = text.lower()
-    if "\x20dot\x20" in low and "\x20at\x20" in low or any(c in low for c in "([{<&") and HINT.search(low):
+    if any(c in low for c in "([{<&") and HINT.search(low):
         return True
     return not NAMES.isdisjoint(low.replace("-", " ").split()) and DIGITS_HINT.search(low) is not None
 
 
-def pieces(text: str) -> list[tuple[int, int, str]]:
-    """Rewritings (start, end, instead) in order and apart from one another."""
+def alike(text: str) -> list[tuple[int, int, str]]:
+    """Rewritings (start, end, instead) of look-alike characters and blanks, in order and apart from one another."""
+    if text.isascii():
+        return []
+    found = {c: p for c in set(text) if not c.isascii() and (p := plain(c)) != c}
+    return [(m.start(), m.end(), found[m[0]]) for m in re.finditer("[" + re.escape("".join(found)) + "]", text)] if found else []
+
+
+def marks(text: str) -> list[tuple[int, int, str]]:
+    """Rewritings of spelled digits, bracketed marks and character references."""
     out = []
     if hinted(text):
         for m in DISGUISE.finditer(text):
-            a, b = m.span()
             if m["digits"]:
                 said = "".join((SPELLED.get(w := p[0].lower()) or MARKS.get(w) or w) for p in PIECE.finditer(m[0]))
-                out.append((a, b, said))
-            elif m["words"]:
-                dots, at = [], b
-                while d := WORD_DOT.match(text, at):
-                    dots.append((*d.span(2), "."))
-                    at = d.end()
-                if LABEL.match(text, at)[0].lower() in ENDINGS:
-                    out += [(a, b, "@"), *dots]
+                out.append((*m.span(), said))
             elif m["mark"]:
-                out.append((a, b, "@" if re.search(_at, m["mark"], re.IGNORECASE) else "."))
+                out.append((*m.span(), "@" if re.search(_at, m["mark"], re.IGNORECASE) else "."))
             else:
-                out.append((a, b, REFERENCES[m["reference"].lower()]))
-    if not text.isascii():
-        alike = {c: p for c in set(text) if not c.isascii() and (p := plain(c)) != c}
-        if alike:
-            inside = list(out)
-            for m in re.finditer("[" + re.escape("".join(alike)) + "]", text):
-                i = m.start()
-                k = bisect_right(inside, (i, len(text) + 1, ""))
-                if not (k and inside[k - 1][1] > i):
-                    out.append((i, i + 1, alike[m[0]]))
-            out.sort()
-    kept, done = [], 0
-    for a, b, s in out:
-        if a >= done:
-            kept.append((a, b, s))
-            done = b
-    return kept
+                out.append((*m.span(), REFERENCES[m["reference"].lower()]))
+    return out
+
+
+def worded(text: str, signs: list[int]) -> list[tuple[int, int, str]]:
+    """Rewritings of "at" and "dot" in words, on both sides of the at. signs: places of marks that were disguised otherwise.
+
+    The longest address counts whose last label is a known ending, or letters where a sign or a second dot supports it.
+    """
+    out, done = [], 0
+    if "at" not in (low := text.lower()) and "@" not in low or "dot" not in low and not signs:
+        return out
+    for m in WORD_AT.finditer(text):
+        a, b = m.span()
+        if a < done:
+            continue
+        dots, ends, at = [], [], LABEL.match(text, b).end()
+        while d := WORD_DOT.match(text, at):
+            label = LABEL.match(text, d.end())
+            dots.append(d)
+            ends.append(label)
+            at = label.end()
+        sign = bisect_right(signs, a - 1)
+        while dots:
+            sure = m[0] == "@" or len(dots) > 1 or sign < len(signs) and signs[sign] < ends[-1].end()
+            if ends[-1][0].lower() in ENDINGS or sure and LETTERS.fullmatch(ends[-1][0]):
+                break
+            dots.pop()
+            ends.pop()
+        marked = sign < len(signs) and dots and signs[sign] < ends[-1].end()
+        said = [(*d.span(), ".") for d in dots if d["word"]]
+        local, start = [], a
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        while (found := dot_before(text, start, done)) is not None:
+            local.append((found, start, "."))
+            start = found
+            while start > done and text[start - 1] in LOCAL:
+                start -= 1
+        if dots and (said or marked or m[0] == "@" and local):
+            out += [*reversed(local), *([] if m[0] == "@" else [(a, b, "@")]), *said]
+            done = ends[-1].end()
+    return out
+
+
+def dot_before(text: str, end: int, least: int) -> int | None:
+    """Where the worded dot begins that ends at ``end`` and has a label before it."""
+    i = end
+    while i > least and text[i - 1] in BLANKS:
+        i -= 1
+    j = i - 3
+    if i == end or j <= least or text[j:i].lower() != "dot":
+        return None
+    while j > least and text[j - 1] in BLANKS:
+        j -= 1
+    return j if least < j < i - 3 and text[j - 1] in LOCAL else None
 
 
 def rewritten(text: str, changes: list[tuple[int, int, str]]) -> tuple[str, list[int], list[tuple[int, int, bool]]]:
@@ -178,22 +221,33 @@ def find(text: str | None) -> tuple[dict[str, list[tuple[int, int]]], dict[str,
     """Plain spans and all spans by kind, in code points of the text. A null text is empty."""
     text = text or ""
     base = detect(text)
-    changes = pieces(text)
-    if not changes:
+    new, layers, signs = text, [], []
+    for step in (alike, marks, lambda t: worded(t, signs)):
+        changes = step(new)
+        if changes:
+            new, starts, source = rewritten(new, changes)
+            layers.append((starts, source))
+            signs = [n for n, (_, _, copied) in zip(starts, source, strict=True) if not copied and new[n] in "@."] if step is marks else signs
+    if not layers:
         return base, base
-    new, starts, source = rewritten(text, changes)
     found = {k: list(v) for k, v in base.items()}
     for kind, spans in detect(new).items():
-        for a, b in spans:
-            i, j = bisect_right(starts, a) - 1, bisect_right(starts, b - 1) - 1
-            (sa, sb, sc), (ea, eb, ec) = source[i], source[j]
-            span = (sa + a - starts[i] if sc else sa, ea + b - starts[j] if ec else eb)
+        for span in spans:
+            for starts, source in reversed(layers):
+                span = back(*span, starts, source)
             if not any(span[0] < y and x < span[1] for x, y in base[kind]):
                 found[kind].append(span)
         found[kind].sort()
     return base, found
 
 
+def back(a: int, b: int, starts: list[int], source: list[tuple[int, int, bool]]) -> tuple[int, int]:
+    """The span before the rewriting."""
+    i, j = bisect_right(starts, a) - 1, bisect_right(starts, b - 1) - 1
+    (sa, sb, sc), (ea, eb, ec) = source[i], source[j]
+    return sa + a - starts[i] if sc else sa, ea + b - starts[j] if ec else eb
+
+
 def joined(spans: dict[str, list[tuple[int, int]]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k in KINDS for a, b in spans[k])
 

@@ -86,6 +86,33 @@ def test_disguised_data_maps_back(text, kind, span):
     assert [text[a:b] for a, b in found] == [span]
 
 
+@pytest.mark.parametrize(
+    "span",
+    [
+        "jane [at] example dot com",
+        "jane at example [dot] com",
+        "jane@example dot com",
+        "john dot doe at example dot com",
+        "john [dot] doe at mail dot example dot com",
+        "jane\u00a0at\u00a0example\u00a0dot\u00a0com",
+        "jane  at\texample \n dot com",
+        "jane \u0430t example d\u043et com",
+        "jane a\u200bt example d\u200bot com",
+        "jane [at] example dot museum",
+        "jane at mail dot example dot museum",
+    ],
+)
+def test_mixed_disguises_map_back(span):
+    text = f"(write, {span}, now)"
+    assert [text[a:b] for a, b in pii.find(text)[1]["email"]] == [span]
+    assert pii.masked(text) == "(write, <EMAIL>, now)"
+
+
+def test_mixed_spelled_digits_map_back():
+    text = "call plus f\u043eur nine\u00a0one seven s\u200bix five five five five one two three."
+    assert [text[a:b] for a, b in pii.find(text)[1]["phone"]] == [text[5:-1]]
+
+
 def test_clean_words_are_left_alone():
     for t in ("we met at the dot and went home", "one two buckle my shoe", "un deux", "look at this", "3.4.5"):
         assert not any(pii.find(t)[1].values())
