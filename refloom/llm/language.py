@@ -126,7 +126,10 @@ def ftrl(examples: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tu
 
 
 def learn(rows: DataFrame) -> Model:
-    """rows (text, lang): all labelled texts with a language and some text."""
+    """rows (text, lang, and doc_id if there): all labelled texts with a language and some text.
+
+    The sample is drawn by doc_id, so copies of a text are taken or left one by one; by the text only without one.
+    """
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
@@ -137,7 +140,7 @@ def learn(rows: DataFrame) -> Model:
     share, each = F.lit(0.0), max(20, SAMPLE // len(languages))
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, each / n))).otherwise(share)
-    picked = sampled(rows.filter(F.pmod(F.xxhash64("text", F.lit(13)), F.lit(1 << 20)) < share * (1 << 20)))
+    picked = sampled(rows.filter(F.pmod(F.xxhash64("doc_id" if "doc_id" in rows.columns else "text", F.lit(13)), F.lit(1 << 20)) < share * (1 << 20)))
     number = {name: i for i, name in enumerate(languages)}
     examples = []
     for name, at, n in picked:
@@ -187,5 +190,5 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
 def op6_ftrl_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    labelled = documents.filter(~held & F.col("lang").isNotNull() & (F.length("text") > 0)).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    labelled = documents.filter(~held & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     return predicted(documents, learn(labelled)).select("doc_id", held.alias("held_out"), "lang_pred", "score")
