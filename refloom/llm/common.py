@@ -5,11 +5,10 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
-import time
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
@@ -20,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where all run in one process a temporary one serves, too."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="refloom-checkpoint-"))
     return _OWN_DIR[0]
@@ -62,11 +63,9 @@ class Scratch:
         self.release()
 
     def release(self) -> None:
-        """Let Spark remove the shuffle files of finished steps."""
-        for _ in range(2):
-            gc.collect()
-            self.spark.sparkContext._jvm.System.gc()
-            time.sleep(0.3)
+        """Let Spark remove the shuffle files of finished steps: it does so, by itself, when their plans are collected."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def _close(self) -> None:
         try:
@@ -85,9 +84,19 @@ def id_text(schema_df: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
     return schema_df.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
+#: Name of the column that numbers rows.
+ROW = "__row"
+
+
+def row_numbers(scratch: Scratch, df: DataFrame) -> DataFrame:
+    """All columns and ROW, a number of its own for each row: ids may be null or repeat. Written, so that it stays the same."""
+    return scratch.save(df.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def held_out(column: str, modulus: int, remainder: int):
-    return F.crc32(F.col(column).cast("string")) % modulus == remainder
+def held_out(column: str, modulus: int, remainder: int) -> Column:
+    """Whether a row is kept from training; one with a null id is not."""
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))

@@ -8,99 +8,126 @@ least ``SHARE`` of their positions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_text, table
+from .common import ROW, Scratch, id_text, row_numbers, table
 
 MASKS = ((0, 1, 3, 6, 8, 9), (0, 2, 3, 5, 8, 9), (0, 1, 4, 5, 7, 9))
 SPAN = 10
 WINDOW, SHARE = 13, 0.8
+#: Items of fewer words name no passage: clean texts hold such words by chance.
+LEAST = 5
 #: A benchmark of at most so many words is sent to every task; a larger one is joined by a shuffle.
 BROADCAST_WORDS = 500_000
 SPLIT = r"[^\p{L}\p{N}]+"
 
 
+def masks_of(length: int) -> tuple[tuple[int, ...], ...]:
+    """The masks for items of so many words. Any window of WINDOW words that agrees in SHARE of them holds a seed of MASKS.
+
+    A shorter item is aligned as a whole. With e words that may differ its positions fall into e + 1 interleaved masks, of
+    which the differing words leave one untouched.
+    """
+    if length >= WINDOW:
+        return MASKS
+    e = length - math.ceil(length * SHARE)
+    return tuple(tuple(range(r, length, e + 1)) for r in range(e + 1))
+
+
 def word_hashes(text: Column) -> Column:
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPLIT), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def all_seeds(words: Column) -> Column:
-    """Seeds of all masks at all places, place by place: number k is of place k div 3."""
-    places = F.when(F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN)).otherwise(F.array().cast("array<int>"))
-    at = lambda i: F.array(*[F.xxhash64(F.lit(k), *[F.get(words, i + d) for d in mask]) for k, mask in enumerate(MASKS)])
-    return F.flatten(F.transform(places, at))
+def seeds(words: Column, length: int, first_only: bool = False) -> Column:
+    """array<struct<place, seed>> of the masks for items of so many words, at all places (or the first)."""
+    masks = masks_of(length)
+    span = SPAN if length >= WINDOW else length
+    last = F.lit(0) if first_only else F.size(words) - span
+    places = F.when(F.size(words) >= span, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    seed = lambda i, k, mask: F.struct(i.alias("place"), F.xxhash64(F.lit(length), F.lit(k), *[F.get(words, i + d) for d in mask]).alias("seed"))
+    return F.flatten(F.transform(places, lambda i: F.array(*[seed(i, k, mask) for k, mask in enumerate(masks)])))
 
 
-def seed_rows(df: DataFrame, key: str, words: Column) -> DataFrame:
+def seed_rows(df: DataFrame, key: str, words: Column, made) -> DataFrame:
     """key, place, seed; the words stay behind, so that a row is a few bytes."""
-    once = F.get(F.transform(F.array(words), all_seeds), F.lit(0))  # the words are made once, not at every place
-    return df.select(key, F.posexplode(once).alias("n", "seed")).select(key, F.floor(F.col("n") / len(MASKS)).cast("int").alias("place"), "seed")
+    once = F.get(F.transform(F.array(words), made), F.lit(0))  # the words are made once, not at every place
+    return df.select(key, F.explode(once).alias("s")).select(key, "s.place", "s.seed")
 
 
-def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """documents (doc_id, text), benchmark (item_id, text) -> doc_id, item_id, n_hits, matched, aligned.
-
-    One row for each document and item with a verified overlap: how many aligned places of seeds were verified, and of
-    the best window how many words agree and how many are aligned. Items of fewer than ten words name no passage and
-    match nothing; windows are the whole item where it has fewer than thirteen words. Null and empty texts match
-    nothing; rows with one id count as one document; rows with a null id as well. Empty tables give no rows.
+def overlaps(scratch: Scratch, rows: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """rows (key, text), benchmark (item_id, text) -> key, item_id, shift, matched, aligned: each alignment with a verified window.
 
-    First all documents' seeds meet the benchmark's; only places that do are looked at again, with the words around them.
+    First all rows' seeds meet the benchmark's; only places that do are looked at again, with the words around them.
     """
-    docs = id_text(documents)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text").cast("string")).alias("item")).filter(F.size("item") >= SPAN)
-    known = seed_rows(items, "item_id", F.col("item")).withColumnRenamed("place", "item_place")
-    small = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0] <= BROADCAST_WORDS
-    sent = F.broadcast if small else (lambda df: df)
-    met = seed_rows(docs, "doc_id", word_hashes(F.col("text"))).join(sent(known.select("seed").distinct()), "seed", "left_semi")
-    met = met.groupBy(F.col("doc_id").alias("met_id")).agg(F.collect_set(F.struct("place", "seed")).alias("places"))  # at most a document's own places
-    hashed = docs.join(met.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("met_id"))).select("doc_id", "places", "text")
-    # WINDOW - SPAN words before a place and WINDOW from it on hold every window with the seed
-    low = lambda p: F.greatest(F.lit(0), p["place"] + (SPAN - WINDOW))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text").cast("string")).alias("item")).filter(F.size("item") >= LEAST)
+    items = row_numbers(scratch, items).withColumnRenamed(ROW, "number")
+    total, lengths = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0)), F.collect_set(F.least(F.size("item"), F.lit(WINDOW)))).first()  # nine lengths at most
+    lengths = sorted(lengths) or [WINDOW]
+    own = lambda words: F.concat(*[F.when(F.least(F.size(words), F.lit(WINDOW)) == n, seeds(words, n, n < WINDOW)).otherwise(F.array().cast("array<struct<place:int,seed:bigint>>")) for n in lengths])
+    known = seed_rows(items, "number", F.col("item"), own).withColumnRenamed("place", "item_place")
+    sent = F.broadcast if total <= BROADCAST_WORDS else (lambda df: df)
+    every = lambda words: F.concat(*[seeds(words, n) for n in lengths])
+    met = seed_rows(rows, "key", word_hashes(F.col("text")), every).join(sent(known.select("seed").distinct()), "seed", "left_semi")
+    met = met.groupBy(F.col("key").alias("met_key")).agg(F.collect_set(F.struct("place", "seed")).alias("places"))  # at most a row's own places
+    hashed = rows.join(met.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("met_key"))).select("key", "places", "text")
+    # WINDOW - LEAST words before a place and WINDOW from it on hold every window with the seed
+    low = lambda p: F.greatest(F.lit(0), p["place"] - (WINDOW - 1))
     around = lambda words: F.transform("places", lambda p: F.struct(p["place"].alias("place"), p["seed"].alias("seed"), (p["place"] - low(p)).alias("before"), F.slice(words, low(p) + 1, p["place"] - low(p) + WINDOW).alias("x")))
     near = F.get(F.transform(F.array(word_hashes(F.col("text"))), around), F.lit(0))
-    near = hashed.select("doc_id", F.explode(near).alias("p")).select("doc_id", "p.*").distinct()
-    pairs = near.join(sent(known), "seed").drop("seed").distinct().join(sent(items), "item_id")
-    back = F.least(F.col("before"), F.col("item_place"))
-    x, y = F.slice("x", F.col("before") - back + 1, F.lit(2 * WINDOW)), F.slice("item", F.col("item_place") - back + 1, F.lit(2 * WINDOW))
+    near = hashed.select("key", F.explode(near).alias("p")).select("key", "p.*").distinct()
+    pairs = near.join(sent(known), "seed").drop("seed").distinct().join(sent(items), "number")
     wide = F.least(F.lit(WINDOW), F.size("item"))
+    most = F.when(F.size("item") >= WINDOW, WINDOW - SPAN).otherwise(0)  # words before the seed in a window that holds it
+    back = F.least(F.col("before"), F.col("item_place"), most)
+    x, y = F.slice("x", F.col("before") - back + 1, F.lit(2 * WINDOW)), F.slice("item", F.col("item_place") - back + 1, F.lit(2 * WINDOW))
     length = F.least(F.size("x") - F.col("before"), F.size("item") - F.col("item_place"), F.lit(WINDOW)) + back
     same = F.transform(F.sequence(F.lit(0), length - 1), lambda i: (F.get("_x", i) == F.get("_y", i)).cast("int"))
     pairs = pairs.withColumns({"_x": x, "_y": y, "aligned": wide, "_n": length}).withColumn("same", same)
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("_n") - F.col("aligned")))
     best = F.array_max(F.transform(starts, lambda s: F.aggregate(F.slice("same", s + 1, F.col("aligned")), F.lit(0), lambda total, v: total + v)))
     found = pairs.withColumn("matched", best).filter((F.col("_n") >= F.col("aligned")) & (F.col("matched") >= F.ceil(F.col("aligned") * F.lit(SHARE))))
-    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_hits"), F.max("matched").cast("long").alias("matched"), F.max_by("aligned", "matched").cast("long").alias("aligned"))
+    return found.groupBy("key", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).agg(F.max("matched").alias("matched"), F.max("aligned").alias("aligned"))
+
+
+def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """documents (doc_id, text), benchmark (item_id, text) -> doc_id, item_id, n_hits, matched, aligned.
+
+    One row for each document and item with a verified overlap: how many alignments of the two were verified, and of the
+    best window how many words agree and how many are aligned. Items of fewer than five words name no passage and
+    match nothing; windows are the whole item where it has fewer than thirteen words. Null and empty texts match
+    nothing; a very long one is read whole; rows with one id count as one document, rows with a null id as well, and an
+    item with a null id is an item. Empty tables give no rows. Other columns are not read, whatever their names.
+    """
+    found = overlaps(Scratch(spark, "decontamination"), id_text(documents).withColumnRenamed("doc_id", "key"), benchmark)
+    return found.groupBy(F.col("key").alias("doc_id"), "item_id").agg(F.countDistinct("shift").alias("n_hits"), F.max("matched").cast("long").alias("matched"), F.max("aligned").cast("long").alias("aligned"))
 
 
 def clean(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns, without those that hold a benchmark passage. A null doc_id is kept."""
-    bad = contaminated(spark, documents, benchmark).select("doc_id").distinct()
-    return documents.join(bad, "doc_id", "left_anti").select(*documents.columns)
+    """The documents, all columns, without the rows that hold a benchmark passage, whatever their ids."""
+    scratch = Scratch(spark, "decontamination")
+    rows = row_numbers(scratch, documents)
+    bad = overlaps(scratch, rows.select(F.col(ROW).alias("key"), F.col("text").cast("string").alias("text")), benchmark).select(F.col("key").alias(ROW)).distinct()
+    return rows.join(bad, ROW, "left_anti").select(*documents.columns)
 
 
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: All alignments of all documents and items by their equal words, without any seed.
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\pL\pN]+'), lambda x: x <> '') AS words FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\pL\pN]+'), lambda x: x <> '') AS item FROM benchmark),
-m(k, o) AS (VALUES (0, [0, 1, 3, 6, 8, 9]), (1, [0, 2, 3, 5, 8, 9]), (2, [0, 1, 4, 5, 7, 9])),
-dp AS (SELECT doc_id, words, unnest(range(0, len(words) - 9)) AS pos FROM d WHERE len(words) >= 10),
-bp AS (SELECT item_id, item, unnest(range(0, len(item) - 9)) AS place FROM b WHERE len(item) >= 10),
-bs AS (SELECT item_id, item, place, k, list_transform(o, lambda i: item[place + i + 1]) AS seed FROM bp, m),
-ds AS (SELECT doc_id, words, pos, k, list_transform(o, lambda i: words[pos + i + 1]) AS seed FROM dp, m),
-hit AS (
-  SELECT DISTINCT ds.doc_id, bs.item_id, ds.pos, bs.place, ds.words, bs.item, least(13, len(bs.item)) AS wide,
-         greatest(-ds.pos, -bs.place, -3) AS low, least(len(ds.words) - ds.pos, len(bs.item) - bs.place, 13) AS high
-  FROM ds JOIN bs ON ds.k = bs.k AND ds.seed = bs.seed),
-s AS (SELECT *, list_transform(range(low, high), lambda i: CASE WHEN words[pos + i + 1] = item[place + i + 1] THEN 1 ELSE 0 END) AS same FROM hit),
-v AS (
-  SELECT doc_id, item_id, wide, list_max(list_transform(range(0, greatest(0, high - low - wide) + 1), lambda j: list_sum(same[j + 1:j + wide]))) AS matched
-  FROM s WHERE high - low >= wide)
-SELECT doc_id, item_id, count(*)::BIGINT AS n_hits, max(matched)::BIGINT AS matched, arg_max(wide, matched)::BIGINT AS aligned
-FROM v WHERE matched >= ceil(wide * 0.8) GROUP BY doc_id, item_id
+dw AS (SELECT doc_id, len(words) AS size, unnest(words) AS w, unnest(range(0, len(words))) AS pos FROM d),
+bw AS (SELECT item_id, len(item) AS wide, unnest(item) AS w, unnest(range(0, len(item))) AS place FROM b WHERE len(item) >= 5),
+e AS (SELECT doc_id, item_id, size, wide, pos - place AS shift, place FROM dw JOIN bw ON dw.w = bw.w),
+a AS (SELECT doc_id, item_id, shift, least(13, wide) AS aligned, size, wide, list(place) AS places FROM e GROUP BY doc_id, item_id, shift, size, wide HAVING count(*) >= ceil(least(13, wide) * 0.8)),
+s AS (SELECT *, unnest(range(greatest(0, -shift), least(wide, size - shift) - aligned + 1)) AS start FROM a),
+v AS (SELECT doc_id, item_id, shift, aligned, len(list_filter(places, lambda p: p >= start AND p < start + aligned)) AS matched FROM s)
+SELECT doc_id, item_id, count(DISTINCT shift)::BIGINT AS n_hits, max(matched)::BIGINT AS matched, max(aligned)::BIGINT AS aligned
+FROM v WHERE matched >= ceil(aligned * 0.8) GROUP BY doc_id, item_id
 """
