@@ -42,6 +42,8 @@ REFERENCES = {"&#64;": "@", "&#x40;": "@", "&commat;": "@", "&#46;": ".", "&#x2e
 
 _digit = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + ")"
 _at, _dot = r"(?:at|arroba|arobase|@)", r"(?:dot|point|punkt|punto|\.)"
+# The words for the dot that go with each word for the at. "point" goes with the French one alone: "at one point in" is prose.
+SPOKEN = {"@": ("dot", "punkt", "punto"), "at": ("dot", "punkt"), "arroba": ("punto",), "arobase": ("point",)}
 _blank = r"[\x20\t\r\n]"
 # A run of at least three digits of which some are words; a bracketed mark; a character reference.
 DISGUISE = re.compile(
@@ -51,14 +53,17 @@ DISGUISE = re.compile(
     re.IGNORECASE,
 )
 BLANKS = frozenset(" \t\r\n")
-WORD_AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:@|{_blank}+at{_blank}+)(?=[A-Za-z0-9-])", re.IGNORECASE)
-WORD_DOT = re.compile(rf"(?:\.|(?P<word>{_blank}+dot{_blank}+))(?=[A-Za-z0-9-])", re.IGNORECASE)
+WORD_AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:@|{_blank}+(?P<word>at|arroba|arobase){_blank}+)(?=[A-Za-z0-9-])", re.IGNORECASE)
+WORD_DOT = {at: re.compile(rf"(?:\.|(?P<word>{_blank}+(?:{'|'.join(dots)}){_blank}+))(?=[A-Za-z0-9-])", re.IGNORECASE) for at, dots in SPOKEN.items()}
+DOT_WORDS = tuple(sorted({d for dots in SPOKEN.values() for d in dots}))
+AT_HINT = re.compile(r"@|\b(?:at|arroba|arobase)\b")
 LABEL = re.compile("[A-Za-z0-9-]+")
 LETTERS = re.compile("[A-Za-z]{2,}")
 #: Lower-case texts without any of these hold no disguise of that sort; the scans are much faster than the pattern.
 HINT = re.compile(rf"[\[({{<]{_blank}*(?:{_at}|{_dot}){_blank}*[\])}}>]|&(?:#|commat|period|plus)")
 DIGITS_HINT = re.compile(rf"(?<!\w){_digit}[\x20-]+(?:{_digit}|[0-9]+|dot|punkt|punto|point)[\x20-]+")
-NAMES = frozenset(SPELLED)
+NAMES = frozenset(w.encode() for w in SPELLED)
+WORDS_ONLY = bytes(b if b > 127 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
 DIGIT = re.compile("[0-9]")
 PIECE = re.compile(r"[^\x20-]+")
 
@@ -120,10 +125,14 @@ def plain(c: str, _known: dict[str, str] = {}) -> str:  # noqa: B006  a table of
 
 
 def hinted(text: str) -> bool:
+    """False only for texts that DISGUISE does not match; much faster than DISGUISE."""
     low = text.lower()
     if any(c in low for c in "([{<&") and HINT.search(low):
         return True
-    return not NAMES.isdisjoint(low.replace("-", " ").split()) and DIGITS_HINT.search(low) is not None
+    for c in () if low.isascii() else set(low):
+        if not c.isascii() and not c.isalnum():
+            low = low.replace(c, " ")
+    return not NAMES.isdisjoint(low.encode("utf-8", "replace").translate(WORDS_ONLY).split()) and DIGITS_HINT.search(low) is not None
 
 
 def alike(text: str) -> list[tuple[int, int, str]]:
@@ -155,14 +164,16 @@ def worded(text: str, signs: list[int]) -> list[tuple[int, int, str]]:
     The longest address counts whose last label is a known ending, or letters where a sign or a second dot supports it.
     """
     out, done = [], 0
-    if "at" not in (low := text.lower()) and "@" not in low or "dot" not in low and not signs:
+    low = text.lower()
+    if not signs and not any(d in low for d in DOT_WORDS) or not AT_HINT.search(low):
         return out
     for m in WORD_AT.finditer(text):
         a, b = m.span()
         if a < done:
             continue
         dots, ends, at = [], [], LABEL.match(text, b).end()
-        while d := WORD_DOT.match(text, at):
+        spoken = (m["word"] or "@").lower()
+        while d := WORD_DOT[spoken].match(text, at):
             label = LABEL.match(text, d.end())
             dots.append(d)
             ends.append(label)
@@ -179,7 +190,7 @@ def worded(text: str, signs: list[int]) -> list[tuple[int, int, str]]:
         local, start = [], a
         while start > done and text[start - 1] in LOCAL:
             start -= 1
-        while (found := dot_before(text, start, done)) is not None:
+        while (found := dot_before(text, start, done, SPOKEN[spoken])) is not None:
             local.append((found, start, "."))
             start = found
             while start > done and text[start - 1] in LOCAL:
@@ -190,17 +201,18 @@ def worded(text: str, signs: list[int]) -> list[tuple[int, int, str]]:
     return out
 
 
-def dot_before(text: str, end: int, least: int) -> int | None:
-    """Where the worded dot begins that ends at ``end`` and has a label before it."""
+def dot_before(text: str, end: int, least: int, words: tuple[str, ...]) -> int | None:
+    """Where the dot in one of the words begins that ends at ``end`` and has a label before it."""
     i = end
     while i > least and text[i - 1] in BLANKS:
         i -= 1
-    j = i - 3
-    if i == end or j <= least or text[j:i].lower() != "dot":
+    size = next((len(w) for w in words if text[max(least, i - len(w)) : i].lower() == w), 0)
+    j = i - size
+    if i == end or not size or j <= least:
         return None
     while j > least and text[j - 1] in BLANKS:
         j -= 1
-    return j if least < j < i - 3 and text[j - 1] in LOCAL else None
+    return j if least < j < i - size and text[j - 1] in LOCAL else None
 
 
 def rewritten(text: str, changes: list[tuple[int, int, str]]) -> tuple[str, list[int], list[tuple[int, int, bool]]]:
@@ -230,14 +242,16 @@ def find(text: str | None) -> tuple[dict[str, list[tuple[int, int]]], dict[str,
             signs = [n for n, (_, _, copied) in zip(starts, source, strict=True) if not copied and new[n] in "@."] if step is marks else signs
     if not layers:
         return base, base
-    found = {k: list(v) for k, v in base.items()}
+    found = {}
     for kind, spans in detect(new).items():
+        mapped = []
         for span in spans:
             for starts, source in reversed(layers):
                 span = back(*span, starts, source)
-            if not any(span[0] < y and x < span[1] for x, y in base[kind]):
-                found[kind].append(span)
-        found[kind].sort()
+            mapped.append(span)
+        ends = [b for _, b in base[kind]]  # plain spans are in order and apart: the first that ends after a start is the one to look at
+        new_ones = [s for s in mapped if (i := bisect_right(ends, s[0])) == len(ends) or base[kind][i][0] >= s[1]]
+        found[kind] = sorted(base[kind] + new_ones)
     return base, found
 
 
@@ -272,8 +286,9 @@ OUT_DDL = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base
 def spans(documents: DataFrame) -> DataFrame:
     """documents (doc_id, text) -> one row each: counts of all spans, the digest of the plain ones, and all spans.
 
-    A null or empty text has no span. Rows are independent: repeated rows give repeated results, a null doc_id
-    stays, an empty table gives no rows.
+    A null or empty text has no span; a very long one is read whole, in time about linear in its length. Rows are
+    independent: repeated rows give repeated results, a null doc_id stays, an empty table gives no rows. Other columns
+    are not read, whatever their names.
     """
 
     def run(batches):
@@ -301,5 +316,3 @@ def mask(documents: DataFrame) -> DataFrame:
 
 def op1_offset_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans(table(spark, sf_dir, "documents"))
-
-
