@@ -1,6 +1,7 @@
 """Packing along a Hilbert curve: documents with like words lie near one another in the training sequences.
 
-Each document's token ids make a hashed count vector, which a fixed random projection maps to three dimensions.
+Each document's token ids make a hashed vector of damped counts, in which rarer ids weigh more, and a fixed random
+projection maps it to three dimensions.
 The Hilbert index of the point orders the documents; tokens are laid end to end along the curve and cut every
 1,024. Each range of the curve is a stream of its own, whose rest is cut at powers of two: no token is padding.
 """
@@ -102,9 +103,11 @@ def projection(buckets: int = 4096) -> np.ndarray:
 
 
 def curve_key(ids: np.ndarray, signs: np.ndarray) -> list[float]:
-    counts = np.bincount(ids % len(signs), minlength=len(signs)).astype(float)
-    norm = math.sqrt(float(counts @ counts))
-    return (counts @ signs / norm).tolist() if norm else [0.0] * DIMENSIONS
+    """The projection of log(1 + count) times a weight that grows with the id: merges are numbered by frequency."""
+    known, counts = np.unique(ids, return_counts=True)
+    weight = np.log1p(counts) * np.log2(known + 2.0)
+    norm = math.sqrt(float(weight @ weight))
+    return (weight @ signs[known % len(signs)] / norm).tolist() if norm else [0.0] * DIMENSIONS
 
 
 TOKENS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("ids", pa.binary())])
@@ -187,8 +190,9 @@ def pack(spark: SparkSession, documents: DataFrame, path: str | None = None, len
 
     Every id of every document, and the end id after it, lies in exactly one piece; sequences are ``length`` long or
     a smaller power of two, so nothing is padded. A null or empty text is its end id alone. Equal texts share a key
-    and lie side by side; equal keys are ordered by doc_id, so one key of very many rows spreads over several ranges.
-    A null doc_id stays. An empty table gives no rows.
+    and lie side by side; equal keys are ordered by doc_id, so one key of very many rows spreads over several ranges, and
+    rows of one key and doc_id by their ids. A very long text is encoded whole and cut into many pieces. A null doc_id
+    stays. An empty table gives no rows. Other columns are not read, whatever their names.
     """
     scratch = Scratch(spark, "pack")
     ids = scratch.save(tokens(documents, path or tokenizer_path()))  # range bounds are sampled: do not tokenize twice
@@ -199,7 +203,7 @@ def pack(spark: SparkSession, documents: DataFrame, path: str | None = None, len
         for rows in cut(batches, length, TaskContext.get().partitionId()):
             yield batch(PIECES, *(list(c) for c in zip(*rows, strict=True)))
 
-    return ids.repartitionByRange(partitions(spark), "key", "doc_id").sortWithinPartitions("key", "doc_id").mapInArrow(run, PIECES_DDL)
+    return ids.repartitionByRange(partitions(spark), "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids").mapInArrow(run, PIECES_DDL)
 
 
 def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
