@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, id_text, table
+from .common import batch, held_out, id_text, table
 from .words import LOWER, chunks, text_bytes
 
 SIZE = 1 << 14
@@ -68,8 +68,9 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def sampled(rows: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    schema = pa.schema([("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary())])
+def sampled(rows: DataFrame, most: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """Language, n-grams and counts of the ``most`` rows that come first by ``o``."""
+    schema = pa.schema([("o", pa.int64()), ("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary())])
 
     def run(batches):
         for whole in batches:
@@ -80,9 +81,9 @@ def sampled(rows: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
                         k = np.flatnonzero(r)
                         at.append(k.astype(np.uint16).tobytes())
                         n.append(r[k].astype(np.uint32).tobytes())
-                yield batch(schema, b.column("lang"), at, n)
+                yield batch(schema, b.column("o"), b.column("lang"), at, n)
 
-    found = rows.select("lang", "text").mapInArrow(run, "lang string, at binary, n binary").collect()
+    found = rows.select("o", "lang", "text").mapInArrow(run, "o long, lang string, at binary, n binary").orderBy("o", "lang").limit(most).collect()
     return [(r["lang"], np.frombuffer(r["at"], np.uint16).astype(np.int64), np.frombuffer(r["n"], np.uint32).astype(float)) for r in found]
 
 
@@ -128,7 +129,9 @@ def ftrl(examples: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tu
 def learn(rows: DataFrame) -> Model:
     """rows (text, lang, and doc_id if there): all labelled texts with a language and some text.
 
-    The sample is drawn by doc_id, so copies of a text are taken or left one by one; by the text only without one.
+    The sample is drawn by doc_id and text, so copies of a text under several ids are taken or left one by one. No more
+    than twice SAMPLE rows, and 20 of each language, reach the driver, whatever repeats: beyond that the least by a hash
+    stay.
     """
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
@@ -140,7 +143,9 @@ def learn(rows: DataFrame) -> Model:
     share, each = F.lit(0.0), max(20, SAMPLE // len(languages))
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, each / n))).otherwise(share)
-    picked = sampled(rows.filter(F.pmod(F.xxhash64("doc_id" if "doc_id" in rows.columns else "text", F.lit(13)), F.lit(1 << 20)) < share * (1 << 20)))
+    order = F.xxhash64(*[c for c in ("doc_id", "text") if c in rows.columns], F.lit(13))
+    drawn = rows.withColumn("o", order).filter(F.pmod("o", F.lit(1 << 20)) < share * (1 << 20))
+    picked = sampled(drawn, 2 * max(SAMPLE, 20 * len(languages)))
     number = {name: i for i, name in enumerate(languages)}
     examples = []
     for name, at, n in picked:
@@ -165,7 +170,9 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score: the most likely language and its calibrated probability.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if no language was learned. Equal
-    texts get equal results; a null doc_id stays; an empty table gives no rows.
+    texts, repeated rows among them, get equal results; a very long one is read whole; of languages that are equally
+    likely the first by name wins. A null doc_id stays; an empty table gives no rows. Other columns are not read,
+    whatever their names.
     """
 
     def run(batches):
@@ -188,7 +195,6 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def op6_ftrl_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    documents, held = table(spark, sf_dir, "documents"), held_out("doc_id", 3, 1)
     labelled = documents.filter(~held & F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     return predicted(documents, learn(labelled)).select("doc_id", held.alias("held_out"), "lang_pred", "score")

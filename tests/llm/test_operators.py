@@ -287,7 +287,7 @@ def test_language_sample_is_bounded_under_copies(spark, monkeypatch):
     rows = [(i, "one text of many copies" if k == "aa" else f"other words {i}", k) for i, k in enumerate(["aa", "bb"] * 600)]
     taken, sampled = [], language.sampled
     monkeypatch.setattr(language, "SAMPLE", 200)
-    monkeypatch.setattr(language, "sampled", lambda r: taken.append(r.groupBy("lang").count().collect()) or sampled(r))
+    monkeypatch.setattr(language, "sampled", lambda r, n: taken.append(r.groupBy("lang").count().collect()) or sampled(r, n))
     assert language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["aa", "bb"]
     assert {r["lang"]: 50 < r["count"] < 200 for r in taken[0]} == {"aa": True, "bb": True}
 
