@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, id_text, table
+from .common import Scratch, batch, held_out, id_text, table
 from .words import LOWER, Words, chunks, mix
 
 #: Bound of the labelled rows behind the fit: at most about this many of each class.
@@ -64,7 +64,7 @@ def pairs(group: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def chosen(rows: DataFrame, n: dict[int, int]) -> np.ndarray:
-    """Features that are markedly more frequent in toxic texts, by counts over all rows (text, y)."""
+    """Features that are markedly more frequent in toxic texts, by counts over all of the sampled rows (text, y)."""
     schema = pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("other", pa.int64())])
 
     def run(batches):
@@ -77,7 +77,7 @@ def chosen(rows: DataFrame, n: dict[int, int]) -> np.ndarray:
                 known, at = np.unique(names, return_inverse=True)
                 yield batch(schema, signed(known), np.bincount(at, y == 1, len(known)).astype(np.int64), np.bincount(at, y == 0, len(known)).astype(np.int64))
 
-    counted = rows.select("text", "y").mapInArrow(run, "feature long, toxic long, other long").groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("other").alias("b")).filter(F.col("a") >= MIN_TEXTS)
+    counted = rows.select("text", "y").mapInArrow(run, "feature long, toxic long, other long").groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("other").alias("b")).filter(F.col("a") >= min(MIN_TEXTS, n[1]))
     share = (F.col("a") + F.col("b")) / (n[0] + n[1])
     z = (F.col("a") / n[1] - F.col("b") / n[0]) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n[0] + 1 / n[1]))
     best = counted.withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "feature").limit(FEATURES).select("feature").collect()
@@ -190,9 +190,10 @@ def text_scores(w: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndar
     """Noisy-or of each text's sentences; the sentence of each word; each text's first sentence; each sentence's score."""
     number, first = sentences(w)
     p = sigmoid(model.sentence_scores(w, number, int(first[-1])))
-    logs = np.r_[0, np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-12)))]
-    silent = float(sigmoid(np.array([model.bias]))[0])
-    score = np.where(np.diff(first) > 0, 1 - np.exp(logs[first[1:]] - logs[first[:-1]]), silent)
+    score = np.full(len(first) - 1, float(sigmoid(np.array([model.bias]))[0]))
+    some = np.flatnonzero(np.diff(first) > 0)
+    if len(some):  # a text's own sum: the same wherever it stands in a batch
+        score[some] = 1 - np.exp(np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), first[:-1][some]))
     return np.clip(score, 0, 1), number, first, p
 
 
@@ -236,16 +237,16 @@ def toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame, allow
     """documents, labels (doc_id, toxic) -> doc_id, score, predicted, offending; one row a document.
 
     A null or empty text, or one of punctuation alone, has no sentence and gets the score of a sentence without known
-    words. Repeated rows get equal scores; a null doc_id stays. Without labels, or with labels of one kind only, all
-    scores are that of the kind seen (0 without any). An empty table gives no rows.
+    words. A very long text is read whole, and a text's score does not depend on its neighbours. Repeated rows get equal
+    scores; a null doc_id stays, and labels with one are left out. Without labels, or with labels of one kind only, all
+    scores are that of the kind seen (0 without any). An empty table gives no rows. Other columns are not read, whatever
+    their names.
     """
     return scored(documents, learn(spark, documents, labels, allowed))
 
 
 def op9_multiple_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held = held_out("doc_id", 5, 0)
     out = toxicity(spark, documents, labels, ~held)
     return out.select("doc_id", held.alias("held_out"), "score", "predicted", F.array_join(F.transform("offending", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("sentences"))
-
-
