@@ -11,7 +11,7 @@ from .language_model import op8_brown_classes
 from .minhash import OP7_SQL, op7_circulant_minhash
 from .packing import op5_hilbert_packing
 from .pii import op1_offset_deobfuscation
-from .sharding import op10_prefix_sum_sharding
+from .sharding import OP10_SQL, op10_prefix_sum_sharding
 from .substrings import OP3_SQL, op3_recompression
 from .toxicity import op9_multiple_instance_toxicity
 
@@ -28,4 +28,4 @@ QUERIES = {
     "op10_prefix_sum_sharding": op10_prefix_sum_sharding,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op2_cover_tree": OP2_SQL, "op3_recompression": OP3_SQL, "op4_spaced_seeds": OP4_SQL, "op7_circulant_minhash": OP7_SQL}
+ORACLES: dict[str, str] = {"op2_cover_tree": OP2_SQL, "op3_recompression": OP3_SQL, "op4_spaced_seeds": OP4_SQL, "op7_circulant_minhash": OP7_SQL, "op10_prefix_sum_sharding": OP10_SQL}

@@ -33,8 +33,9 @@ def shard(spark: SparkSession, documents: DataFrame, n: int = 24) -> DataFrame:
     Documents are laid end to end by doc_id; shard k has those whose middle byte lies in the k-th of n equal
     parts of all bytes, so that shards are contiguous and differ from the target by about one document.
     A null text counts no byte besides the header and has the checksum of an empty text. Rows with a null doc_id
-    come first; rows with equal ids are ordered by checksum and size, and equal rows take neighbouring slots.
-    An empty table gives no rows.
+    come first; rows with equal ids are ordered by checksum and size, and equal rows take neighbouring slots. A very
+    long text is one document: its shard may exceed the target by its size. An empty table gives no rows. Other
+    columns are not read, whatever their names.
     """
     scratch = Scratch(spark, "shard")
     text = F.col("text").cast("string")
@@ -49,3 +50,22 @@ def shard(spark: SparkSession, documents: DataFrame, n: int = 24) -> DataFrame:
 
 def op10_prefix_sum_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark, table(spark, sf_dir, "documents"))
+
+
+# The checksum by its rule: a table of eight steps of a shift and the reversed polynomial for each byte.
+_CRC = "list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b))"
+_BYTES = "list_transform(regexp_extract_all(hex(encode(x)), '..'), lambda p: ('0x' || p)::BIGINT)"
+OP10_SQL = f"""
+WITH t AS MATERIALIZED (SELECT {_CRC} AS crc),
+d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+s AS (
+  SELECT doc_id, octet_length(encode(x)) + 8 AS size,
+         xor(list_reduce({_BYTES}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32
+  FROM d, t),
+o AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM s),
+p AS (SELECT *, least(23, ((2 * before + size) * 24) // (2 * total))::INT AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM p
+"""
