@@ -208,11 +208,46 @@ def test_vectors_are_linked_as_by_all_cosines(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] and got[i]["component_id"] == i for i in range(900, 906))
 
 
+def brute_vectors(x, threshold=0.95):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= threshold
+    root = np.arange(len(x))
+    while not (root == (root := np.where(near, root[None], len(x)).min(1))).all():
+        pass
+    return (near.sum(1) - 1).tolist(), root.tolist()
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.6])
+def test_vectors_over_many_blocks(spark, monkeypatch, spread):
+    """Tight groups far apart, whose cells are pruned against one another, and wide ones, whose cells all meet."""
+    monkeypatch.setattr(covertree, "BLOCK", 40)
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.normal(size=(12, 6)), 40, axis=0) + rng.normal(size=(480, 6)) * spread
+    items, made = covertree.work_items, []
+    monkeypatch.setattr(covertree, "work_items", lambda *a: made.append(a[2].count()) or made.append((i := items(*a)).count()) or i)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    got = {r["vec_id"]: r for r in covertree.near_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()}
+    links, root = brute_vectors(x)
+    assert [got[i]["n_links"] for i in range(len(x))] == links and [got[i]["component_id"] for i in range(len(x))] == root
+    blocks, pairs = made
+    assert blocks >= 12 and (pairs < blocks * (blocks + 1) / 4) == (spread < 0.1)
+
+
+def test_clashing_vector_names_are_told_apart(spark, monkeypatch):
+    real = F.xxhash64
+    weak = lambda *c: real(*c) if len(c) != 2 or "41" not in str(c[1]) else F.lit(7).cast("long")
+    monkeypatch.setattr(covertree.F, "xxhash64", weak)
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0]), (None, [1.0, 0.0])]
+    got = collections.Counter(tuple(r) for r in covertree.near_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == {(1, 2, 1, True): 1, (2, 0, 2, True): 1, (3, 2, 1, False): 1, (None, 2, 1, False): 1}
+
+
 def test_tree_pairs_are_exact():
     rng = np.random.default_rng(1)
     x = covertree.unit(np.repeat(rng.normal(size=(30, 6)), 7, axis=0) + rng.normal(size=(210, 6)) * 0.1)
     k, n = np.arange(210), rng.integers(1, 4, 210)
-    ids, counts, *_ = covertree.joined(k, n, t := covertree.Tree(x), k, n, t, 0.95)
+    t = covertree.Tree(x)
+    ids, counts, *_ = covertree.joined(k[t.order], n[t.order], t, k[t.order], n[t.order], t, 0.95)
     near = x @ x.T >= 0.95
     np.fill_diagonal(near, False)
     want = near @ n
