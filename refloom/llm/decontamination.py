@@ -9,6 +9,7 @@ least ``SHARE`` of their positions.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ WINDOW, SHARE = 13, 0.8
 LEAST = 5
 #: A benchmark of at most so many words is sent to every task; a larger one is joined by a shuffle.
 BROADCAST_WORDS = 500_000
+#: A benchmark of at most so many words has a table of the ends of its seeds, of eight to sixteen cells a word.
+TABLE_WORDS = 32_768
 SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -42,12 +45,14 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(words: Column, length: int, first_only: bool = False) -> Column:
-    """array<struct<place, seed>> of the masks for items of so many words, at all places (or the first)."""
+def seeds(words: Column, length: int, first_only: bool = False, hopeful=None) -> Column:
+    """array<struct<place, seed>> of the masks for items of so many words, at all places (or the first, or hopeful ones)."""
     masks = masks_of(length)
     span = SPAN if length >= WINDOW else length
     last = F.lit(0) if first_only else F.size(words) - span
     places = F.when(F.size(words) >= span, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    if hopeful is not None:
+        places = F.filter(places, lambda i: hopeful(words, i))
     seed = lambda i, k, mask: F.struct(i.alias("place"), F.xxhash64(F.lit(length), F.lit(k), *[F.get(words, i + d) for d in mask]).alias("seed"))
     return F.flatten(F.transform(places, lambda i: F.array(*[seed(i, k, mask) for k, mask in enumerate(masks)])))
 
@@ -58,10 +63,24 @@ def seed_rows(df: DataFrame, key: str, words: Column, made) -> DataFrame:
     return df.select(key, F.explode(once).alias("s")).select(key, "s.place", "s.seed")
 
 
+def ends(words: Column, i: Column, cells: int) -> Column:
+    """Place in a table of so many cells of the words at both ends of all MASKS at place i."""
+    first, last = MASKS[0][0], MASKS[0][-1]
+    return F.get(words, i + first).bitwiseXOR(F.shiftleft(F.get(words, i + last), 1)).bitwiseAND(cells - 1).cast("int")
+
+
+def end_table(items: DataFrame, cells: int) -> Column:
+    """array<tinyint>, a constant: 1 where some seed of the benchmark has its ends."""
+    places = F.when(F.size("item") >= SPAN, F.sequence(F.lit(0), F.size("item") - SPAN)).otherwise(F.array().cast("array<int>"))
+    found = {r[0] for r in items.select(F.explode(F.transform(places, lambda i: ends(F.col("item"), i, cells)))).distinct().collect()}  # a row a cell at most
+    return F.from_json(F.lit(str([int(c in found) for c in range(cells)])), "array<tinyint>")
+
+
 def overlaps(scratch: Scratch, rows: DataFrame, benchmark: DataFrame) -> DataFrame:
     """rows (key, text), benchmark (item_id, text) -> key, item_id, shift, matched, aligned: each alignment with a verified window.
 
-    First all rows' seeds meet the benchmark's; only places that do are looked at again, with the words around them.
+    First all rows' seeds meet the benchmark's; only places that do are looked at again, with the words around them. Where
+    the benchmark is small, a table first says of each place whether any seed has the words at its two ends.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text").cast("string")).alias("item")).filter(F.size("item") >= LEAST)
     items = row_numbers(scratch, items).withColumnRenamed(ROW, "number")
@@ -70,7 +89,12 @@ def overlaps(scratch: Scratch, rows: DataFrame, benchmark: DataFrame) -> DataFra
     own = lambda words: F.concat(*[F.when(F.least(F.size(words), F.lit(WINDOW)) == n, seeds(words, n, n < WINDOW)).otherwise(F.array().cast("array<struct<place:int,seed:bigint>>")) for n in lengths])
     known = seed_rows(items, "number", F.col("item"), own).withColumnRenamed("place", "item_place")
     sent = F.broadcast if total <= BROADCAST_WORDS else (lambda df: df)
-    every = lambda words: F.concat(*[seeds(words, n) for n in lengths])
+    hopeful = None
+    if total <= TABLE_WORDS:
+        cells = 1 << max(10, (8 * total).bit_length())
+        known_ends = end_table(items, cells)
+        hopeful = lambda words, i: F.get(known_ends, ends(words, i, cells)) == 1
+    every = lambda words: F.concat(*[seeds(words, n, hopeful=hopeful if n == WINDOW else None) for n in lengths])
     met = seed_rows(rows, "key", word_hashes(F.col("text")), every).join(sent(known.select("seed").distinct()), "seed", "left_semi")
     met = met.groupBy(F.col("key").alias("met_key")).agg(F.collect_set(F.struct("place", "seed")).alias("places"))  # at most a row's own places
     hashed = rows.join(met.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("met_key"))).select("key", "places", "text")
