@@ -93,6 +93,13 @@ def row_numbers(scratch: Scratch, df: DataFrame) -> DataFrame:
     return scratch.save(df.withColumn(ROW, F.monotonically_increasing_id()))
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 8) -> DataFrame:
+    """left joined with right (one row a key), each key dealt over several tasks by ``by``: a key may have very many rows on the left."""
+    dealt = left.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    each = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(each, [key, "__salt"]).drop("__salt")
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

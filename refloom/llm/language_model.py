@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, id_text, partitions, table
+from .common import ROW, Scratch, batch, held_out, id_text, partitions, row_numbers, table
 from .words import Words, chunks, mix
 
 HEAD = 767  # words that the first exchange moves one by one, besides the end
@@ -394,12 +394,15 @@ class Model:
         return np.log10(n + 0.5) - self.share[cls]
 
 
-def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scratch: Scratch) -> DataFrame:
-    """documents, training (text) -> doc_id, n_tokens, n_known, train_tokens, base_score, score; one row a document.
+class Learned:
+    """What scoring needs: the bounded table, the words beyond it (null if there are none), the model, and the counts of all tokens and words."""
 
-    Null and empty texts are the end token alone. Repeated rows get equal results; a null doc_id stays. Without
-    training texts all counts are 0. An empty table gives no rows.
-    """
+    def __init__(self, known: Known, rest: DataFrame | None, model: Model, n: int, v: int):
+        self.known, self.rest, self.model, self.n, self.v = known, rest, model, n, v
+
+
+def learn(spark: SparkSession, training: DataFrame, scratch: Scratch) -> Learned:
+    """training (text): counts, classes and class bigrams of all its words."""
     training, parts = id_text(training.select(F.lit(0).alias("doc_id"), "text")), partitions(spark)
     counts = scratch.save(word_counts(training))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -422,16 +425,23 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
     rest = None
     if v - (end_n > 0) > len(known.names):
         rest = words.filter(F.col("n") <= min((r["n"] for r in more), default=n))
-    model = Model(class_pairs(training, known, rest, parts), members)
-    scratch.release()
-    floor = np.log10(n + 1.0 * (v + 1))
-    rows = id_text(documents).withColumn("rid", F.xxhash64("doc_id", "text"))
-    base = rows
-    ids = rows.agg(F.count("*"), F.countDistinct("rid")).first()
-    if ids[0] != ids[1]:  # repeated rows are scored once
-        base = rows.dropDuplicates(["rid"])
+    return Learned(known, rest, Model(class_pairs(training, known, rest, parts), members), n, v)
 
-    schema = pa.schema([("rid", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())])
+
+def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scratch: Scratch) -> DataFrame:
+    """documents, training (text) -> doc_id, n_tokens, n_known, train_tokens, base_score, score; one row a document.
+
+    Null and empty texts are the end token alone; very long ones are scored whole. Repeated rows are rows of their own
+    and get equal results; a null doc_id stays. Of words that are equally frequent the least by name comes first.
+    Without training texts all counts are 0. An empty table gives no rows. Other columns are not read, whatever their
+    names.
+    """
+    learned, parts = learn(spark, training, scratch), partitions(spark)
+    known, model = learned.known, learned.model
+    scratch.release()
+    floor = np.log10(learned.n + 1.0 * (learned.v + 1))
+    rows = row_numbers(scratch, id_text(documents)).withColumnRenamed(ROW, "rid")
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())])
 
     def frequent(batches):
         for whole in batches:
@@ -443,8 +453,8 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
                 logs[at] = model.words(c[at], count[at])
                 at = at[prior[at] != RARE]
                 logs[at] += model.step[prior[at], c[at]]
-                add = lambda x: np.add.reduceat(x, first[:-1])
-                yield batch(schema, b.column("rid"), size, add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)) - floor * size, add(logs))
+                add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731, B023
+                yield batch(schema, b.column("rid"), b.column("doc_id"), size, add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)) - floor * size, add(logs))
 
     sums = pa.schema([("rid", pa.int64()), ("hits", pa.int64()), ("logs", pa.float64()), ("more", pa.float64())])
 
@@ -457,16 +467,15 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
             add = lambda x: np.add.reduceat(x, first)  # noqa: E731, B023
             yield batch(sums, rid[first], add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)), add(logs))
 
-    head = base.select("rid", "text").mapInArrow(frequent, "rid long, n_tokens long, n_known long, base double, model double")
-    found = rare_words(base, known, rest, parts).mapInArrow(others, "rid long, hits long, logs double, more double")
+    head = rows.mapInArrow(frequent, "rid long, doc_id long, n_tokens long, n_known long, base double, model double")
+    found = rare_words(rows, known, learned.rest, parts).mapInArrow(others, "rid long, hits long, logs double, more double")
     found = found.groupBy("rid").agg(F.sum("hits").alias("hits"), F.sum("logs").alias("logs"), F.sum("more").alias("more"))
-    none = F.lit(0.0)
-    head = head.join(found, "rid", "left").select("rid", "n_tokens", (F.col("n_known") + F.coalesce("hits", F.lit(0))).alias("n_known"), (F.col("base") + F.coalesce("logs", none)).alias("base"), (F.col("model") + F.coalesce("more", none)).alias("model"))
-    return rows.select("doc_id", "rid").join(head, "rid").select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"))
+    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
+    n = F.lit(learned.n).cast("long")
+    return head.join(found, "rid", "left").select("doc_id", "n_tokens", plus("n_known", "hits").alias("n_known"), n.alias("train_tokens"), plus("base", "logs").alias("base_score"), plus("model", "more").alias("score"))
 
 
 def op8_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    out = scored(spark, documents, documents.filter(~F.coalesce(held, F.lit(False))), Scratch(spark, "brown"))
+    documents, held = table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2)
+    out = scored(spark, documents, documents.filter(~held), Scratch(spark, "brown"))
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

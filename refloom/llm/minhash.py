@@ -1,25 +1,26 @@
 """Near-duplicate documents by circulant MinHash, with links confirmed on full shingle sets.
 
 A first permutation (a hash) scatters the shingles over 2**32 places; a second permutation, shifted circularly by
-0, 1, 2 ... places, gives every signature coordinate. Signatures are banded. Texts with equal shingle sets are one
-class, so copies cost one row each. In a bucket, every class is compared with one centre; only classes that are
-still apart after that are compared with the rest of their bucket, in blocks, and only where the triangle
-inequality of the Jaccard distance leaves a link possible.
+0, 1, 2 ... places, gives every signature coordinate. Signatures are banded. Texts of equal words are one class, named
+by a digest of them, so copies cost one row each. In a bucket, every class is compared with one centre; only classes
+that are still apart after that are compared with the rest of their bucket, in blocks, and only where the triangle
+inequality of the Jaccard distance leaves a link possible. Joins by bucket are salted: one bucket may hold very many.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, id_text, table
+from .common import ROW, Scratch, batch, row_numbers, salted_join, table
 from .components import components
-from .words import U, Words, chunks, content, mix, prefix_sums
+from .words import LOWER, U, Words, chunks, content, mix, prefix_sums
 
 WIDTH = 5
-SEED = U(0x51ED270B9F8D3C21)
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -41,9 +42,13 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return names[new], at[bounds]
 
 
-def class_names(names: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A name for each row's set (rows without shingles must be left out)."""
-    return mix(np.add.reduceat(mix(names ^ SEED), bounds[:-1]) ^ np.diff(bounds).astype(U))
+LOWERED = LOWER.tobytes()
+
+
+def digest(text: str | None) -> bytes | None:
+    """Names the sequence of a text's words; null without words."""
+    words = (text or "").encode("utf-8", "replace").translate(LOWERED).split()
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
 
 def signatures(names: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
@@ -73,11 +78,11 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return np.array(out)
 
 
-SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def sketch(documents: DataFrame, rows: int, n_bands: int) -> DataFrame:
-    """doc_id, n_shingles, k (the set's name; null without shingles) and bands."""
+def sketch(documents: DataFrame, row, rows: int, n_bands: int) -> DataFrame:
+    """row, doc_id, n_shingles, name (the words' digest; null without words) and bands."""
 
     def run(batches):
         for whole in batches:
@@ -85,37 +90,34 @@ def sketch(documents: DataFrame, rows: int, n_bands: int) -> DataFrame:
                 names, bounds = shingles(Words(b.column("text"), lower=True))
                 n = np.diff(bounds)
                 full = n > 0
-                if not full.any():
-                    yield batch(SKETCH, b.column("doc_id"), n, pa.nulls(len(n), pa.int64()), pa.nulls(len(n), SKETCH.field("bands").type))
-                    continue
-                tight = np.r_[bounds[:-1][full], bounds[-1]]
-                k = np.zeros(len(n), np.int64)
-                k[full] = class_names(names, tight).view(np.int64)
-                found = bands(signatures(names, tight, rows * n_bands), rows).T
                 lists = np.zeros((len(n), n_bands), np.int64)
-                lists[full] = np.ascontiguousarray(found).view(np.int64)
-                yield batch(SKETCH, b.column("doc_id"), n, pa.array(k, mask=~full), pa.FixedSizeListArray.from_arrays(pa.array(lists.ravel()), n_bands).cast(SKETCH.field("bands").type))
+                if full.any():
+                    found = bands(signatures(names, np.r_[bounds[:-1][full], bounds[-1]], rows * n_bands), rows).T
+                    lists[full] = np.ascontiguousarray(found).view(np.int64)
+                named = [digest(t) for t in b.column("text").to_pylist()]
+                yield batch(SKETCH, b.column("row"), b.column("doc_id"), n, named, pa.FixedSizeListArray.from_arrays(pa.array(lists.ravel()), n_bands).cast(SKETCH.field("bands").type))
 
-    return id_text(documents).mapInArrow(run, "doc_id long, n_shingles long, k long, bands array<long>")
+    picked = documents.select(row.cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return picked.mapInArrow(run, "row long, doc_id long, n_shingles long, name binary, bands array<long>")
 
 
 SETS = pa.schema([("k", pa.int64()), ("shingles", pa.binary())])
 
 
 def sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """k and the full shingle set of each wanted class (k, rep: a document that has it)."""
+    """k and the full shingle set of each wanted class (k, name, rep: a doc_id that has it)."""
 
     def run(batches):
         for whole in batches:
             for b in chunks(whole):
-                names, bounds = shingles(Words(b.column("text"), lower=True))
-                want = b.column("k").to_pylist()
-                found = [(w, names[x:y]) for w, x, y in zip(want, bounds[:-1], bounds[1:], strict=True) if y > x]
-                found = [(w, s) for w, s in found if int(class_names(s, np.array([0, len(s)])).view(np.int64)[0]) == w]
-                if found:
-                    yield batch(SETS, [w for w, _ in found], [s.tobytes() for _, s in found])
-
-    joined = id_text(documents).join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("k", "text")
+                same = [digest(t) == n for t, n in zip(b.column("text").to_pylist(), b.column("name").to_pylist(), strict=True)]
+                b = b.filter(pa.array(same))  # another text may have the doc_id
+                if b.num_rows:
+                    names, bounds = shingles(Words(b.column("text"), lower=True))
+                    yield batch(SETS, b.column("k"), [names[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)])
+
+    picked = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    joined = picked.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("k", "name", "text")
     return joined.mapInArrow(run, "k long, shingles binary")
 
 
@@ -178,24 +180,16 @@ def compared(spark: SparkSession, apart: DataFrame, rest: DataFrame, full: DataF
     return rows.groupBy("b", "l", "r").applyInArrow(block, "u long, v long")
 
 
-def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = 85, rows: int = 6, n_bands: int = 16) -> DataFrame:
-    """documents (doc_id, text) -> doc_id, n_shingles, component_id, kept; one row a document.
-
-    Two documents are linked if 100 * |intersection| >= percent * |union| of their shingle sets. A pair at the
-    threshold of 0.85 shares a band with probability 0.9995 (0.99999 at 0.9). Rows without words are linked with
-    nothing and kept. Rows with one text, repeated rows among them, are one class. A null doc_id stays: its
-    component is the smallest doc_id of its group, null if it has none, and then it is kept. An empty table gives no rows.
-    """
-    scratch = Scratch(spark, "minhash")
-    sketched = scratch.save(sketch(documents, rows, n_bands))
-    classes = scratch.save(sketched.filter("k is not null").groupBy("k").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+def placed(spark: SparkSession, documents: DataFrame, sketched: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """name, root, component: each class, what names its group, and the smallest doc_id in that."""
+    classes = sketched.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = row_numbers(scratch, classes).withColumnRenamed(ROW, "k")
     entries = classes.select("k", "rep", F.explode("bands").alias("b"))
     buckets = entries.groupBy("b").agg(F.min(F.struct("rep", "k")).alias("c"), F.count("*").alias("n")).filter("n > 1").select("b", F.col("c.k").alias("center"))
-    members = scratch.save(entries.join(buckets, "b").select("b", "center", "k", "rep"))
-    full = scratch.save(sets(documents, members.groupBy("k").agg(F.min("rep").alias("rep"))))
-    if full.count() > (unique := full.select("k").distinct()).count():  # repeated rows
+    members = scratch.save(salted_join(entries.select("k", "b"), buckets, "b", "k").select("b", "center", "k"))
+    full = scratch.save(sets(documents, classes.join(members.select("k").distinct(), "k").select("k", "name", "rep")))
+    if full.count() > full.select("k").distinct().count():  # repeated rows
         full = scratch.save(full.dropDuplicates(["k"]))
-    del unique
     star = members.filter("k <> center").select(F.col("center").alias("u"), F.col("k").alias("v")).distinct()
     star = scratch.save(measured(star, full))
     scratch.release()
@@ -208,23 +202,51 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = 85
     seen = scratch.save(seen)
     mixed = seen.groupBy("b").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", F.struct("d", "k")).alias("main"), F.count("*").alias("n"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum")).filter("low <> high")
     mixed = mixed.groupBy("n", "sum").agg(F.min_by(F.struct("b", "main"), "b").alias("x")).select("x.b", "x.main")  # the same classes in another band are compared once
-    parts = seen.join(mixed, "b").withColumn("apart", F.col("root") != F.col("main"))
+    parts = salted_join(seen, mixed, "b", "k").withColumn("apart", F.col("root") != F.col("main"))
     reach = parts.filter("apart").groupBy("b").agg(F.min("d").alias("least"), F.count("*").alias("lefts"))
-    parts = parts.join(reach, "b").filter((F.col("apart")) | (F.col("d") >= F.col("least") - (1 - percent / 100) - 1e-9))
+    parts = salted_join(parts, reach, "b", "k").filter((F.col("apart")) | (F.col("d") >= F.col("least") - (1 - percent / 100) - 1e-9))
     sizes = parts.groupBy("b").agg(F.ceil(F.count("*") / RIGHT).alias("rights"))
-    parts = scratch.save(parts.withColumn("lefts", F.ceil(F.col("lefts") / LEFT)).join(sizes, "b").select("b", "k", "root", "d", "apart", "lefts", "rights"))
+    parts = scratch.save(salted_join(parts.withColumn("lefts", F.ceil(F.col("lefts") / LEFT)), sizes, "b", "k").select("b", "k", "root", "d", "apart", "lefts", "rights"))
     if parts.limit(1).count():
         more = compared(spark, parts.filter("apart").drop("apart"), parts.drop("apart"), full, percent)
         roots = components(spark, linked.unionByName(more), scratch)
 
-    placed = classes.select("k", "rep").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
-    least = placed.groupBy("root").agg(F.min("rep").alias("component"))
-    placed = scratch.save(placed.join(least, "root").select("k", "component"))
-    out = sketched.select("doc_id", "n_shingles", "k").join(placed, "k", "left")
-    out = out.withColumn("component_id", F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component")))
+    found = classes.select("k", "name", "rep").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    least = found.groupBy("root").agg(F.min("rep").alias("component"))
+    return scratch.save(found.join(least, "root").select("name", "root", "component"))
+
+
+def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = 85, rows: int = 6, n_bands: int = 16) -> DataFrame:
+    """documents (doc_id, text) -> doc_id, n_shingles, component_id, kept; one row a document.
+
+    Two documents are linked if 100 * |intersection| >= percent * |union| of their shingle sets. A pair at the
+    threshold of 0.85 shares a band with probability 0.9995 (0.99999 at 0.9). Rows without words are linked with
+    nothing and kept. Rows with one text, repeated rows among them, are one class; very long texts are compared whole. A
+    null doc_id stays: its component is the smallest doc_id of its group, null if it has none, and then it is kept. An
+    empty table gives no rows. Other columns are not read, whatever their names.
+    """
+    scratch = Scratch(spark, "minhash")
+    sketched = scratch.save(sketch(documents, F.lit(0), rows, n_bands))
+    out = sketched.select("doc_id", "n_shingles", "name").join(placed(spark, documents, sketched, percent, scratch), "name", "left")
+    out = out.withColumn("component_id", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def deduplicated(spark: SparkSession, documents: DataFrame, percent: int = 80, rows: int = 5, n_bands: int = 20) -> DataFrame:
+    """The documents, all columns, of each group the one row with the smallest doc_id (of equal ones, or without any, the least by a digest of the words).
+
+    Rows count, not ids: null and repeated doc_ids are rows like others, and another text that shares a doc_id stays.
+    Rows without words all stay. A pair at 0.8 shares a band with probability 0.9996.
+    """
+    scratch = Scratch(spark, "minhash")
+    numbered = row_numbers(scratch, documents)
+    sketched = scratch.save(sketch(numbered, F.col(ROW), rows, n_bands))
+    groups = sketched.select("row", "doc_id", "name").join(placed(spark, numbered, sketched, percent, scratch).select("name", "root"), "name")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "name", "row")).alias("f")).select(F.col("f.row").alias(ROW))
+    stay = first.unionByName(sketched.filter("name is null").select(F.col("row").alias(ROW)))
+    return numbered.join(stay, ROW, "left_semi").select(*documents.columns)
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 

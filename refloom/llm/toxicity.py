@@ -211,7 +211,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
                     spans = None
                     if score[i] >= 0.5:
                         s = np.arange(first[i], first[i + 1])
-                        s = s[p[s] >= 0.5] if (p[s] >= 0.5).any() else s[[int(np.argmax(p[s]))]]
+                        s = s[p[s] >= 0.5] if (p[s] >= 0.5).any() or not len(s) else s[[int(np.argmax(p[s]))]]
                         at = int(w.bounds[i])
                         chars = np.r_[0, np.cumsum((w.raw[at : int(w.bounds[i + 1])] & 0xC0) != 0x80)]
                         spans = [{"start": int(chars[w.start[begin[k]] - at]), "end": int(chars[w.end[begin[k + 1] - 1] - at]), "score": float(p[k])} for k in s.tolist()]
