@@ -1,12 +1,13 @@
 """A cleaning pipeline over ``documents``: each stage is one operator, written and read again by the next.
 
-Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of ``documents``.
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of ``documents``, whatever
+others there are. Rows count, not ids: a null or repeated doc_id neither keeps a row in nor takes another out. Null, empty
+and very long texts pass all stages whole; null and empty ones are neither toxic nor copies. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from refloom.llm import decontamination, minhash, packing, pii, toxicity
 from refloom.llm.common import Scratch, table
@@ -19,10 +20,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies (five words, 0.8)."""
-    groups = minhash.near_duplicates(spark, docs, percent=80, rows=5, n_bands=20)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near copies (five words, 0.8): that with the smallest doc_id."""
+    return minhash.deduplicated(spark, docs, percent=80, rows=5, n_bands=20)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
