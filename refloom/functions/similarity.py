@@ -81,10 +81,15 @@ def author_score(query: Column, work: Column) -> Column:
 
 def title_coverage(title: Column, text: Column) -> Column:
     """1 if the text holds the title, else the share of its telling words that are anywhere in the text."""
+    return let(norm_text(text), lambda x: coverage_of_normal(title, x))
 
-    def share(t: Column, x: Column) -> Column:
+
+def coverage_of_normal(title: Column, normal_text: Column) -> Column:
+    """The same for a text in its normal form, which many titles may share."""
+
+    def share(t: Column) -> Column:
         words = F.filter(F.split(t, " "), lambda w: (F.length(w) >= 4) & ~w.isin(*COVERAGE_STOP_WORDS))
-        part = let(words, lambda ws: F.when(F.size(ws) > 0, F.size(F.filter(ws, lambda w: x.contains(w))) / F.size(ws)).otherwise(0.0))
-        return F.when((t == "") | (x == ""), 0.0).when(x.contains(t), 1.0).otherwise(part)
+        part = let(words, lambda ws: F.when(F.size(ws) > 0, F.size(F.filter(ws, lambda w: normal_text.contains(w))) / F.size(ws)).otherwise(0.0))
+        return F.when((t == "") | (normal_text == ""), 0.0).when(normal_text.contains(t), 1.0).otherwise(part)
 
-    return let(norm_text(title), lambda t: let(norm_text(text), lambda x: share(t, x)))
+    return let(norm_text(title), share)

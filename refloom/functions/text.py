@@ -18,6 +18,12 @@ FOREIGN_TITLE_MORE = FOREIGN_TITLE + (
 )
 COVERAGE_STOP_WORDS = ("and", "for", "the", "with", "from", "this", "that", "into", "using", "based", "study", "effect", "properties", "materials")
 DOMAIN_STOP_WORDS = ("battery", "batteries", "electrode", "electrodes", "electrolyte", "electrolytes", "lithium", "sodium", "materials", "technologies", "chapter", "introduction", "review")
+# Text that is no title to search by, in a page's text layer and in OCR text.
+NOT_USEFUL = (
+    "abstract|keywords?|introduction|references|bibliography|table of contents|preparing your manuscript|contents programmed|new titles for|"
+    "titles are limited|downloaded from|copyright|non-commercial research|摘要|关键词|引言"
+)
+NOT_USEFUL_OCR = "abstract|keywords?|introduction|references|bibliography|table of contents|copyright|downloaded from|non-commercial research|摘要|关键词|引言"
 GREEK = (("β", "beta"), ("α", "alpha"), ("γ", "gamma"))
 DASHES = "–—‐‑−"
 BLANK = r"[\s\u00a0\u0085\u001c-\u001f\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -70,7 +76,8 @@ def title_is_bad(x: Column) -> Column:
 
 
 def useful_title(x: Column, domain: bool = True) -> Column:
-    """A title specific enough to search by. domain: two words beyond the field's common ones, as for layout text."""
+    """A title specific enough to search by. domain: as for a text layer, with two words beyond the field's common ones."""
+    no = f"(?iU)(?:^|\\b)(?:{NOT_USEFUL if domain else NOT_USEFUL_OCR})(?:\\b|[:：])"
 
     def body(text: Column, normal: Column) -> Column:
         def enough(words: Column) -> Column:
@@ -78,11 +85,16 @@ def useful_title(x: Column, domain: bool = True) -> Column:
             return ok & (F.size(F.filter(words, lambda w: ~w.isin(*DOMAIN_STOP_WORDS))) >= 2) if domain else ok
 
         words = F.filter(F.split(normal, " "), lambda w: F.length(w) >= 3)
-        return (F.length(text) <= 280) & (F.length(normal) >= 18) & ~_bad_hard(text, normal) & let(words, enough)
+        return (text != "") & (F.length(text) <= 280) & (F.length(normal) >= 18) & ~text.rlike(no) & let(words, enough)
 
     return with_normal(x, body)
 
 
+def searchable_title(x: Column) -> Column:
+    """A title that a source may be asked for: none of the hard-case list, and eighteen characters at least."""
+    return with_normal(x, lambda text, normal: ~_bad_hard(text, normal) & (F.length(normal) >= 18))
+
+
 def parse_authors(x: Column) -> Column:
     """Names of a text list, separated by semicolons or "and"."""
     return F.filter(F.transform(F.split(clean(x), ";|, and | and "), lambda a: F.regexp_replace(a, rf"^{BLANK}+|{BLANK}+\z", "")), lambda a: a != "")
@@ -105,8 +117,13 @@ def has_cjk(x: Column) -> Column:
     return F.coalesce(x, F.lit("")).rlike("[\\u4e00-\\u9fff]")
 
 
-def short(x: Column, width: int) -> Column:
-    return F.when(F.length(clean(x)) > width, F.concat(F.rtrim(F.substring(clean(x), 1, width - 1)), F.lit("…"))).otherwise(clean(x))
+def short(x: Column, width: int = 220) -> Column:
+    return let(clean(x), lambda t: F.when(F.length(t) > width, F.concat(F.substring(t, 1, width - 1), F.lit("..."))).otherwise(t))
+
+
+def append_message(existing: Column, message: Column) -> Column:
+    """One more message behind a bar; a blank one adds nothing."""
+    return F.when(clean(message) == "", existing).otherwise(F.concat_ws(" | ", F.nullif(clean(existing), F.lit("")), message))
 
 
 def escape_html(x: Column) -> Column:
@@ -149,8 +166,7 @@ def sections(text: Column, front_lines: int = 150) -> Column:
 
 def title_from_name(filename: Column) -> Column:
     """A title guessed from a file name; empty if it says too little."""
-    stem = F.regexp_replace(F.coalesce(filename, F.lit("")), r"\.[^.]*$", "")
-    out = F.regexp_replace(stem, r"(?i)^clean_\d+_", "")
-    out = F.regexp_replace(out, r"(?i)10\.\d{4,9}[_@/-][A-Za-z0-9._;()/:+@-]*", " ")
-    out = collapse(F.regexp_replace(F.regexp_replace(out, r"\(\d+\)", " "), "[_-]+", " "))
-    return let(out, lambda o: F.when(F.length(norm_text(o)) >= 18, o).otherwise(""))
+    out = F.regexp_replace(F.coalesce(filename, F.lit("")), r"\.[^.]*$", "")
+    for pattern in (r"(?i)^clean_\d+_", r"(?i)10\.\d{4,9}[_@-][A-Za-z0-9][A-Za-z0-9._;()/:+@-]*", r"\(\d+\)$", "[_-]"):
+        out = F.regexp_replace(out, pattern, "" if pattern.endswith("_") else " ")
+    return let(collapse(out), lambda o: F.when(F.length(norm_text(o)) >= 18, o).otherwise(""))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import candidate, ecs_variant, normalize
@@ -54,6 +54,33 @@ def latest(cache: DataFrame, keys: list[str], time: str) -> DataFrame:
     return cache.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*[F.col(time)] + [F.col(c) for c in rest if c != time])).alias("r")).select(*keys, "r.*")
 
 
+def cache_lines(spark: SparkSession, path: str) -> DataFrame:
+    """key, value (JSON text), error, time, line of a cache of JSON lines {key, value, time}; lines that are no such object are left out.
+
+    A resolver's lines, which are the answer itself with its ``doi``, read as key and value, too. ``line`` tells later
+    lines of a file from earlier ones.
+    """
+    at = lambda field: F.get_json_object("value", f"$.{field}")
+    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).filter(F.trim("value") != "")
+    keyed = lines.select(
+        F.coalesce(F.nullif(clean(at("key")), F.lit("")), F.nullif(F.lower(clean(at("doi"))), F.lit(""))).alias("key"),
+        F.when(at("key").isNotNull(), at("value")).otherwise(F.col("value")).alias("value"),
+        at("time").try_cast("double").alias("time"),
+        "line",
+    )
+    error = F.when(F.col("value").startswith("{"), F.get_json_object("value", "$.error"))
+    return keyed.filter("key is not null").withColumn("error", F.nullif(error, F.lit("")))
+
+
+def append_cache(answers: DataFrame, path: str, keep_errors: bool) -> None:
+    """Adds answers (key, value, error, time) as JSON lines; a source whose failures are transient keeps none of them."""
+    rows = answers if keep_errors else usable(answers)
+    failed = F.struct(F.col("error").alias("error"))
+    value = F.coalesce(F.col("value"), F.to_json(failed))
+    line = F.concat(F.lit('{"key":'), F.to_json(F.struct("key")).substr(F.lit(8), F.length(F.to_json(F.struct("key"))) - 8), F.lit(',"value":'), value, F.lit(',"time":'), F.col("time").cast("string"), F.lit("}"))
+    rows.select(line.alias("value")).write.mode("append").text(path)
+
+
 def usable(cache: DataFrame) -> DataFrame:
     """Without answers that are errors: those are asked for again."""
     return cache.filter(F.coalesce(F.col("error"), F.lit("")) == "")
@@ -68,13 +95,57 @@ def jobs(requests: DataFrame) -> DataFrame:
     return requests.groupBy(F.lower("doi").alias("doi_key")).agg(F.min_by("doi", "ord").alias("doi"), F.bool_or("force").alias("force"))
 
 
+def retryable(error: Column) -> Column:
+    return clean(error).rlike(RETRYABLE)
+
+
 def retry_jobs(doi: Column, error: Column) -> Column:
     """array<struct<doi, force>>: the same again if the error looks transient, then another spelling."""
-    d = normalize(doi)
-    again = F.when((d != "") & clean(error).rlike(RETRYABLE), F.array(F.struct(d.alias("doi"), F.lit(True).alias("force"))))
-    other = F.when(ecs_variant(d) != "", F.array(F.struct(ecs_variant(d).alias("doi"), F.lit(False).alias("force"))))
-    none = F.array().cast("array<struct<doi:string,force:boolean>>")
-    return F.concat(F.coalesce(again, none), F.coalesce(other, none))
+    again = F.when(retryable(error), normalize(doi)).otherwise("")
+    jobs = F.array(F.struct(again.alias("doi"), F.lit(True).alias("force")), F.struct(ecs_variant(doi).alias("doi"), F.lit(False).alias("force")))
+    return F.filter(jobs, lambda j: j["doi"] != "")
+
+
+def search_results(source: str, value: Column, k: int = 5) -> Column:
+    """array of AUTHORITY's fields: the works that a title search found, those with an identifier."""
+    path, wrap = {
+        "crossref": ("$.message.items", lambda i: F.concat(F.lit('{"message":'), i, F.lit("}"))),
+        "datacite": ("$.data", lambda i: F.concat(F.lit('{"data":'), i, F.lit("}"))),
+        "openalex": ("$.results", lambda i: i),
+        "semantic_scholar": ("$.data", lambda i: i),
+    }[source]
+    items = F.from_json(F.get_json_object(value, path), "array<string>")
+    made = F.transform(F.slice(F.coalesce(items, F.array().cast("array<string>")), 1, k), lambda i: parsed(source, wrap(i)))
+    return F.filter(made, lambda a: a["authority_doi"] != "")
+
+
+def source_rank(source: Column) -> Column:
+    out = F.lit(len(PRIORITY))
+    for name, n in PRIORITY.items():
+        out = F.when(source == name, n).otherwise(out)
+    return out
+
+
+def one_answer(answers: DataFrame) -> DataFrame:
+    """One row a key: the first source in order that resolved with a title, else that resolved, else the first that answered."""
+    named = F.coalesce("title", F.lit("")) != ""
+    yes = F.coalesce("resolved", F.lit(False))
+    place = F.struct(F.when(yes & named, 0).when(yes, 1).otherwise(2), source_rank(F.col("source")), F.col("source"), F.to_json(F.struct("*")))
+    rest = [c for c in answers.columns if c != "doi_key"]
+    ok = answers.filter((F.col("source") != "osti") | F.col("doi_key").startswith("10.2172/"))
+    return ok.groupBy("doi_key").agg(F.min_by(F.struct(*rest), place).alias("r")).select("doi_key", "r.*")
+
+
+def input_authority(row: dict[str, Column]) -> Column:
+    """The answer that earlier columns of a record hold: a struct, null without a title or a plausible identifier."""
+    first = lambda *names: F.coalesce(*[F.nullif(clean(row[n]), F.lit("")) for n in names if n in row], F.lit(""))
+    doi = candidate(first("authority_doi", "authority_doi_new", "doi"))
+    title = first("authority_title", "authority_title_new")
+    none = F.array().cast("array<string>")
+    authors = F.coalesce(row["authority_authors"], none) if "authority_authors" in row else none
+    fields = [F.concat_ws("", first(f"authority_{c}", f"authority_{c}_new")).alias(c) for c in ("container", "publisher", "year", "type")]
+    made = F.struct(F.lit("previous_authority").alias("source"), F.lit(True).alias("resolved"), doi.alias("doi"), title.alias("title"), authors.alias("authors"), *fields, F.lit(None).cast("string").alias("error"))
+    return F.when((doi != "") & (title != ""), made)
 
 
 def _first_text(x: Column) -> Column:
@@ -128,17 +199,17 @@ def parsed(source: str, value: Column) -> Column:
 def resolve(requests: DataFrame, answers: DataFrame, key: str) -> DataFrame:
     """The first source in order that resolved with a title; OSTI is asked only for its own prefix.
 
-    requests (key, doi), answers (doi_key, source, resolved, title, ...) -> requests with the answer's columns,
-    nulls where there is none. ``tried`` counts the sources that answered.
+    requests (key, doi), answers (doi_key, source, resolved, title, ...) -> requests with the answer's columns, nulls where
+    there is none. ``tried`` counts the sources that answered. Of two answers of one source the first by all fields counts.
     """
     r = requests.withColumn("doi_key", F.lower("doi"))
-    rank = F.lit(9)
-    for name, n in PRIORITY.items():
-        rank = F.when(F.col("source") == name, n).otherwise(rank)
-    ok = answers.filter((F.col("source") != "osti") | F.col("doi_key").startswith("10.2172/")).withColumn("rank", rank)
+    ok = answers.filter((F.col("source") != "osti") | F.col("doi_key").startswith("10.2172/"))
     rest = [c for c in answers.columns if c != "doi_key"]
-    best = ok.groupBy("doi_key").agg(F.min_by(F.when(F.col("resolved") & (F.col("title") != ""), F.struct(*rest)), F.when(F.col("resolved") & (F.col("title") != ""), F.col("rank"))).alias("b"), F.count("*").alias("tried"))
-    return r.join(best, "doi_key", "left").select(*[c for c in r.columns if c != "doi_key"], F.coalesce("tried", F.lit(0)).alias("tried"), *[F.col(f"b.{c}").alias(f"authority_{c}") for c in rest])
+    good = F.col("resolved") & (F.col("title") != "")
+    place = F.struct(source_rank(F.col("source")), F.to_json(F.struct(*sorted(rest))))
+    best = ok.groupBy("doi_key").agg(F.min_by(F.when(good, F.struct(*rest)), F.when(good, place)).alias("b"), F.count("*").alias("tried"))
+    found = r.join(best, "doi_key", "left")
+    return found.select(*[c for c in r.columns if c != "doi_key"], F.coalesce("tried", F.lit(0)).alias("tried"), *[F.col(f"b.{c}").alias(f"authority_{c}") for c in rest])
 
 
 def verify(records: DataFrame, works: DataFrame, exact: bool = True) -> DataFrame:

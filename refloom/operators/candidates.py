@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import is_plausible, source_group, source_weight, weight_rank
+from ..functions.identifiers import candidate_weight, is_plausible, source_group, weight_rank
 
 
 def explode_hits(df: DataFrame, key: str, hits: Column) -> DataFrame:
@@ -20,7 +20,7 @@ def unique_hits(hits: DataFrame, key: str) -> DataFrame:
 
 
 def to_candidates(hits: DataFrame, key: str) -> DataFrame:
-    return unique_hits(hits, key).withColumn("source_group", source_group(F.col("source"))).withColumn("raw_confidence", source_weight(F.col("source")))
+    return unique_hits(hits, key).withColumn("source_group", source_group(F.col("source"))).withColumn("raw_confidence", candidate_weight(F.col("source")))
 
 
 def choose(candidates: DataFrame, key: str, policy: str = "candidate") -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import SCAN, candidate, first_of_each, normalize
-from ..functions.text import clean, collapse, let, norm_text, title_from_name, useful_title
+from ..functions.identifiers import candidate, find, first_of_each, normalize
+from ..functions.text import clean, collapse, let, norm_text, searchable_title, title_from_name
 from .candidates import longest_only
 
-ANSWER = "struct<title:string,authors:array<string>,candidates:array<struct<doi:string,is_main_article:boolean,confidence:string,reason:string>>>"
+ANSWER = "struct<title:string,authors:array<string>,candidates:array<struct<doi:string,is_main_article:boolean,confidence:string,reason:string>>,doi_candidates:array<struct<doi:string,is_main_article:boolean,confidence:string,evidence:string>>,year:string,document_type:string,notes:string>"
 # Words of lines that are no title.
 NO_TITLE_LINE = r"(?i)copyright|downloaded|journal|volume|issue|abstract|keywords|contents|references|doi:|www\."
 
@@ -38,9 +38,10 @@ def generated_candidates(answer: Column) -> Column:
 
 
 def text_candidates(df: DataFrame, key: str, text: Column) -> DataFrame:
-    """key, doi: plausible identifiers of a text, each in its longest form."""
-    found = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SCAN), F.lit(1)), candidate)
-    return longest_only(df.select(key, F.explode(F.array_distinct(F.filter(found, lambda d: d != ""))).alias("doi")), key)
+    """key, doi: plausible identifiers of a text, spaced ones among them, each in its longest form."""
+    hits = F.transform(find(text, F.lit("text"), spaced=True), lambda h: h["doi"])
+    first = let(hits, lambda xs: first_of_each(xs, F.lower))
+    return longest_only(df.select(key, F.explode(first).alias("doi")), key)
 
 
 def best_title(text: Column) -> Column:
@@ -52,9 +53,9 @@ def best_title(text: Column) -> Column:
 
 
 def title_queries(titles: list[Column], filename: Column, text: Column) -> Column:
-    """array<string>: usable titles of a record, from its file name and from its text; no two with one normal form."""
-    tries = F.array(*[clean(t) for t in titles], title_from_name(filename), best_title(text))
-    return let(F.filter(tries, lambda t: useful_title(t, domain=False)), lambda ts: F.slice(first_of_each(ts, norm_text), 1, 4))
+    """array<string>: a record's titles, one from its text and one from its file name, if they may be searched; no two with one normal form."""
+    tries = F.array(*[clean(t) for t in titles], best_title(text), title_from_name(filename))
+    return let(F.filter(tries, searchable_title), lambda ts: first_of_each(ts, norm_text))
 
 
 def search_requests(title: Column, authors: Column) -> Column:

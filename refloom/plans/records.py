@@ -1,4 +1,4 @@
-"""The three passes over documents: identification, review of what is not certain, and hard cases; and their summaries.
+"""Identification of documents, metadata from side tables, summaries, and search of titles.
 
 Each pass is one plan of joins and CASE expressions. Expensive evaluation (OCR, live look-ups) runs on the filtered
 rest only, because the engine would call a Python function inside CASE for every row.
@@ -6,21 +6,20 @@ rest only, because the engine would call a Python function inside CASE for every
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import candidate, first_of_each, is_plausible, name_tokens, normalize, token_variants
-from ..functions.similarity import author_score, title_coverage, with_title_score
-from ..functions.text import author_names, clean, compact, is_bad_title, norm_text, parse_authors
-from ..operators import authority as A
+from ..functions.text import is_bad_title, norm_text, parse_authors
 from ..operators import candidates as C
-from ..operators import decisions as D
+
+CANDIDATE = ("doi", "source", "source_group", "raw_confidence", "context")
 
 
 def identify(documents: DataFrame, hits: Column, key: str = "path", policy: str = "candidate") -> DataFrame:
     """documents with an array of hits -> one row each: doi, confidence, doi_decision, doi_source, status, doi_candidates."""
     found = C.to_candidates(C.explode_hits(documents, key, hits), key)
-    nested = found.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "doi", "source", "source_group", "raw_confidence", "context"))), lambda c: F.struct(*[c[x].alias(x) for x in ("doi", "source", "source_group", "raw_confidence", "context")])).alias("doi_candidates"))
+    listed = F.array_sort(F.collect_list(F.struct("ord", *CANDIDATE)))  # a document's own
+    nested = found.groupBy(key).agg(F.transform(listed, lambda c: F.struct(*[c[x].alias(x) for x in CANDIDATE])).alias("doi_candidates"))
     return C.chosen_for_all(documents, found, key, policy).join(nested, key, "left")
 
 
@@ -31,7 +30,8 @@ def with_side_metadata(records: DataFrame, side: DataFrame) -> DataFrame:
     there are none. Where each came from is kept.
     """
     fields = ("year", "journal", "publisher", "abstract")
-    j = records.join(side.select("name_key", *[F.col(c).alias(f"s_{c}") for c in ("title", "authors", *fields)]), "name_key", "left")
+    theirs = side.select("name_key", *[F.col(c).alias(f"s_{c}") for c in ("title", "authors", *fields)])
+    j = records.join(theirs, "name_key", "left")
     has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     people = parse_authors(F.col("s_authors"))
     own = F.size(F.coalesce("authors", F.array().cast("array<string>"))) > 0
@@ -51,124 +51,55 @@ def with_side_metadata(records: DataFrame, side: DataFrame) -> DataFrame:
     return j.withColumns(out).drop(*[f"s_{c}" for c in ("title", "authors", *fields)])
 
 
-def in_filename(record_doi: Column, filename: Column, sources: Column) -> Column:
-    """The identifier stands in the file name, and a source says that it came from there."""
-    return F.exists(sources, lambda s: s.startswith("filename")) & (record_doi != "") & compact(F.coalesce(filename, F.lit(""))).contains(compact(record_doi))
-
-
-def _facts(df: DataFrame, doi: Column, a: Column, resolved: Column, sources: Column) -> DataFrame:
-    """df has the title score ``t``."""
-    return df.withColumns({"_doi": normalize(doi), "a": a, "res": F.coalesce(resolved, F.lit(False))}).withColumns({
-        "doi_ok": (F.col("_doi") != "") & is_plausible(F.col("_doi")),
-        "ff": F.coalesce(in_filename(F.col("_doi"), F.col("filename"), sources), F.lit(False)),
-        "no_authors": F.size(F.coalesce("authors", F.array().cast("array<string>"))) <= 0,
-        "bad_title": D.local_facts(F.col("title")),
-        "mainstream": F.col("_doi").rlike(D.MAINSTREAM),
-    })
-
-
-def _decided(df: DataFrame, table: str, doi: str = "doi_ok") -> DataFrame:
-    """Adds the decision; the rules read ``doi`` as a condition."""
-    keep = df.columns
-    named = df.withColumnRenamed("doi", "_record_doi").withColumn("doi", F.col(doi))
-    return named.withColumn("d", D.decide(table)).drop("doi").withColumnRenamed("_record_doi", "doi").select(*keep, "d")
-
-
-def review(records: DataFrame, answers: DataFrame, exact: bool = True) -> DataFrame:
-    """Second look at rows that are not ok but have a plausible identifier.
-
-    records (path, filename, doi, status, title, authors array, sources array, old_t, old_a), answers (doi_key, resolved,
-    authority_doi, authority_title, authority_authors, error). Stored scores decide first, then the authority's data,
-    then a repeated or respelled look-up. Returns path, stage, decision, accepted, confidence, final_doi, t, a.
-    """
-    targets = records.filter((F.col("status") != "ok") & is_plausible(normalize(F.col("doi"))))
-    two = _decided(_facts(targets.withColumn("t", F.coalesce("old_t", F.lit(0.0))), F.col("doi"), F.coalesce("old_a", F.lit(0.0)), F.lit(False), F.col("sources")), "stage2")
-    shape = lambda df, stage, new: df.select("path", F.lit(stage).alias("stage"), F.col("d.decision").alias("decision"), F.col("d.accepted").alias("accepted"), F.col("d.confidence").alias("confidence"), new.alias("final_doi"), F.round("t", 4).alias("t"), F.round("a", 4).alias("a"))
-    done2 = shape(two.filter("d.accepted"), "stage2", F.col("_doi"))
-    rest = two.filter("not d.accepted").select(*records.columns)
-
-    def against(df: DataFrame, key: Column) -> DataFrame:
-        j = df.withColumn("doi_key", F.lower(key)).join(answers, "doi_key", "left")
-        j = with_title_score(j, "t", F.col("title"), F.col("authority_title"), exact)
-        return _facts(j, F.col("doi"), author_score(F.col("authors"), F.col("authority_authors")), F.col("resolved"), F.col("sources"))
-
-    canonical = F.when(candidate(F.col("authority_doi")) != "", candidate(F.col("authority_doi"))).otherwise(F.col("_doi"))
-    three = _decided(against(rest, normalize(F.col("doi"))), "stage3")
-    again = F.col("d.decision").isin("stage3_unresolved_not_resolved", "stage3_conflict_review")
-    tried = three.filter(again).select(*records.columns, F.explode(A.retry_jobs(F.col("doi"), F.col("error"))).alias("job"))
-    retried = against(tried, F.col("job.doi")).filter("res")
-    retried = C.top(retried.withColumn("_forced", ~F.col("job.force")), ["path"], F.col("_forced"))
-    four = _decided(retried, "stage4")
-    done4 = shape(four, "stage4", F.when(F.col("job.doi") != F.col("_doi"), F.col("job.doi")).otherwise(canonical))
-    return done2.unionByName(shape(three.filter(~again), "stage3", canonical)).unionByName(shape(three.filter(again).join(done4.select("path"), "path", "left_anti"), "stage3", F.col("_doi"))).unionByName(done4)
-
-
-def hard_case_candidates(records: DataFrame) -> DataFrame:
-    """path, ord, doi, source, reason: identifiers of earlier columns, then spellings from the file name; first of each."""
-    given = [F.struct(candidate(F.col(c)).alias("doi"), F.lit(s).alias("source"), F.lit(c).alias("reason")) for c, s in (("doi", "existing_doi"), ("final_doi", "final_doi"), ("authority_doi", "previous_authority_doi")) if c in records.columns]
-    stem = F.regexp_replace(clean(F.col("filename")), r"\.[^.]*$", "")
-    made = F.flatten(F.transform(name_tokens(stem), token_variants))
-    both = F.filter(F.concat(F.array(*given), made), lambda c: c["doi"] != "")
-    return records.select("path", F.posexplode(first_of_each(both, lambda c: F.lower(c["doi"]))).alias("ord", "c")).select("path", "ord", "c.*")
-
-
-def hard_cases(records: DataFrame, answers: DataFrame, exact: bool = True) -> DataFrame:
-    """Every row that is not ok against the authorities of all its spellings: the best result, or none.
-
-    records (path, filename, status, doi, title, authors array, text), answers (doi_key, source, resolved, title, authors, ...).
-    """
-    targets = records.filter(F.coalesce(F.col("status"), F.lit("")) != "ok")
-    tries = A.resolve(hard_case_candidates(targets), answers, "path")
-    j = tries.withColumnRenamed("doi", "try_doi").join(targets.select("path", "title", "authors", "text"), "path")
-    j = with_title_score(j, "t", F.col("title"), F.col("authority_title"), exact).withColumns({
-        "a": author_score(F.col("authors"), F.col("authority_authors")),
-        "c": title_coverage(F.col("authority_title"), F.col("text")),
-        "res": F.coalesce("authority_resolved", F.lit(False)),
-        "no_authors": F.size(F.coalesce("authors", F.array().cast("array<string>"))) <= 0,
-        "bad_title": D.local_facts(F.col("title"), "hard"),
-        "title_words": D.title_words(F.col("authority_title")),
-        "ff": F.col("source").startswith("filename"),
-        "search": F.col("source").endswith("_title_search"),
-    }).withColumn("d", D.decide("hard_case"))
-    j = j.select("path", "ord", "try_doi", "source", "t", "a", "c", "d.*")
-    best = j.groupBy("path").agg(F.max_by(F.struct("try_doi", "source", "accepted", "confidence", "decision", "t", "a", "c"), D.best_by("hard_case")).alias("b"))
-    out = targets.select("path").join(best, "path", "left")
-    get = lambda c, d: F.coalesce(F.col(f"b.{c}"), F.lit(d)).alias(c)
-    return out.select("path", get("try_doi", "").alias("doi"), get("source", ""), get("accepted", False), get("confidence", "none"), get("decision", "no DOI candidate and no usable title search"), *[F.round(get(x, 0.0), 4).alias(x) for x in ("t", "a", "c")])
-
-
-def applied(records: DataFrame, decisions: DataFrame) -> DataFrame:
-    """records (path, status, method, doi, confidence, ...) with accepted decisions in place; what was before is kept once."""
-    j = records.join(decisions.select("path", "decision", "accepted", F.col("confidence").alias("_c"), "final_doi"), "path", "left")
-    ok = F.coalesce("accepted", F.lit(False))
-    was = {f"original_{c}": (F.coalesce(F.col(f"original_{c}"), F.col(c)) if f"original_{c}" in records.columns else F.when(F.col("decision").isNotNull(), F.col(c))) for c in ("status", "doi", "confidence")}
-    return j.withColumns(was).withColumns({"status": F.when(ok, "ok").otherwise(F.col("status")), "doi": F.when(ok & is_plausible(F.col("final_doi")), F.col("final_doi")).otherwise(F.col("doi")), "confidence": F.when(ok, F.col("_c")).otherwise(F.col("confidence"))}).drop("_c", "final_doi", "accepted")
-
-
 def summary(decisions: DataFrame, by: list[str]) -> DataFrame:
     """metric, value, n: how many rows in all and by each column; one shuffle."""
     which = F.lit("total")
     for c in by:
         which = F.when(F.grouping(c) == 0, c).otherwise(which)
     df = decisions.groupingSets([[F.col(c)] for c in by] + [[]], *[F.col(c) for c in by])
-    return df.agg(which.alias("metric"), F.coalesce(*[F.col(c).cast("string") for c in by], F.lit("")).alias("value"), F.count("*").alias("n")).select("metric", "value", "n")
+    value = F.coalesce(*[F.col(c).cast("string") for c in by], F.lit(""))
+    return df.agg(which.alias("metric"), value.alias("value"), F.count("*").alias("n")).select("metric", "value", "n")
 
 
-def title_search(queries: DataFrame, index: DataFrame, k: int = 5, max_share: float = 0.02) -> DataFrame:
-    """queries (query_id, title), index (doc_key, title) -> query_id, doc_key, rank, overlap: the k likest titles.
+def title_search(queries: DataFrame, index: DataFrame, k: int = 5, common: int = 1000) -> DataFrame:
+    """queries (query_id, title), index (doc_key, title) -> query_id, doc_key, rank, overlap: the k likest titles, exactly.
 
-    Words that more than ``max_share`` of the index holds (but at least 50 titles) do not make candidates; each other word
-    of the query meets the titles that hold it, and every word of the query counts in the score.
+    The overlap is the share of the query's words that the title has; of equal ones the smaller doc_key comes first. Words of
+    at most ``common`` titles lead from a query to titles, which are scored. A title that shares none of these has only
+    common words of the query: of all titles with the same common words the first k by doc_key can be among the best, and
+    queries with the same common words have the same best of those. So sets of common words meet sets of common words, each
+    set once, whatever number of titles and queries has it.
     """
     words = lambda df, key: df.select(key, F.array_distinct(F.filter(F.split(norm_text(F.col("title")), " "), lambda w: w != "")).alias("ws"))
     q, x = words(queries, "query_id"), words(index, "doc_key")
-    n = x.count()
-    long = x.select("doc_key", F.explode("ws").alias("w"))
-    rare = long.groupBy("w").count().filter(F.col("count") <= max(50, int(max_share * n))).select("w")
-    pairs = q.select("query_id", F.explode("ws").alias("w")).join(rare, "w").join(long, "w").select("query_id", "doc_key").distinct()
-    scored = pairs.join(q.withColumnRenamed("ws", "qs"), "query_id").join(x.withColumnRenamed("ws", "xs"), "doc_key").withColumn("overlap", F.round(F.size(F.array_intersect("qs", "xs")) / F.size("qs"), 4))
-    best = scored.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("overlap")).alias("m"), "doc_key"))), 1, k).alias("b"))
-    return best.select("query_id", F.posexplode("b").alias("r", "h")).select("query_id", F.col("h.doc_key").alias("doc_key"), (F.col("r") + 1).cast("int").alias("rank"), (-F.col("h.m")).alias("overlap"))
-
-
-__all__ = ["applied", "author_names", "hard_case_candidates", "hard_cases", "identify", "review", "summary", "title_search", "with_side_metadata"]
+    each = x.select("doc_key", F.explode("ws").alias("w"))
+    spread = each.groupBy("w").count()
+    rare = spread.filter(F.col("count") <= common).select("w")
+    asked = q.select("query_id", F.explode("ws").alias("w"))
+    pairs = asked.join(each.join(rare, "w"), "w").select("query_id", "doc_key").distinct()
+    met = pairs.join(q, "query_id").join(x.withColumnRenamed("ws", "xs"), "doc_key").select("query_id", "doc_key", F.size(F.array_intersect("ws", "xs")).alias("shared"))
+
+    often = spread.filter(F.col("count") > common).select("w")
+    sets = lambda df, key: df.join(often, "w").groupBy(key).agg(F.array_sort(F.collect_set("w")).alias("set"))
+    first = best_rows(sets(each, "doc_key"), ["set"], [F.col("doc_key")], k)
+    by_query = sets(asked, "query_id")
+    wanted = by_query.select("set").distinct()
+    theirs = first.groupBy("set").agg(F.sort_array(F.collect_list("doc_key")).alias("keys"))  # k at most
+    long = lambda df, name: df.select(F.col("set").alias(name), F.explode("set").alias("w"))
+    both = long(wanted, "set").join(long(theirs, "other"), "w").groupBy("set", "other").agg(F.count("*").alias("shared"))
+    both = both.join(theirs.withColumnRenamed("set", "other"), "other").select("set", F.explode("keys").alias("doc_key"), "shared")
+    both = best_rows(both, ["set"], [F.desc("shared"), F.col("doc_key")], k)
+    plain = by_query.join(both, "set").select("query_id", "doc_key", F.col("shared").cast("int").alias("shared"))
+
+    found = met.unionByName(plain).groupBy("query_id", "doc_key").agg(F.max("shared").alias("shared"))
+    best = best_rows(found, ["query_id"], [F.desc("shared"), F.col("doc_key")], k)
+    sizes = q.select("query_id", F.size("ws").alias("n"))
+    return best.join(sizes, "query_id").select("query_id", "doc_key", "rank", F.round(F.col("shared") / F.col("n"), 4).alias("overlap"))
+
+
+def best_rows(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
+    """The first k rows of each group with their rank; all but k go before the shuffle, too."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= k)
+
+
+__all__ = ["best_rows", "identify", "summary", "title_search", "with_side_metadata"]

@@ -14,7 +14,10 @@ from .functions import text as T
 from .operators import authority as A
 from .operators import candidates as C
 from .operators import decisions as D
+from . import sql_facts as K
+from .plans import hard_cases as H
 from .plans import records as P
+from .plans import review as R
 from .sources import files, front_page
 
 # ---------------------------------------------------------------- inputs, in SQL that both engines read
@@ -48,6 +51,9 @@ WORK_PEOPLE = "CASE doc_id % 3 WHEN 0 THEN 'A. ' || source || ';Someone Else' WH
 SHORT_A = "'Growth of ' || source || ' films in ' || lang || ' oxide layers number ' || (doc_id % 10)"
 SHORT_B = "CASE doc_id % 4 WHEN 0 THEN 'Growth of ' || source || ' films in ' || lang || ' oxide layers number ' || (doc_id % 10) WHEN 1 THEN 'Growth of ' || source || ' films' WHEN 2 THEN 'Films of ' || lang || ' oxide: growth and ' || source ELSE 'An unrelated ' || lang || ' title' END"
 JSON = """'{"message":{"DOI":"10.1000/x' || doc_id || '","title":["","Work ' || doc_id || '"],"author":[{"given":"A","family":"' || source || '"},{"family":"B"}],"container-title":["J ' || lang || '"],"publisher":"P","issued":{"date-parts":[[' || (1990 + doc_id % 30) || ',1]]},"type":"journal-article"}}'"""
+#: Titles that are searched by or not: headings, field words, long ones.
+SEARCH_TITLE = f"""CASE doc_id % 7 WHEN 0 THEN {SHORT_A} WHEN 1 THEN 'lithium battery electrode ' || lang WHEN 2 THEN 'Introduction to ' || source || ' growth of films'
+ WHEN 3 THEN 'Table of contents of ' || source || ' and others' WHEN 4 THEN '关键词: films of ' || source || ' in thin layers' WHEN 5 THEN coalesce(text, '') ELSE 'preparing your manuscript for ' || source || ' press' END"""
 MARKDOWN = "coalesce(text, '') || chr(10) || '## References' || chr(10) || '[1] doi:10.1000/ref.' || doc_id || chr(10)"
 
 
@@ -63,15 +69,15 @@ def q_clean(x: str) -> str:
 
 def q_norm(x: str) -> str:
     y = f"lower({q_clean(x)})"
-    for a, b in T.GREEK:
+    for a, b in K.GREEK:
         y = f"replace({y}, '{a}', '{b}')"
-    y = f"translate({y}, '{T.DASHES}', '{'-' * len(T.DASHES)}')"
+    y = f"translate({y}, '{K.DASHES}', '{'-' * len(K.DASHES)}')"
     return f"trim(regexp_replace(regexp_replace({y}, '<[^>]+>', ' ', 'g'), '[^\\pL\\pN]+', ' ', 'g'))"
 
 
 def q_plausible(x: str) -> str:
-    return f"""(regexp_full_match({x}, '(?i)10\\.\\d{{4,9}}/[-._;()/:+A-Z0-9_]+') AND length({x}) BETWEEN 8 AND 300 AND lower({x}) <> '{I.PLACEHOLDER}'
-      AND NOT regexp_matches({x}, '(?i)^10\\.1088/2053-1591/0/0/0+$') AND NOT regexp_matches({x}, '{I.PLACEHOLDER_WORDS}') AND NOT regexp_matches({x}, '^[^/]*/\\(\\(')
+    return f"""(regexp_full_match({x}, '(?i)10\\.\\d{{4,9}}/[-._;()/:+A-Z0-9_]+') AND length({x}) BETWEEN 8 AND 300 AND lower({x}) <> '{K.PLACEHOLDER}'
+      AND NOT regexp_matches({x}, '(?i)^10\\.1088/2053-1591/0/0/0+$') AND NOT regexp_matches({x}, '{K.PLACEHOLDER_WORDS}') AND NOT regexp_matches({x}, '^[^/]*/\\(\\(')
       AND length(replace({x}, '(', '')) = length(replace({x}, ')', '')) AND NOT regexp_matches({x}, '(?i)/\\(?ISSN\\)?'))"""
 
 
@@ -92,8 +98,8 @@ def q_normalize(rows: str, keep: str) -> str:
     steps = r(steps, "(?is)(?:<|%0a|%0d).*")
     steps = r(steps, "(?i)^(10\\.21203/rs\\.3\\.rs-[a-z0-9-]+)_v(\\d+)$", "\\1/v\\2")
     steps = r(steps, "(?i)^(10\\.1002/)ange(\\.\\d+)$", "\\1anie\\2")
-    w = [f"regexp_extract(d1, '{p}', 1)" for p in I.WILEY_TAILS]
-    s = f"regexp_extract(d2, '{I.SENTENCE_TAIL}', 1)"
+    w = [f"regexp_extract(d1, '{p}', 1)" for p in K.WILEY_TAILS]
+    s = f"regexp_extract(d2, '{K.SENTENCE_TAIL}', 1)"
     run = "regexp_extract(d3, '([.,;:''\"\\]}>)]*)$', 1)"
     return f"""n1 AS (SELECT {keep}, {steps} AS d1 FROM ({rows})),
     n2 AS (SELECT {keep}, CASE WHEN {q_plausible(w[0])} THEN {w[0]} WHEN {q_plausible(w[1])} THEN {w[1]} ELSE d1 END AS d2 FROM n1),
@@ -104,20 +110,23 @@ def q_normalize(rows: str, keep: str) -> str:
 
 
 def q_group(x: str) -> str:
-    return "CASE " + " ".join(f"WHEN starts_with({x}, '{a}') THEN '{b}'" for a, b in I.GROUPS) + " ELSE 'unknown' END"
+    return K.GROUP.format(x)
 
 
 def q_weight(x: str) -> str:
-    return "CASE " + " ".join(f"WHEN starts_with({x}, '{a}') THEN '{b}'" for a, b in I.WEIGHTS) + " ELSE 'low' END"
+    return K.WEIGHT.format(x)
 
 
 def q_bad(x: str) -> str:
-    empty = T.EMPTY_TITLES.replace("'", "''")
-    return f"(length({q_norm(x)}) < 5 OR regexp_matches({q_clean(x)}, '{empty}') OR {q_norm(x)} IN {T.EMPTY_NORMAL_TITLES})"
+    return f"(length({q_norm(x)}) < 5 OR regexp_matches({q_clean(x)}, '{K.EMPTY_TITLE}') OR {q_norm(x)} IN {K.EMPTY_NORMAL})"
 
 
-def q_foreign(x: str, words: str) -> str:
-    return f"regexp_matches({q_clean(x)}, '(?i)({words.replace(chr(39), chr(39) * 2)})')"
+def q_local_bad(x: str) -> str:
+    return f"({q_bad(x)} OR regexp_matches({q_clean(x)}, '{K.LOCAL_BAD}'))"
+
+
+def q_hard_bad(x: str) -> str:
+    return f"({q_bad(x)} OR length({q_norm(x)}) < 8 OR regexp_matches({q_clean(x)}, '{K.HARD_BAD}'))"
 
 
 def q_authors(x: str) -> str:
@@ -158,7 +167,7 @@ def doi_normalize(spark, d):
     return docs(spark, d, "doc_id", "source").select("doc_id", doi.alias("doi"), I.is_plausible(doi).alias("plausible"))
 
 
-_SCAN_SQL = f"SELECT doc_id, regexp_extract_all(x, '{I.SCAN}', 1) AS ms FROM (SELECT doc_id, {TEXT} AS x FROM documents)"
+_SCAN_SQL = f"SELECT doc_id, regexp_extract_all(x, '{K.SCAN}', 1) AS ms FROM (SELECT doc_id, {TEXT} AS x FROM documents)"
 _SCAN_ROWS = f"SELECT doc_id, unnest(ms) AS raw, unnest(range(1, len(ms) + 1)) - 1 AS ord FROM ({_SCAN_SQL})"
 
 
@@ -168,17 +177,29 @@ def doi_scan(spark, d):
     return hits.select("doc_id", F.col("ord").cast("long").alias("ord"), "doi")
 
 
-@query(f"""SELECT doc_id, trim(regexp_replace(substring(x, greatest(1, at - 80), at + n + 80 - greatest(1, at - 80)), '\\s+', ' ', 'g')) AS context
-FROM (SELECT doc_id, x, strpos(x, m) AS at, length(m) AS n FROM (SELECT doc_id, x, regexp_extract(x, '{I.SCAN}', 0) AS m FROM (SELECT doc_id, {TEXT} AS x FROM documents)))""".replace(" at ", " pos ").replace("at - 80", "pos - 80").replace("at + n", "pos + n").replace("AS at,", "AS pos,"))
+_PLACED = f"""SELECT doc_id, x, regexp_extract_all(x, '{K.SCAN}', 0) AS ms, list_transform(string_split_regex(x, '{K.SCAN}'), lambda g: length(g)) AS gs
+FROM (SELECT doc_id, {TEXT} AS x FROM documents)"""
+
+
+@query(f"""WITH p AS ({_PLACED}), k AS (SELECT doc_id, x, ms, gs, unnest(range(1, len(ms) + 1)) AS k FROM p),
+h AS (SELECT doc_id, x, k, length(ms[k]) AS n, list_sum(gs[1:k]) + coalesce(list_sum(list_transform(ms[1:k - 1], lambda m: length(m))), 0) AS pos FROM k)
+SELECT doc_id, k::BIGINT - 1 AS ord, trim(regexp_replace(substring(x, (greatest(0, pos - 80) + 1)::BIGINT, (pos + n + 80 - greatest(0, pos - 80))::BIGINT), '\\s+', ' ', 'g')) AS context FROM h""")
 def doi_context(spark, d):
-    hits = I.find(F.col("x"), F.lit("text"))
-    return docs(spark, d, "doc_id", "text", "lang").select("doc_id", F.expr(TEXT).alias("x")).select("doc_id", F.get(hits, F.lit(0))["context"].alias("context"))
+    hits = C.explode_hits(docs(spark, d, "doc_id", "text", "lang").select("doc_id", F.expr(TEXT).alias("x")), "doc_id", I.find(F.col("x"), F.lit("text")))
+    return hits.select("doc_id", F.col("ord").cast("long").alias("ord"), "context")
 
 
-@query()
+_SPACED = f"({TEXT}) || ' 10 . 1021 / jp' || doc_id || ' . s001 and 10.1000/a' || chr(92) || chr(10) || ' b'"
+_SPACED_ROWS = f"""SELECT doc_id, unnest(ms) AS raw, unnest(range(len(ms))) AS k FROM (
+ SELECT doc_id, regexp_extract_all(x, '{K.SCAN}', 1) || regexp_extract_all(x, '{K.SCAN_SPACED}', 0) || regexp_extract_all(y, '{K.SCAN}', 1) || regexp_extract_all(y, '{K.SCAN_SPACED}', 0) AS ms
+ FROM (SELECT doc_id, x, regexp_replace(x, '\\\\\\s+', '', 'g') AS y FROM (SELECT doc_id, {_SPACED} AS x FROM documents)))"""
+
+
+@query(f"WITH {q_normalize(_SPACED_ROWS, 'doc_id, k')} SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS ord, doi FROM normal WHERE {q_plausible('doi')}")
 def doi_scan_spaced(spark, d):
     x = F.concat(F.expr(TEXT), F.lit(" 10 . 1021 / jp"), F.col("doc_id"), F.lit(" . s001 and 10.1000/a\\\n b"))
-    return C.explode_hits(docs(spark, d, "doc_id", "text", "lang").select("doc_id", x.alias("x")), "doc_id", I.find(F.col("x"), F.lit("text"), spaced=True)).select("doc_id", "ord", "doi", "context")
+    df = docs(spark, d, "doc_id", "text", "lang").select("doc_id", x.alias("x"))
+    return C.explode_hits(df, "doc_id", I.find(F.col("x"), F.lit("text"), spaced=True)).select("doc_id", F.col("ord").cast("long").alias("ord"), "doi")
 
 
 _PII = "regexp_replace(stem, '[^A-Za-z0-9]', '', 'g')"
@@ -219,7 +240,8 @@ def _candidates(spark, d):
     return df.selectExpr("doc_id", "k", "k AS ord", f"{SOURCE_SQL} AS source", _CAND.split(" AS source, ")[1].removesuffix(" AS doi") + " AS doi")
 
 
-_CHOICE = f"""WITH c AS (SELECT *, {q_group('source')} AS grp, {q_weight('source')} AS conf FROM ({_CAND} FROM documents, range(5) r(k))),
+_GIVEN = f"CASE source WHEN 'grobid_doi' THEN 'medium' WHEN 'crossref_title_search' THEN 'review' WHEN 'llm_candidate' THEN 'review' ELSE {q_weight('source')} END"
+_CHOICE = f"""WITH c AS (SELECT *, {q_group('source')} AS grp, {_GIVEN} AS conf FROM ({_CAND} FROM documents, range(5) r(k))),
 w AS (SELECT *, CASE conf WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END AS wt FROM c WHERE {q_plausible('doi')}),
 g AS (SELECT doc_id, lower(doi) AS key, count(DISTINCT CASE WHEN grp <> 'filename' THEN grp END) AS ng, max(wt) AS mw, count(*) AS n, min(ord) AS o, arg_min(doi, ord) AS doi, arg_min(source, ord) AS source, arg_max(conf, wt * 1000 - ord) AS conf FROM w GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ng DESC, mw DESC, n DESC, o) AS rn FROM g),
@@ -267,20 +289,35 @@ def norm_text(spark, d):
     return docs(spark, d, "doc_id", f"{TITLE} AS x").select("doc_id", T.norm_text(F.col("x")).alias("normal"))
 
 
-@query(f"""SELECT doc_id, {q_bad('x')} AS bad, {q_bad('x')} OR {q_foreign('x', T.FOREIGN_TITLE)} AS bad_local, {q_bad('x')} OR length({q_norm('x')}) < 8 OR {q_foreign('x', T.FOREIGN_TITLE_MORE)} AS bad_hard FROM (SELECT doc_id, {TITLE} AS x FROM documents)""")
+@query(f"SELECT doc_id, {q_bad('x')} AS bad, {q_local_bad('x')} AS bad_local, {q_hard_bad('x')} AS bad_hard FROM (SELECT doc_id, {TITLE} AS x FROM documents)")
 def bad_title(spark, d):
     x = F.col("x")
     return docs(spark, d, "doc_id", f"{TITLE} AS x").select("doc_id", T.is_bad_title(x).alias("bad"), T.local_title_is_bad(x).alias("bad_local"), T.title_is_bad(x).alias("bad_hard"))
 
 
 _LONG = f"list_filter({q_words('x')}, lambda w: length(w) >= 3)"
-_USEFUL = f"(length({q_clean('x')}) <= 280 AND length({q_norm('x')}) >= 18 AND len({_LONG}) >= 4 AND NOT ({q_bad('x')} OR length({q_norm('x')}) < 8 OR {q_foreign('x', T.FOREIGN_TITLE_MORE)}))"
+_SOME = f"{q_clean('x')} <> '' AND length({q_clean('x')}) <= 280 AND length({q_norm('x')}) >= 18 AND len({_LONG}) >= 4"
+_OWN_WORDS = f"len(list_filter({_LONG}, lambda w: w NOT IN {K.DOMAIN_WORDS})) >= 2"
 
 
-@query(f"SELECT doc_id, {_USEFUL} AND len(list_filter({_LONG}, lambda w: w NOT IN {T.DOMAIN_STOP_WORDS})) >= 2 AS useful, {_USEFUL} AS useful_ocr FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN {SHORT_A} ELSE 'lithium battery electrode ' || lang END AS x FROM documents)")
+@query(f"""SELECT doc_id, {_SOME} AND {_OWN_WORDS} AND NOT regexp_matches({q_clean('x')}, '{K.LAYOUT_BAD}') AS useful, {_SOME} AND NOT regexp_matches({q_clean('x')}, '{K.OCR_BAD}') AS useful_ocr,
+ NOT {q_hard_bad('x')} AND length({q_norm('x')}) >= 18 AS searchable FROM (SELECT doc_id, {SEARCH_TITLE} AS x FROM documents)""")
 def useful_title(spark, d):
     x = F.col("x")
-    return docs(spark, d, "doc_id", f"CASE WHEN doc_id % 2 = 0 THEN {SHORT_A} ELSE 'lithium battery electrode ' || lang END AS x").select("doc_id", T.useful_title(x).alias("useful"), T.useful_title(x, domain=False).alias("useful_ocr"))
+    checks = {"useful": T.useful_title(x), "useful_ocr": T.useful_title(x, domain=False), "searchable": T.searchable_title(x)}
+    return docs(spark, d, "doc_id", f"{SEARCH_TITLE} AS x").select("doc_id", *[v.alias(k) for k, v in checks.items()])
+
+
+_SUPPLEMENT = "'10.1000/' || CASE doc_id % 8 WHEN 0 THEN 'a.s' || (100 + doc_id % 900) WHEN 1 THEN 'x/fig-' || doc_id WHEN 2 THEN 'x/figabc' || doc_id WHEN 3 THEN 'dryad.' || doc_id WHEN 4 THEN 'a/figure' || doc_id WHEN 5 THEN 'suppl' || doc_id ELSE 'y' || doc_id END"
+_WORK = "CASE doc_id % 5 WHEN 0 THEN 'On the dataset of ' || source WHEN 1 THEN 'Data from: ' || source WHEN 2 THEN 'See figure 12 of ' || source WHEN 3 THEN 'Datasets of ' || source ELSE 'A title' END"
+_KIND = "CASE doc_id % 3 WHEN 0 THEN 'posted-content' WHEN 1 THEN 'Dataset' ELSE 'journal-article' END"
+
+
+@query(f"""SELECT doc_id, regexp_matches(d, '{K.SUSPICIOUS}') AS by_doi, regexp_matches(d, '{K.SUSPICIOUS}') OR regexp_matches(t, '{K.SUSPICIOUS_TITLE}') OR k IN ('posted-content', 'Dataset') AS by_any
+FROM (SELECT doc_id, {_SUPPLEMENT} AS d, {_WORK} AS t, {_KIND} AS k FROM documents)""")
+def suspicious_candidate(spark, d):
+    df = docs(spark, d, "doc_id", f"{_SUPPLEMENT} AS d", f"{_WORK} AS t", f"{_KIND} AS k")
+    return df.select("doc_id", I.suspicious(F.col("d")).alias("by_doi"), I.suspicious(F.col("d"), F.col("t"), F.col("k")).alias("by_any"))
 
 
 @query(f"SELECT doc_id, len({q_authors(PEOPLE)})::BIGINT AS n, array_to_string({q_authors(PEOPLE)}, '|') AS names FROM documents")
@@ -306,7 +343,7 @@ def title_overlap(spark, d):
     return docs(spark, d, "doc_id", f"{SHORT_A} AS x", f"{SHORT_B} AS y").select("doc_id", F.round(S.token_overlap(x, y), 4).alias("overlap"), F.round(S.containment(x, y), 4).cast("double").alias("containment"))
 
 
-_TELLING = f"list_filter({q_words('t')}, lambda w: length(w) >= 4 AND w NOT IN {T.COVERAGE_STOP_WORDS})"
+_TELLING = f"list_filter({q_words('t')}, lambda w: length(w) >= 4 AND w NOT IN {K.COVERAGE_WORDS})"
 
 
 @query(f"""WITH x AS (SELECT doc_id, {SHORT_A} AS t, {q_norm("coalesce(text, '') || ' ' || " + SHORT_B)} AS n FROM documents)
@@ -316,7 +353,19 @@ def title_coverage(spark, d):
     return df.select("doc_id", F.round(S.title_coverage(F.col("t"), F.col("x")), 4).cast("double").alias("coverage"))
 
 
-@query()
+def q_pairs(rows: str, a: str, b: str) -> str:
+    """CTEs pairs and ratios over the normal forms of two titles of ``rows``."""
+    return f"pairs AS (SELECT DISTINCT {q_norm(a)} AS a, {q_norm(b)} AS b FROM {rows} WHERE {a} IS NOT NULL AND {b} IS NOT NULL), {K.RATIOS}"
+
+
+def q_score(a: str, b: str) -> str:
+    """The score of two titles, where ``ratio`` is joined from ratios."""
+    bad = f"{b} IS NULL OR {q_bad(a)} OR {q_bad(b)}"
+    return f"CASE WHEN {bad} THEN 0.0 WHEN {q_norm(a)} = {q_norm(b)} THEN 1.0 ELSE greatest(0.94 * ({q_overlap(a, b)}), {q_containment(a, b)}, ratio) END"
+
+
+@query(f"""WITH RECURSIVE x AS (SELECT doc_id, {SHORT_A} AS t, {SHORT_B} AS u FROM documents), {q_pairs('x', 't', 'u')}
+SELECT doc_id, round({q_score('t', 'u')}, 4)::DOUBLE AS score FROM x JOIN ratios ON ratios.a = {q_norm('t')} AND ratios.b = {q_norm('u')}""")
 def title_score(spark, d):
     df = docs(spark, d, "doc_id", f"{SHORT_A} AS x", f"{SHORT_B} AS y")
     return S.with_title_score(df, "score", F.col("x"), F.col("y")).select("doc_id", F.round("score", 4).alias("score"))
@@ -328,7 +377,8 @@ def page_title(spark, d):
     return df.select("page_id", F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"))
 
 
-@query()
+@query("""SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'Work ' || doc_id END AS title, CASE WHEN doc_id % 10 = 0 THEN '' ELSE '10.1000/' || lpad((doc_id % 100000)::VARCHAR, 5, '0') END AS doi,
+ '' AS date, '' AS year, '' AS journal, '' AS publisher, CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'A ' || source END AS authors, '' AS abstract FROM documents""")
 def tei_header(spark, d):
     xml = F.expr(f"'<TEI xmlns=\"http://www.tei-c.org/ns/1.0\"><teiHeader><titleStmt><title>Work ' || doc_id || '</title></titleStmt><sourceDesc><analytic><author><persName><forename>A</forename><surname>' || source || '</surname></persName></author></analytic><idno type=\"DOI\">10.1000/' || {PAD} || '</idno></sourceDesc></teiHeader></TEI' || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '>' END")
     return docs(spark, d, "doc_id", "source").select("doc_id", files.tei_header(xml).alias("h")).select("doc_id", "h.*")
@@ -365,18 +415,21 @@ def authority_json(spark, d):
     return df.withColumn("authors", F.array_join("authors", "; "))
 
 
-_ANSWERS = "SELECT doc_id, lower('10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200)) AS doi_key, src AS source, (doc_id + p) % 3 <> 0 AS resolved, CASE WHEN (doc_id + p) % 5 = 0 THEN '' ELSE 'T' || doc_id || src END AS title FROM documents, (VALUES (0, 'osti'), (1, 'doi.org'), (2, 'crossref'), (3, 'datacite')) v(p, src) WHERE doc_id < 200"
+_KEY = "'10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200)"
+_ANSWERS = f"""SELECT lower({_KEY}) AS doi_key, src AS source, p, (doc_id + p) % 3 <> 0 AND (doc_id + p) % 5 <> 0 AS good, 'T' || doc_id || src AS title
+FROM documents, (VALUES (0, 'osti'), (1, 'doi.org'), (2, 'crossref'), (3, 'datacite')) v(p, src) WHERE src <> 'osti' OR doc_id % 4 = 0"""
 
 
-@query(f"""WITH a AS ({_ANSWERS}), q AS (SELECT doc_id, '10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200) AS doi FROM documents),
-u AS (SELECT * FROM a WHERE source <> 'osti' OR starts_with(doi_key, '10.2172/')),
-b AS (SELECT doi_key, count(*) AS tried, arg_min(source, CASE WHEN resolved AND title <> '' THEN CASE source WHEN 'osti' THEN 0 WHEN 'doi.org' THEN 1 WHEN 'crossref' THEN 2 ELSE 3 END END) AS s, arg_min(title, CASE WHEN resolved AND title <> '' THEN CASE source WHEN 'osti' THEN 0 WHEN 'doi.org' THEN 1 WHEN 'crossref' THEN 2 ELSE 3 END END) AS t FROM u GROUP BY 1)
-SELECT q.doc_id, q.doi, coalesce(b.tried, 0)::BIGINT AS tried, b.s AS authority_source, b.t AS authority_title FROM q LEFT JOIN b ON lower(q.doi) = b.doi_key""")
+@query(f"""WITH a AS ({_ANSWERS}), n AS (SELECT doi_key, count(*) AS tried FROM a GROUP BY 1),
+b AS (SELECT doi_key, source, title, row_number() OVER (PARTITION BY doi_key ORDER BY p, title) AS rn FROM a WHERE good)
+SELECT q.doc_id, q.doi, coalesce(n.tried, 0)::BIGINT AS tried, b.source AS authority_source, b.title AS authority_title
+FROM (SELECT doc_id, {_KEY} AS doi FROM documents) q LEFT JOIN n ON lower(q.doi) = n.doi_key LEFT JOIN b ON lower(q.doi) = b.doi_key AND b.rn = 1""")
 def authority_priority(spark, d):
-    key = "'10.' || CASE WHEN doc_id % 4 = 0 THEN '2172' ELSE '1000' END || '/X' || (doc_id % 200)"
+    """Every document asks for a key that many documents answer, from four sources each."""
     src = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), F.lit(s).alias("source")) for i, s in enumerate(("osti", "doi.org", "crossref", "datacite"))]))
-    ans = docs(spark, d, "doc_id", f"lower({key}) AS doi_key").filter("doc_id < 200").select("doc_id", "doi_key", src.alias("v")).selectExpr("doi_key", "v.source AS source", "(doc_id + v.p) % 3 <> 0 AS resolved", "CASE WHEN (doc_id + v.p) % 5 = 0 THEN '' ELSE 'T' || doc_id || v.source END AS title")
-    return A.resolve(docs(spark, d, "doc_id", f"{key} AS doi"), ans, "doc_id").select("doc_id", "doi", "tried", "authority_source", "authority_title")
+    each = docs(spark, d, "doc_id", f"lower({_KEY}) AS doi_key").select("doc_id", "doi_key", src.alias("v"))
+    ans = each.selectExpr("doi_key", "v.source AS source", "(doc_id + v.p) % 3 <> 0 AS resolved", "CASE WHEN (doc_id + v.p) % 5 = 0 THEN '' ELSE 'T' || doc_id || v.source END AS title")
+    return A.resolve(docs(spark, d, "doc_id", f"{_KEY} AS doi"), ans, "doc_id").select("doc_id", "doi", "tried", "authority_source", "authority_title")
 
 
 @query("SELECT user_id AS key, max(ts) AS ts, arg_max(event_type, struct_pack(ts := ts, e := event_type, i := event_id)) AS event_type FROM events GROUP BY 1")
@@ -399,25 +452,30 @@ def job_dedup(spark, d):
     return A.jobs(docs(spark, d, "doc_id AS ord", "CASE WHEN doc_id % 2 = 0 THEN '10.1000/A' ELSE '10.1000/a' END || (doc_id % 40) AS doi", "doc_id % 7 = 0 AS force"))
 
 
-@query(f"""WITH w AS (SELECT DISTINCT source, 'Growth of ' || source || ' films in en oxide layers number 3' AS wt FROM documents), r AS (SELECT doc_id, source, {SHORT_A} AS t, doc_id % 4 = 0 AS noa, doc_id % 11 = 0 AS gone FROM documents),
-j AS (SELECT r.*, CASE WHEN NOT gone THEN wt END AS wt FROM r JOIN w ON r.source = w.source), s AS (SELECT *, CASE WHEN wt IS NULL THEN 0 WHEN {q_norm('t')} = {q_norm('wt')} THEN 1.0 ELSE greatest(0.94 * ({q_overlap('t', 'wt')}), {q_containment('t', 'wt')}) END AS ts, CASE WHEN wt IS NULL OR noa THEN 0.0 ELSE 1.0 END AS aus FROM j)
-SELECT doc_id, (wt IS NOT NULL AND ts >= 0.94 AND (aus >= 0.15 OR (ts >= 0.985 AND noa))) AS verified, CASE WHEN wt IS NULL THEN 'crossref_not_found' WHEN ts >= 0.94 AND (aus >= 0.15 OR (ts >= 0.985 AND noa)) THEN 'verified' ELSE 'score_below_threshold' END AS reason, round(ts, 4)::DOUBLE AS title_score, round(aus, 4)::DOUBLE AS author_score FROM s""")
+_VERIFY = f"""SELECT r.*, CASE WHEN NOT gone THEN wt END AS wt FROM (SELECT doc_id, source, {SHORT_A} AS t, doc_id % 4 = 0 AS noa, doc_id % 11 = 0 AS gone FROM documents) r
+ JOIN (SELECT DISTINCT source, 'Growth of ' || source || ' films in en oxide layers number 3' AS wt FROM documents) w ON r.source = w.source"""
+_PASSES = "wt IS NOT NULL AND ts >= 0.94 AND (aus >= 0.15 OR (ts >= 0.985 AND noa))"
+
+
+@query(f"""WITH RECURSIVE j AS ({_VERIFY}), {q_pairs('j', 't', 'wt')},
+s AS (SELECT j.*, {q_score('t', 'wt')} AS ts, CASE WHEN wt IS NULL OR noa THEN 0.0 ELSE 1.0 END AS aus FROM j LEFT JOIN ratios ON ratios.a = {q_norm('t')} AND ratios.b = {q_norm('wt')})
+SELECT doc_id, {_PASSES} AS verified, CASE WHEN wt IS NULL THEN 'crossref_not_found' WHEN {_PASSES} THEN 'verified' ELSE 'score_below_threshold' END AS reason,
+ round(ts, 4)::DOUBLE AS title_score, round(aus, 4)::DOUBLE AS author_score FROM s""")
 def verify(spark, d):
-    rec = docs(spark, d, "doc_id", "'10.1000/' || CASE WHEN doc_id % 11 = 0 THEN 'gone.' ELSE 'x.' END || source AS doi", f"{SHORT_A} AS title", "CASE WHEN doc_id % 4 = 0 THEN cast(array() as array<string>) ELSE array('Ana ' || source) END AS authors")
-    works = docs(spark, d, "source").distinct().selectExpr("'10.1000/x.' || source AS doi_key", "'Growth of ' || source || ' films in en oxide layers number 3' AS work_title", "array('A. ' || source) AS work_authors")
-    return A.verify(rec, works, exact=False).select("doc_id", "verified", "reason", "title_score", "author_score")
+    none = "cast(array() as array<string>)"
+    rec = docs(spark, d, "doc_id", "'10.1000/' || CASE WHEN doc_id % 11 = 0 THEN 'gone.' ELSE 'x.' END || source AS doi", f"{SHORT_A} AS title", f"CASE WHEN doc_id % 4 = 0 THEN {none} ELSE array('Ana ' || source) END AS authors")
+    title = "'Growth of ' || source || ' films in en oxide layers number 3' AS work_title"
+    works = docs(spark, d, "source").distinct().selectExpr("'10.1000/x.' || source AS doi_key", title, "array('A. ' || source) AS work_authors")
+    return A.verify(rec, works).select("doc_id", "verified", "reason", "title_score", "author_score")
 
 
 # ---------------------------------------------------------------- decisions
 def _decision(table: str):
-    rules = D.TABLES[table]
-    arm = lambda i: "CASE " + " ".join(f"WHEN {r[0].replace('references', chr(34) + 'references' + chr(34))} THEN {(str(r[i]).lower() if i == 1 else chr(39) + r[i] + chr(39))}" for r in rules) + " END"
-
     def run(spark, d):
         return docs(spark, d, *_split(FACTS)).select("doc_id", D.decide(table).alias("d")).select("doc_id", "d.*")
 
     run.__name__ = f"decide_{table}"
-    query(f"SELECT doc_id, {arm(1)} AS accepted, {arm(2)} AS confidence, {arm(3)} AS decision FROM (SELECT {FACTS} FROM documents)")(run)
+    query(f"SELECT doc_id, {K.decided('said')} FROM (SELECT doc_id, {K.DECISIONS[table]} AS said FROM (SELECT {FACTS} FROM documents))")(run)
 
 
 def _split(columns: str) -> list[str]:
@@ -447,7 +505,7 @@ def best_result(spark, d):
 _ACT = "doc_id, doc_id % 9 = 0 AS has_candidate, (doc_id * 97) % 2000 AS text_chars, lower(CASE doc_id % 5 WHEN 0 THEN 'PhD Thesis ' WHEN 1 THEN 'book chapter ' ELSE 'report ' END || source) AS text, doc_id % 7 = 0 AS cjk, CASE WHEN doc_id % 4 = 0 THEN 'no_doi_unresolved' ELSE 'review' END AS final_decision"
 
 
-@query("SELECT doc_id, CASE " + " ".join(f"WHEN {c.replace('text rlike', 'regexp_matches(text,') + (')' if 'rlike' in c else '')} THEN '{n}'" for c, n in D.ACTIONS) + f" END AS action FROM (SELECT {_ACT} FROM documents)")
+@query(f"SELECT doc_id, {K.ACTION} AS action FROM (SELECT {_ACT} FROM documents)")
 def suggested_action(spark, d):
     return docs(spark, d, *_split(_ACT)).select("doc_id", D.action().alias("action"))
 
@@ -464,7 +522,7 @@ _TOK = f"CASE doc_id % 6 WHEN 0 THEN '10.1149_1945-7111_ac' || doc_id WHEN 1 THE
 
 @query(f"""WITH t AS (SELECT doc_id, replace({_TOK}, '@', '_') AS x FROM documents), s AS (SELECT doc_id, regexp_extract(x, '^(10\\.\\d{{4,9}})[_-](.+)$', 1) AS p, regexp_extract(x, '^(10\\.\\d{{4,9}})[_-](.+)$', 2) AS q FROM t),
 v AS (SELECT doc_id, 0 AS k, p || '/' || q AS doi FROM s
- UNION ALL SELECT doc_id, 1, p || '/' || upper(replace(q, '_', '/')) FROM s WHERE p IN {I.REPOSITORY_PREFIXES} AND contains(q, '_')
+ UNION ALL SELECT doc_id, 1, p || '/' || upper(replace(q, '_', '/')) FROM s WHERE p IN {K.REPOSITORY_PREFIXES} AND contains(q, '_')
  UNION ALL SELECT doc_id, 2, p || '/' || regexp_replace(q, '_', '/') FROM s WHERE contains(q, '_')
  UNION ALL SELECT doc_id, 3, p || '/' || replace(q, '_', '/') FROM s WHERE contains(q, '_')
  UNION ALL SELECT doc_id, 4, p || '/' || regexp_replace(q, '(?i)\\.s\\d{{3,4}}$', '') FROM s WHERE p = '10.1021' AND regexp_matches(q, '(?i)\\.s\\d{{3,4}}$')
@@ -482,10 +540,13 @@ def variants_ecs(spark, d):
     return docs(spark, d, "doc_id", f"{_ECS} AS x").select("doc_id", I.ecs_variant(F.col("x")).alias("doi"))
 
 
-_PRE = "CASE doc_id % 5 WHEN 0 THEN '10.1049/ic_' || doc_id WHEN 1 THEN '10.1023/a_' || doc_id WHEN 2 THEN '10.4233/uuid_ab-' || doc_id WHEN 3 THEN '10.1088/0022_' || doc_id || '_7' ELSE '10.1117/12.' || (700000 + doc_id) || '.x' END"
+_PRE = f"""CASE doc_id % 9 WHEN 0 THEN '10.1049/ic_' || doc_id WHEN 1 THEN '10.1023/a_' || doc_id || '_5' WHEN 2 THEN '10.4233/uuid_ab-' || doc_id || '_c' WHEN 3 THEN '10.1088/0022_' || doc_id || '_7'
+ WHEN 4 THEN '10.1117/12.' || (700000 + doc_id) || '.x' WHEN 5 THEN '10.1049/ic_2010_' || {PAD} WHEN 6 THEN '10.1049/icp_2010_' || {PAD} WHEN 7 THEN '10.1117/12.' || (700000 + doc_id) ELSE '10.1209/Ab_c_' || doc_id END"""
 
 
-@query(f"""WITH x AS (SELECT doc_id, {_PRE} AS x FROM documents) SELECT doc_id, unnest(CASE doc_id % 5 WHEN 0 THEN ['10.1049/ic:' || doc_id, '10.1049/cp:' || doc_id] WHEN 1 THEN ['10.1023/a:' || doc_id] WHEN 2 THEN ['10.4233/uuid:ab-' || doc_id] WHEN 3 THEN ['10.1088/0022/' || doc_id || '/7'] ELSE ['10.1117/12.' || (700000 + doc_id)] END) AS doi FROM x""")
+@query(f"""SELECT doc_id, unnest(CASE doc_id % 9 WHEN 0 THEN ['10.1049/ic:' || doc_id, '10.1049/cp:' || doc_id] WHEN 1 THEN ['10.1023/A:' || doc_id || '_5'] WHEN 2 THEN ['10.4233/uuid:ab-' || doc_id || '_c']
+ WHEN 3 THEN ['10.1088/0022/' || doc_id || '/7'] WHEN 4 THEN ['10.1117/12.' || (700000 + doc_id)] WHEN 5 THEN ['10.1049/ic:2010_' || {PAD}, '10.1049/cp:2010_' || {PAD}] WHEN 6 THEN ['10.1049/icp:2010_' || {PAD}]
+ WHEN 7 THEN [] ELSE ['10.1209/Ab/c/' || doc_id] END) AS doi FROM documents""")
 def variants_prefix(spark, d):
     return docs(spark, d, "doc_id", f"{_PRE} AS x").select("doc_id", F.explode(I.prefix_variants(F.col("x"))).alias("v")).select("doc_id", "v.doi")
 
@@ -498,31 +559,87 @@ def identify_records(spark, d):
     return P.identify(df, hits, "doc_id").withColumn("doi_candidates", F.to_json("doi_candidates"))
 
 
-def _records(spark, d):
-    return docs(spark, d, "doc_id", "text", "lang", "source").selectExpr("cast(doc_id as string) AS path", "'10.1149_ma2013-01_4_' || doc_id || '.pdf' AS filename", "CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01_4_' || doc_id ELSE '10.1000/x' || doc_id END AS doi", "CASE WHEN doc_id % 5 = 0 THEN 'ok' ELSE 'review' END AS status", f"{SHORT_A} AS title", "array('Ana ' || source) AS authors", "array('filename_doi') AS sources", f"cast({SCORES} as double) AS old_t", f"cast({SCORES_A} as double) AS old_a", "coalesce(text, '') AS text")
+# A record of each document: two of three have an identifier with a slash too few, which another spelling mends.
+RECORD = f"""SELECT doc_id::VARCHAR AS path, doc_id, lang, source, CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01_4_' || doc_id ELSE '10.1000/x' || doc_id END AS doi, doc_id % 5 = 0 AS ok,
+ {SHORT_A} AS title, 'Ana ' || source AS author, cast({SCORES} as double) AS old_t, cast({SCORES_A} as double) AS old_a, coalesce(text, '') AS text FROM documents"""
+# Answers: of doi.org with an error or a result, of crossref a result with another title; keys of the mended spelling.
+ANSWER_KEY = "CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01/4/' || doc_id ELSE '10.1000/x' || doc_id END"
+ANSWER_DOI = "CASE WHEN doc_id % 3 = 0 THEN '10.1149/MA2013-01/4/' || doc_id ELSE '10.1000/X' || doc_id END"
 
 
-def _answers(spark, d):
-    return docs(spark, d, "doc_id", "lang", "source").selectExpr("CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01/4/' || doc_id ELSE '10.1000/x' || doc_id END AS doi_key", "'crossref' AS source", "doc_id % 7 <> 0 AS resolved", "CASE WHEN doc_id % 3 = 0 THEN '10.1149/MA2013-01/4/' || doc_id ELSE '10.1000/X' || doc_id END AS doi", f"{SHORT_B} AS title", "array('A. ' || source) AS authors", "'timeout' AS error")
+def _records(spark, d):
+    return docs(spark, d, "doc_id", "text", "lang", "source").selectExpr(
+        "cast(doc_id as string) AS path", "'10.1149_ma2013-01_4_' || doc_id || '.pdf' AS filename", "CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01_4_' || doc_id ELSE '10.1000/x' || doc_id END AS doi",
+        "CASE WHEN doc_id % 5 = 0 THEN 'ok' ELSE 'review' END AS status", f"{SHORT_A} AS title", "array('Ana ' || source) AS authors", "array('filename_doi') AS sources",
+        f"cast({SCORES} as double) AS old_t", f"cast({SCORES_A} as double) AS old_a", "coalesce(text, '') AS text",
+    )
 
 
-@query()
+def _answers(spark, d):
+    """Two answers for a key: the better source fails for every seventh."""
+    two = docs(spark, d, "doc_id", "lang", "source").withColumn("src", F.explode(F.array(F.lit("doi.org"), F.lit("crossref"))))
+    title = f"CASE WHEN src = 'doi.org' THEN {SHORT_B} ELSE 'Other ' || {SHORT_B} END AS title"
+    resolved = "CASE WHEN src = 'doi.org' THEN doc_id % 7 <> 0 ELSE doc_id % 4 <> 0 END"
+    error = f"CASE WHEN {resolved} THEN '' ELSE 'timeout' END AS error"
+    return two.selectExpr(f"{ANSWER_KEY} AS doi_key", "src AS source", f"{resolved} AS resolved", f"{ANSWER_DOI} AS doi", title, "array('A. ' || source) AS authors", error)
+
+
+_BEST = f"""SELECT doc_id, {ANSWER_KEY} AS key, {ANSWER_DOI} AS adoi, doc_id % 7 <> 0 OR doc_id % 4 <> 0 AS res, CASE WHEN doc_id % 7 <> 0 THEN {SHORT_B} ELSE 'Other ' || ({SHORT_B}) END AS atitle FROM documents"""
+_IN_NAME = "doc_id % 3 = 0"
+# a record's author is the answer's by his last name
+_REVIEW = f"""WITH RECURSIVE r AS (SELECT * FROM ({RECORD}) WHERE NOT ok), b AS ({_BEST}),
+two AS (SELECT *, {K.STAGE2} AS said2 FROM (SELECT r.*, old_t AS t, old_a AS a, {_IN_NAME} AS ff, false AS no_authors FROM (SELECT doc_id, old_t, old_a FROM r) r), (SELECT true AS doi)),
+x AS (SELECT r.*, said2, doc_id % 3 <> 0 AS direct FROM r JOIN (SELECT doc_id, said2 FROM two) USING (doc_id)),
+j AS (SELECT x.*, b.adoi, b.res, b.atitle FROM x JOIN b USING (doc_id)), {q_pairs('j', 'title', 'atitle')},
+s AS (SELECT j.*, {q_score('title', 'atitle')} AS score FROM j JOIN ratios ON ratios.a = {q_norm('title')} AND ratios.b = {q_norm('atitle')}),
+three AS (SELECT *, {K.STAGE3} AS said3 FROM (SELECT doc_id, CASE WHEN direct THEN score ELSE 0.0 END AS t, CASE WHEN direct THEN 1.0 ELSE 0.0 END AS a, direct AND res AS res, {_IN_NAME} AS ff,
+ false AS no_authors, false AS bad_title, true AS doi, doc_id % 3 = 0 AS mainstream FROM s)),
+four AS (SELECT *, {K.STAGE4} AS said4 FROM (SELECT doc_id, CASE WHEN NOT direct AND res THEN score ELSE 0.0 END AS t, CASE WHEN NOT direct AND res THEN 1.0 ELSE 0.0 END AS a, NOT direct AND res AS res,
+ {_IN_NAME} AS ff, false AS no_authors FROM s)),
+f AS (SELECT s.*, said3, said4, three.t AS t3, three.a AS a3, four.t AS t4, four.a AS a4, starts_with(said2, 'yes') AS done2,
+ regexp_matches(said3, 'stage3_(unresolved_not_resolved|conflict_review)') AS again FROM s JOIN three USING (doc_id) JOIN four USING (doc_id)),
+z AS (SELECT path, doi, adoi, CASE WHEN done2 THEN 'stage2' WHEN again THEN 'stage4' ELSE 'stage3' END AS stage, CASE WHEN done2 THEN said2 WHEN again THEN said4 ELSE said3 END AS said,
+ CASE WHEN done2 THEN old_t WHEN again THEN t4 ELSE t3 END AS t, CASE WHEN done2 THEN old_a WHEN again THEN a4 ELSE a3 END AS a FROM f)
+SELECT path, stage, {K.decided('said')}, CASE WHEN starts_with(said, 'yes') AND stage <> 'stage2' THEN adoi ELSE doi END AS final_doi, round(t, 4)::DOUBLE AS t, round(a, 4)::DOUBLE AS a FROM z"""
+
+
+@query(_REVIEW)
 def review_pass(spark, d):
-    ans = _answers(spark, d).selectExpr("doi_key", "resolved", "doi AS authority_doi", "title AS authority_title", "authors AS authority_authors", "error")
-    return P.review(_records(spark, d), ans)
+    return R.review(_records(spark, d), _answers(spark, d)).select("path", "stage", "accepted", "confidence", "decision", "final_doi", "t", "a")
+
+
+# Tries of a record: its own identifier, then spellings of its file name, of which the last is the key of every third answer.
+_HARD = f"""WITH RECURSIVE r AS (SELECT *, {q_norm('text')} AS normal FROM ({RECORD}) WHERE NOT ok), b AS ({_BEST}),
+tries AS (SELECT doc_id, 0 AS ord, doi, 'existing_doi' AS src, doc_id % 3 <> 0 AS hit FROM r
+ UNION ALL SELECT doc_id, 1, '10.1149/ma2013-01_4_' || doc_id, 'filename_variant', false FROM r WHERE doc_id % 3 <> 0
+ UNION ALL SELECT doc_id, 2, '10.1149/ma2013-01/4_' || doc_id, 'filename_variant', false FROM r
+ UNION ALL SELECT doc_id, 3, '10.1149/ma2013-01/4/' || doc_id, 'filename_variant', doc_id % 3 = 0 FROM r),
+j AS (SELECT r.path, r.doc_id, r.title, r.normal, tries.ord, tries.doi AS try_doi, src, hit AND b.res AS res, b.adoi, CASE WHEN hit AND b.res THEN b.atitle END AS atitle FROM r JOIN tries USING (doc_id) JOIN b USING (doc_id)),
+{q_pairs('j', 'title', 'atitle')},
+s AS (SELECT j.*, {q_score('title', 'atitle')} AS t, CASE WHEN atitle IS NULL THEN 0.0 ELSE 1.0 END AS a, list_filter({q_words('atitle')}, lambda w: length(w) >= 4 AND w NOT IN {K.COVERAGE_WORDS}) AS telling
+ FROM j LEFT JOIN ratios ON ratios.a = {q_norm('title')} AND ratios.b = {q_norm('atitle')}),
+v AS (SELECT *, CASE WHEN atitle IS NULL OR normal = '' THEN 0.0 WHEN contains(normal, {q_norm('atitle')}) THEN 1.0 WHEN len(telling) = 0 THEN 0.0
+ ELSE len(list_filter(telling, lambda w: contains(normal, w))) / len(telling) END AS c, len({q_words('atitle')}) AS title_words, src = 'filename_variant' AS ff, false AS no_authors, false AS bad_title, false AS search FROM s),
+d AS (SELECT *, {K.HARD_CASE} AS said FROM v),
+n AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY starts_with(said, 'yes') DESC, CASE regexp_extract(said, '^\\S+ (\\S+) ', 1) WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 0 END DESC,
+ round(t, 4) DESC, round(c, 4) DESC, ord) AS rn FROM d)
+SELECT path, try_doi AS doi, src AS source, {K.decided('said')}, CASE WHEN starts_with(said, 'yes') THEN adoi ELSE '' END AS final_doi, round(t, 4)::DOUBLE AS t, round(a, 4)::DOUBLE AS a, round(c, 4)::DOUBLE AS c FROM n WHERE rn = 1"""
+
+
+@query(_HARD)
+def hard_case_pass(spark, d):
+    return H.hard_cases(_records(spark, d), _answers(spark, d)).select("path", "doi", "source", "accepted", "confidence", "decision", "final_doi", "t", "a", "c")
 
 
-@query()
-def hard_case_pass(spark, d):
-    return P.hard_cases(_records(spark, d), _answers(spark, d))
+_ASKED = "lang || ' ' || source || ' note ' || (doc_id % 97)"
+_INDEXED = "'note ' || (doc_id % 89) || ' on ' || source || ' ' || lang || CASE WHEN doc_id % 3 = 0 THEN ' again' ELSE '' END"
 
 
-@query("""WITH q AS (SELECT doc_id AS query_id, lang || ' ' || source || ' note ' || (doc_id % 97) AS t FROM documents), x AS (SELECT item_id AS doc_key, 'note ' || item_id || ' on src' || (item_id % 20) || ' ' || CASE item_id % 2 WHEN 0 THEN 'en' ELSE 'fr' END AS t FROM benchmark),
-qw AS (SELECT query_id, list_distinct(string_split(t, ' ')) AS ws FROM q), xw AS (SELECT doc_key, list_distinct(string_split(t, ' ')) AS ws FROM x), l AS (SELECT doc_key, unnest(ws) AS w FROM xw),
-rare AS (SELECT w FROM l GROUP BY w HAVING count(*) <= 50), p AS (SELECT DISTINCT a.query_id, l.doc_key FROM (SELECT query_id, unnest(ws) AS w FROM qw) a JOIN l ON a.w = l.w JOIN rare ON rare.w = a.w),
-s AS (SELECT p.*, round(len(list_intersect(qw.ws, xw.ws)) / len(qw.ws), 4) AS overlap FROM p JOIN qw USING (query_id) JOIN xw USING (doc_key)), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, doc_key) AS rank FROM s)
-SELECT query_id, doc_key, rank::INT AS rank, overlap FROM r WHERE rank <= 5""")
+@query(f"""WITH q AS (SELECT doc_id AS query_id, list_distinct(string_split({_ASKED}, ' ')) AS qs FROM documents), x AS (SELECT doc_id AS doc_key, list_distinct(string_split({_INDEXED}, ' ')) AS xs FROM documents),
+qd AS (SELECT DISTINCT qs FROM q), s AS (SELECT qs, doc_key, round(len(list_intersect(qs, xs)) / len(qs), 4) AS overlap FROM qd, x),
+r AS (SELECT *, row_number() OVER (PARTITION BY qs ORDER BY overlap DESC, doc_key) AS rank FROM s WHERE overlap > 0)
+SELECT query_id, doc_key, rank::INT AS rank, overlap FROM r JOIN q ON q.qs = r.qs WHERE rank <= 5""")
 def title_search_topk(spark, d):
-    q = docs(spark, d, "doc_id AS query_id", "lang || ' ' || source || ' note ' || (doc_id % 97) AS title")
-    x = spark.read.parquet(f"{d}/benchmark.parquet").selectExpr("item_id AS doc_key", "'note ' || item_id || ' on src' || (item_id % 20) || ' ' || CASE item_id % 2 WHEN 0 THEN 'en' ELSE 'fr' END AS title")
-    return P.title_search(q, x)
+    """Words of most titles are beyond ``common``, so both ways are taken."""
+    q, x = docs(spark, d, "doc_id AS query_id", f"{_ASKED} AS title"), docs(spark, d, "doc_id AS doc_key", f"{_INDEXED} AS title")
+    return P.title_search(q, x, common=50)

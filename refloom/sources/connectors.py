@@ -21,6 +21,7 @@ ADDRESSES = {
     "crossref": "https://api.crossref.org/works/{}",
     "datacite": "https://api.datacite.org/dois/{}",
     "osti": "https://www.osti.gov/api/v1/records?doi={}",
+    "osti_record": "https://www.osti.gov/api/v1/records/{}",
     "crossref_title": "https://api.crossref.org/works?query.title={}&rows=5",
     "crossref_bibliographic": "https://api.crossref.org/works?query.bibliographic={}&rows=8",
     "datacite_title": "https://api.datacite.org/dois?query={}&page[size]=5",
@@ -116,3 +117,58 @@ def read_files(files: DataFrame, reader: Reader) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "read", "error"])
 
     return files.select("path", "filename", "content").mapInPandas(run, "path string, read string, error string")
+
+
+@dataclass(frozen=True)
+class LibraryOcr:
+    """Pages drawn by PyMuPDF and read by pytesseract, where both are installed; else, or where that fails, the command line."""
+
+    pages: int = 3
+    dpi: int = 250
+    language: str = "eng"
+
+    def read(self, content: bytes, name: str) -> str:
+        plain = CommandLineOcr(self.pages, max(self.dpi, 300), self.language)
+        try:
+            import fitz
+            import pytesseract
+            from PIL import Image
+        except ImportError:
+            return plain.read(content, name)
+        try:
+            with fitz.open(stream=content, filetype="pdf") as doc:
+                drawn = [doc[i].get_pixmap(dpi=self.dpi, alpha=False) for i in range(min(self.pages, len(doc)))]
+            return "\n".join(pytesseract.image_to_string(Image.frombytes("RGB", [p.width, p.height], p.samples), lang=self.language) for p in drawn)
+        except Exception:  # noqa: BLE001  another engine may read what this one cannot
+            return plain.read(content, name)
+
+
+@dataclass(frozen=True)
+class Thumbnail:
+    """The first page as a PNG, in text form (base64), drawn by PyMuPDF."""
+
+    dpi: int = 110
+
+    def read(self, content: bytes, name: str) -> str:
+        import base64
+
+        import fitz
+
+        with fitz.open(stream=content, filetype="pdf") as doc:
+            if not len(doc):
+                raise ValueError("empty PDF")
+            return base64.b64encode(doc[0].get_pixmap(dpi=self.dpi, alpha=False).tobytes("png")).decode()
+
+
+@dataclass(frozen=True)
+class LayoutBlocks:
+    """Text blocks with their places, as JSON lines of page, x, y and text, drawn by PyMuPDF."""
+
+    pages: int = 6
+
+    def read(self, content: bytes, name: str) -> str:
+        import fitz
+
+        with fitz.open(stream=content, filetype="pdf") as doc:
+            found = [(i + 1, *b) for i in range(min(max(1, self.pages), len(doc))) for b in doc[i].get_text("blocks")]
+        return "\n".join(json.dumps({"page": b[0], "x": b[1], "y": b[2], "text": b[5]}) for b in found)

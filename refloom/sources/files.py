@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import find, scan_filename
-from ..functions.text import clean, first_file, sections
+from ..functions.text import clean, collapse, first_file, sections
 
 LARGE, HEAD = 25_000_000, 20_000_000
+HIT_PAGES = 3
 XMP_TAGS = ("prism:doi", "dc:identifier", "prism:url")
 
 
@@ -94,11 +95,18 @@ def pdf_hits(pdf: Column) -> Column:
     return F.concat(find(pdf["info"], F.lit("pypdf_metadata")), pages)
 
 
-def file_hits(files: DataFrame, extractor: TextExtractor = pypdf_text) -> DataFrame:
-    """path, filename, title, author, hits: name, bytes, XMP and pages, in this order. The content goes no further."""
-    text = decoded(F.col("content"))
-    df = files.withColumn("pdf", pdf_text(F.col("content"), extractor=extractor)).withColumn("text", text)
-    return df.select("path", "filename", F.nullif(clean(F.col("pdf.title")), F.lit("")).alias("title"), F.nullif(clean(F.col("pdf.author")), F.lit("")).alias("author"), F.concat(scan_filename(F.col("stem")), raw_hits(F.col("text")), xmp_hits(F.col("text")), pdf_hits(F.col("pdf"))).alias("hits"))
+def file_hits(files: DataFrame, extractor: TextExtractor = pypdf_text, text_pages: int = 3) -> DataFrame:
+    """path, filename, title, author, page_text, text, hits: name, bytes, XMP and pages, in this order. The content goes no further.
+
+    Identifiers are read from the first three pages; ``page_text`` is those, ``text`` the first ``text_pages``.
+    """
+    raw = decoded(F.col("content"))
+    df = files.withColumn("pdf", pdf_text(F.col("content"), max(text_pages, HIT_PAGES), extractor)).withColumn("raw", raw)
+    some = lambda c: F.nullif(clean(F.col(f"pdf.{c}")), F.lit(""))
+    pages = lambda n: F.array_join(F.slice("pdf.pages", 1, n), "\n")
+    front = F.col("pdf").withField("pages", F.slice("pdf.pages", 1, HIT_PAGES))
+    hits = F.concat(scan_filename(F.col("stem")), raw_hits(F.col("raw")), xmp_hits(F.col("raw")), pdf_hits(front))
+    return df.select("path", "filename", some("title").alias("title"), some("author").alias("author"), pages(HIT_PAGES).alias("page_text"), pages(max(1, text_pages)).alias("text"), hits.alias("hits"))
 
 
 def side_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,6 +157,18 @@ def keyed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
 
 
+def layout_text(blocks: DataFrame, key: str, max_chars: int) -> DataFrame:
+    """blocks (key, page, x, y, text) -> key, text: pages under headings, blocks from top to bottom and left to right.
+
+    A block is one paragraph of its lines; blocks of three characters or fewer, or of digits alone, are left out.
+    """
+    lines = F.filter(F.transform(F.split("text", r"\r\n|[\n\r]"), collapse), lambda s: s != "")
+    parts = blocks.withColumn("text", F.array_join(lines, " ")).filter((F.length("text") > 3) & ~F.col("text").rlike(r"^\d+$"))
+    order = F.struct(F.round("y", 1).alias("y"), F.round("x", 1).alias("x"), "text")
+    pages = parts.groupBy(key, "page").agg(F.array_sort(F.collect_list(order)).alias("b"))  # a page's blocks
+    shown = F.concat_ws("\n\n", F.concat(F.lit("# Page "), F.col("page").cast("string")), F.array_join(F.transform("b", lambda c: c["text"]), "\n\n"), F.lit(""))
+    whole = pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("page", shown.alias("shown")))).alias("p"))
+    return whole.select(key, F.substring(F.array_join(F.transform("p", lambda c: c["shown"]), "\n\n"), 1, max_chars).alias("text"))
 
 
 def tei_header(xml: Column) -> Column:
@@ -189,9 +209,9 @@ def cell(x: Column, kind: str) -> Column:
 
 
 def write_table(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """Tab-separated with a header, quotes doubled, lines ended as spreadsheets do."""
+    """Tab-separated with a header and doubled quotes. Of ``columns`` those that there are not stay empty."""
     kinds = dict(df.dtypes)
-    out = df.select(*[cell(F.col(c), kinds[c]).alias(c) for c in columns or df.columns])
+    out = df.select(*[(cell(F.col(c), kinds[c]) if c in kinds else F.lit("")).alias(c) for c in columns or df.columns])
     out.write.mode("overwrite").csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", lineSep="\n")
 
 
