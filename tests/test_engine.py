@@ -68,6 +68,66 @@ def test_choice(spark, rows, want):
     assert (found["doi"], found["confidence"], found["doi_decision"]) == want
 
 
+def test_added_candidates_have_weights_of_their_own(spark):
+    assert values(spark, I.candidate_weight(F.col("x")), "grobid_doi", "crossref_title_search", "llm_candidate", "crossref_other", "markdown_front") == ["medium", "review", "review", "low", "high"]
+
+
+def test_prefix_variants(spark):
+    """Only the first underscore parts head and rest; the head's case counts where it is said."""
+    got = values(spark, F.transform(I.prefix_variants(F.col("x")), lambda v: v["doi"]), "10.1049/ic_2010_0012", "10.1049/icp_2010_1", "10.1023/a_1234_5", "10.4233/uuid_ab_c", "10.1117/12.700000.x", "10.1117/12.700000", "10.1209/a_b_c", "10.1000/a_b")
+    assert got == [["10.1049/ic:2010_0012", "10.1049/cp:2010_0012"], ["10.1049/icp:2010_1"], ["10.1023/A:1234_5"], ["10.4233/uuid:ab_c"], ["10.1117/12.700000"], [], ["10.1209/a/b/c"], []]
+
+
+def test_suspicious_identifiers_and_titles(spark):
+    by_doi = values(spark, I.suspicious(F.col("x")), "10.1000/a.s001", "10.1000/x/fig-1", "10.1000/x/figure12", "10.1000/x/figabc1", "10.1000/x/fig_v2", "10.5061/dryad.1", "10.1000/supporting-information", "10.1000/plain")
+    assert by_doi == [True, True, True, False, False, True, True, False]
+    by_title = values(spark, I.suspicious(F.lit("10.1000/a"), F.col("x"), F.lit("journal-article")), "On the dataset of x", "Data from: y", "See Figure 12 here", "Datasets", "A figure of speech", None)
+    assert by_title == [True, False, True, False, False, False]
+    assert values(spark, I.suspicious(F.lit("10.1000/a"), F.lit("t"), F.col("x")), "posted-content", "Dataset", "component", "book", None) == [True, True, True, False, False]
+
+
+def test_useful_titles(spark):
+    rows = ("Introduction to the growth of films", "Growth of films with a table of contents", "关键词: growth of thin oxide films here", "lithium battery electrode materials", "Growth of thin oxide films", "short one", "preparing your manuscript for the press now", None)
+    assert values(spark, T.useful_title(F.col("x")), *rows) == [False, False, False, False, True, False, False, False]
+    assert values(spark, T.useful_title(F.col("x"), domain=False), *rows) == [False, False, False, True, True, False, True, False]
+
+
+def test_names_of_files_and_messages(spark):
+    assert values(spark, T.title_from_name(F.col("x")), "clean_12_growth_of-thin_oxide_films(2).pdf", "10.1000_abc growth of films on thin glass.pdf", "short.pdf", None) == ["growth of thin oxide films", "growth of films on thin glass", "", ""]
+    assert values(spark, T.append_message(F.col("a"), F.col("b")), ("", "x"), ("x", "y"), ("x", ""), (None, "y"), schema="a string, b string") == ["x", "x | y", "x", "y"]
+    assert values(spark, T.short(F.col("x"), 5), "abcdef", "abcde", None) == ["abcd...", "abcde", ""]
+    assert values(spark, T.add_source(F.col("x"), F.lit("ocr")), "pdf+ocr", "pdf", None) == ["pdf+ocr", "pdf+ocr", "ocr"]
+
+
+def test_many_matches_have_their_contexts(spark):
+    text = " ".join(f"see 10.1000/x{i:04}" for i in range(2000))
+    hits = values(spark, I.find(F.col("x"), F.lit("t")), text)[0]
+    assert [h["doi"] for h in hits] == [f"10.1000/x{i:04}" for i in range(2000)] and all(f"see 10.1000/x{i:04}" in hits[i]["context"] for i in range(2000))
+
+
+@pytest.mark.parametrize("common", [2, 1000])
+def test_title_search_is_exact(spark, common):
+    import random
+
+    rng = random.Random(5)
+    words = [f"c{i}" for i in range(4)] * 6 + [f"r{i}" for i in range(60)]
+    titles = lambda n: [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for i in range(n)]
+    asked, index = titles(60), titles(200)
+    got = P.title_search(spark.createDataFrame(asked, "query_id long, title string"), spark.createDataFrame(index, "doc_key long, title string"), 3, common).collect()
+    want = {}
+    for i, t in asked:
+        q = set(t.split())
+        scored = sorted((-round(len(q & set(x.split())) / len(q), 4), k) for k, x in index if q & set(x.split()))
+        want |= {(i, n + 1): (k, -s) for n, (s, k) in enumerate(scored[:3])}
+    assert {(r["query_id"], r["rank"]): (r["doc_key"], r["overlap"]) for r in got} == want
+
+
+def test_one_answer_for_a_key(spark):
+    rows = [("10.1/a", "crossref", True, "B", None), ("10.1/a", "doi.org", True, "", None), ("10.1/a", "doi.org", False, None, "e"), ("10.1/b", "osti", True, "no", None), ("10.1/b", "datacite", False, None, "gone"), ("10.2172/c", "osti", True, "yes", None), ("10.2172/c", "doi.org", True, "x", None)]
+    got = A.one_answer(spark.createDataFrame(rows, "doi_key string, source string, resolved boolean, title string, error string").repartition(3))
+    assert {r["doi_key"]: (r["source"], r["resolved"]) for r in got.collect()} == {"10.1/a": ("crossref", True), "10.1/b": ("datacite", False), "10.2172/c": ("osti", True)}
+
+
 def test_variants(spark):
     got = values(spark, F.transform(I.token_variants(F.col("x")), lambda v: v["doi"]), "10.1149_1945-7111_ac6aea", "10.5445_ir_1000091096", "no token")
     assert "10.1149/1945-7111/ac6aea" in got[0] and "10.5445/IR/1000091096" in got[1] and got[2] == []
