@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -60,12 +61,13 @@ class Scratch:
     def drop(self, *dfs: DataFrame) -> None:
         for df in dfs:
             _delete(self.spark, df._scratch_path)
-        self.release()
 
     def release(self) -> None:
-        """Let Spark remove the shuffle files of finished steps: it does so, by itself, when their plans are collected."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        """Let Spark remove the shuffle files of finished steps, which it does when their plans are collected. For after large steps."""
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
     def _close(self) -> None:
         try:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, batch, held_out, id_text, partitions, row_numbers, table
+from .common import Scratch, batch, held_out, id_text, partitions, table
 from .words import Words, chunks, mix
 
 HEAD = 767  # words that the first exchange moves one by one, besides the end
@@ -29,6 +29,8 @@ SMALL = 16  # counts whose gains are looked up
 SELF = CLASSES  # in a context: the word itself
 RARE = 255  # in a context: a word whose class is not in the bounded table
 END = np.int64(0x0E7D0E7D0E7D0E7D)
+#: What a text's known tokens give, as bytes beside its other tokens.
+DOC = np.dtype([("none", "?"), ("doc_id", "<i8"), ("n_tokens", "<i8"), ("n_known", "<i8"), ("base", "<f8"), ("model", "<f8")])
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -309,34 +311,43 @@ class Known:
         return c, n, first
 
 
-def rare_words(rows: DataFrame, known: Known, words: DataFrame | None, parts: int) -> DataFrame:
-    """rid, at, cls, n of each token that is not known, by row and place; ``at`` has the place, and the classes before and after.
+def rare_tokens(b: pa.RecordBatch, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, name and ``at`` of each token that is not known; ``at`` has the place, and the classes where it starts, before and after."""
+    w = Words(b.column("text"), lower=True)
+    c, _, first = known.of(w)
+    row = w.document()
+    where = np.arange(len(row)) + row
+    rare = np.flatnonzero(c[where] == RARE)
+    where, row = where[rare], row[rare]
+    at = (((where - first[row]) << 8 | known.start[groups(w)[rare]]) << 8 | before(c, first, known.end)[where]) << 8 | c[where + 1]
+    return row, signed(w.names)[rare], at
+
+
+def settled_words(found: DataFrame, words: DataFrame | None, parts: int) -> DataFrame:
+    """found (rid, word, at, ...) with the class and the count of each word, by row and place.
 
     A word that no training text has keeps the class of its group and a count of 0.
     """
+    start, rest = F.shiftright("at", 16).bitwiseAND(255), [c for c in found.columns if c not in ("rid", "word", "at")]
+    if words is None:
+        found = found.select("rid", "at", start.cast("int").alias("cls"), F.lit(0).cast("long").alias("n"), *rest)
+    else:
+        found = found.join(words.hint("shuffle_hash"), "word", "left").select("rid", "at", F.coalesce("cls", start).cast("int").alias("cls"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), *rest)
+    return found.repartition(parts, "rid").sortWithinPartitions("rid", "at")
+
+
+def rare_words(rows: DataFrame, known: Known, words: DataFrame | None, parts: int) -> DataFrame:
+    """rid, at, cls, n of each token that is not known, by row and place."""
     schema = pa.schema([("rid", pa.int64()), ("word", pa.int64()), ("at", pa.int64())])
 
     def run(batches):
         for whole in batches:
             for b in chunks(whole):
-                w = Words(b.column("text"), lower=True)
-                c, _, first = known.of(w)
-                row = w.document()
-                where = np.arange(len(row)) + row
-                rare = np.flatnonzero(c[where] == RARE)
-                if len(rare):
-                    where, row = where[rare], row[rare]
-                    start = known.start[groups(w)[rare]]
-                    at = (((where - first[row]) << 8 | start) << 8 | before(c, first, known.end)[where]) << 8 | c[where + 1]
-                    yield batch(schema, b.column("rid").take(pa.array(row)), signed(w.names)[rare], at)
-
-    found = rows.select("rid", "text").mapInArrow(run, "rid long, word long, at long")
-    start = F.shiftright("at", 16).bitwiseAND(255)
-    if words is None:
-        found = found.select("rid", "at", start.cast("int").alias("cls"), F.lit(0).cast("long").alias("n"))
-    else:
-        found = found.join(words.hint("shuffle_hash"), "word", "left").select("rid", "at", F.coalesce("cls", start).cast("int").alias("cls"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-    return found.repartition(parts, "rid").sortWithinPartitions("rid", "at")
+                row, word, at = rare_tokens(b, known)
+                if len(row):
+                    yield batch(schema, b.column("rid").take(pa.array(row)), word, at)
+
+    return settled_words(rows.select("rid", "text").mapInArrow(run, "rid long, word long, at long"), words, parts)
 
 
 def in_place(batches):
@@ -410,6 +421,7 @@ def learn(spark: SparkSession, training: DataFrame, scratch: Scratch) -> Learned
     end_n = int(counts.filter(F.col("word") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     top = counts.filter(F.col("word") != int(END)).orderBy(F.desc("n"), "word").limit(HEAD).collect()  # bounded
     scratch.drop(counts)
+    scratch.release()
     types = Types(np.array([r["word"] for r in top], np.int64))
     pairs = bigrams(training, types)
     cls = exchange(pairs)
@@ -437,13 +449,14 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
     names.
     """
     learned, parts = learn(spark, training, scratch), partitions(spark)
-    known, model = learned.known, learned.model
+    known, model, total = learned.known, learned.model, learned.n
     scratch.release()
     floor = np.log10(learned.n + 1.0 * (learned.v + 1))
-    rows = row_numbers(scratch, id_text(documents)).withColumnRenamed(ROW, "rid")
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())])
+    rows = id_text(documents).withColumn("rid", F.monotonically_increasing_id())
+    whole_schema = pa.schema([("rid", pa.int64()), ("word", pa.int64()), ("at", pa.int64()), ("doc", pa.binary())])
 
-    def frequent(batches):
+    def tokens(batches):
+        """A row for each text, with what its known tokens give, and one for each other token: in one pass, so a row's number holds."""
         for whole in batches:
             for b in chunks(whole):
                 c, count, first = known.of(Words(b.column("text"), lower=True))
@@ -454,25 +467,58 @@ def scored(spark: SparkSession, documents: DataFrame, training: DataFrame, scrat
                 at = at[prior[at] != RARE]
                 logs[at] += model.step[prior[at], c[at]]
                 add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731, B023
-                yield batch(schema, b.column("rid"), b.column("doc_id"), size, add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)) - floor * size, add(logs))
-
-    sums = pa.schema([("rid", pa.int64()), ("hits", pa.int64()), ("logs", pa.float64()), ("more", pa.float64())])
-
-    def others(batches):
-        for rid, left, c, right, count in in_place(batches):
-            logs = model.step[left, c] + model.words(c, count)
-            at = np.flatnonzero(right != RARE)
-            logs[at] += model.step[c[at], right[at]]
-            first = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]])
-            add = lambda x: np.add.reduceat(x, first)  # noqa: E731, B023
-            yield batch(sums, rid[first], add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)), add(logs))
-
-    head = rows.mapInArrow(frequent, "rid long, doc_id long, n_tokens long, n_known long, base double, model double")
-    found = rare_words(rows, known, learned.rest, parts).mapInArrow(others, "rid long, hits long, logs double, more double")
-    found = found.groupBy("rid").agg(F.sum("hits").alias("hits"), F.sum("logs").alias("logs"), F.sum("more").alias("more"))
-    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    n = F.lit(learned.n).cast("long")
-    return head.join(found, "rid", "left").select("doc_id", "n_tokens", plus("n_known", "hits").alias("n_known"), n.alias("train_tokens"), plus("base", "logs").alias("base_score"), plus("model", "more").alias("score"))
+                ids, rid = b.column("doc_id"), b.column("rid").to_numpy()
+                doc = np.zeros(b.num_rows, DOC)
+                doc["none"], doc["doc_id"], doc["n_tokens"] = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(), size
+                doc["n_known"], doc["base"], doc["model"] = add((count > 0).astype(np.int64)), add(np.log10(count + 1.0)) - floor * size, add(logs)
+                spread = signed(mix(rid.view(np.uint64) + np.uint64(1)))  # these rows meet no word, and go everywhere
+                yield batch(whole_schema, rid, spread, np.full(b.num_rows, -1), [d.tobytes() for d in doc])
+                row, word, place_ = rare_tokens(b, known)
+                if len(row):
+                    yield batch(whole_schema, rid[row], word, place_, pa.nulls(len(row), pa.binary()))
+
+    out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+    def results(docs: list[tuple[np.ndarray, int, float, float]]) -> pa.RecordBatch:
+        d = np.concatenate([x[0] for x in docs])
+        hits, base, score = (np.array([x[k] for x in docs]) for k in (1, 2, 3))
+        ids = pa.array(d["doc_id"], pa.int64(), mask=d["none"])
+        return batch(out, ids, d["n_tokens"], d["n_known"] + hits.astype(np.int64), np.full(len(d), total), d["base"] + base, d["model"] + score)
+
+    def gathered(batches):
+        """A text's own row comes first; those of its tokens follow, maybe over several batches."""
+        open_, done = None, []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at, cls, n = (b.column(c).to_numpy() for c in ("at", "cls", "n"))
+            heads = np.flatnonzero(at < 0)
+            cls = cls.astype(np.int64)
+            left, right = at >> 8 & 255, at & 255
+            left = np.where(left == RARE, np.r_[open_[4] if open_ else 0, cls[:-1]], left)
+            logs = np.zeros(len(at))
+            rest = np.flatnonzero(at >= 0)
+            logs[rest] = model.step[left[rest], cls[rest]] + model.words(cls[rest], n[rest])
+            more = rest[right[rest] != RARE]
+            logs[more] += model.step[cls[more], right[more]]
+            hit, base = np.where(at < 0, 0, n > 0), np.where(at < 0, 0.0, np.log10(n + 1.0))
+            cuts = np.r_[heads, len(at)]
+            if open_ is not None:
+                k = slice(0, cuts[0])
+                open_ = (open_[0], open_[1] + int(hit[k].sum()), open_[2] + float(base[k].sum()), open_[3] + float(logs[k].sum()), int(cls[-1]))
+            doc = b.column("doc")
+            for i, j in zip(heads.tolist(), cuts[1:].tolist(), strict=True):
+                if open_ is not None:
+                    done.append(open_[:4])
+                open_ = (np.frombuffer(doc[i].as_py(), DOC), int(hit[i:j].sum()), float(base[i:j].sum()), float(logs[i:j].sum()), int(cls[j - 1]))
+            if len(done) >= 10_000:
+                yield results(done)
+                done = []
+        if open_ is not None:
+            yield results([*done, open_[:4]])
+
+    found = rows.mapInArrow(tokens, "rid long, word long, at long, doc binary")
+    return settled_words(found, learned.rest, parts).mapInArrow(gathered, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op8_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,9 +260,11 @@ def repeats_removed(spark: SparkSession, documents: DataFrame) -> DataFrame:
     bounds = segments.groupBy("symbol").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("symbol", "least")
     shared = scratch.save(segments.join(bounds.hint("shuffle_hash"), "symbol"))
     scratch.drop(segments)
+    scratch.release()
     first = shared.groupBy("symbol", "segment").agg(F.min("doc_id").alias("owner"))
     shared_old, shared = shared, scratch.save(shared.join(first.hint("shuffle_hash"), ["symbol", "segment"]))
     scratch.drop(shared_old)
+    scratch.release()
     # A segment seen first here, of a symbol seen before: some of its windows may have been seen.
     contested = shared.filter("doc_id = owner and doc_id > least").select("symbol").distinct()
     asked = shared.filter("doc_id = owner").join(contested, "symbol", "left_semi")
@@ -271,6 +273,7 @@ def repeats_removed(spark: SparkSession, documents: DataFrame) -> DataFrame:
     by_document = spans.groupBy("doc_id", "part").agg(F.collect_list("known").alias("known"), F.collect_list("open").alias("open"))  # at most a document's own segments
     state = scratch.save(applied(rows.join(by_document.hint("shuffle_hash"), ["doc_id", "part"], "left").select("doc_id", "part", "text", "known", "open")))
     scratch.drop(shared)
+    scratch.release()
     windows = state.filter("windows is not null").select("doc_id", "part", F.explode("windows").alias("w")).select("doc_id", "part", "w.*")
     owners = windows.groupBy("symbol", "name").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("most")).filter("owner < most").drop("most")
     seen = windows.join(owners, ["symbol", "name"]).filter("doc_id > owner").groupBy("doc_id", "part").agg(F.collect_list("place").alias("places"))
