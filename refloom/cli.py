@@ -159,7 +159,8 @@ class Run:
         if o.fallback_allow_ocr and "ocr" in self.sources:
             unread = F.col("ocr_error").isNull() & F.col("ocr_title").isNull() if "ocr_title" in records.columns else F.lit(True)
             open_ = self.kept(records.filter(more).select("path"), "ocr_open")
-            records = self.again(self.with_ocr(records, more & unread, "ocr", False), open_, "ocr_candidate_title_author_verified", "ocr_chosen", M.needs_look_up(F.col("doi"), F.col("confidence"), o.validate_all))
+            records = self.again(self.with_ocr(records, more & unread, "ocr", False), open_, "ocr_candidate_title_author_verified", "ocr_chosen",
+                M.needs_look_up(F.col("doi"), F.col("confidence"), o.validate_all))
         if o.llm and "llm" in self.sources:
             asked = self.kept(records.filter(more).select("path", M.model_prompt(F.col("title"), F.col("authors"), F.col("page_text")).alias("key")), "asked")
             answers = self.cached("llm", asked.select("key"), "llm_cache.jsonl")
@@ -189,7 +190,9 @@ class Run:
                 got = self.cached(name, keys, cache.format(source), workers=workers, again=again)
                 bad = F.col("error").isNotNull() | F.col("value").isNull()
                 a = F.when(~bad, A.parsed(source, F.col("value")))
-                parts.append(got.select(F.col("key").alias("doi_key"), F.lit(source).alias("source"), (~bad).alias("resolved"), a.alias("a"), "error").selectExpr("doi_key", "source", "resolved", "coalesce(nullif(a.authority_doi, ''), doi_key) AS doi", "a.title", "a.authors", "a.container", "a.publisher", "a.year", "a.type", "error"))
+                parts.append(got.select(F.col("key").alias("doi_key"), F.lit(source).alias("source"), (~bad).alias("resolved"), a.alias("a"),
+                    "error").selectExpr("doi_key", "source", "resolved", "coalesce(nullif(a.authority_doi, ''), doi_key) AS doi", "a.title", "a.authors", "a.container",
+                    "a.publisher", "a.year", "a.type", "error"))
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part, allowMissingColumns=True)
@@ -197,7 +200,8 @@ class Run:
 
     def reviewed(self, records: DataFrame) -> DataFrame:
         o = self.o
-        sources = F.concat(F.array(F.coalesce("doi_source", F.lit(""))), F.transform(F.filter(F.coalesce("doi_candidates", F.array().cast(dict(records.dtypes)["doi_candidates"])), lambda c: F.lower(c["doi"]) == F.lower(F.col("doi"))), lambda c: c["source"]))
+        sources = F.concat(F.array(F.coalesce("doi_source", F.lit(""))),
+            F.transform(F.filter(F.coalesce("doi_candidates", F.array().cast(dict(records.dtypes)["doi_candidates"])), lambda c: F.lower(c["doi"]) == F.lower(F.col("doi"))), lambda c: c["source"]))
         t, a = R.stored_scores(F.col("doi_validation_score"))
         asked = records.withColumns({"sources": sources, "old_t": t, "old_a": a})
         if o.no_review_authority or not (o.authority_table or "review" in self.sources or exists(self.spark, f"{self.out}/doi_authority_cache.jsonl")):
@@ -213,7 +217,8 @@ class Run:
         decided = self.kept(decided, "review")
         done = decided.agg(F.count("*").alias("target_rows"), F.count_if("accepted").alias("accepted_rows")).first()
         counts = P.summary(decided, ["decision", "stage"]).collect()
-        self.report["review_postprocess"] = {"enabled": True, "target_rows": done[0], "accepted_rows": done[1], "remaining_target_rows": done[0] - done[1], **{k: {r["value"]: r["n"] for r in counts if r["metric"] == k} for k in ("decision", "stage")}}
+        self.report["review_postprocess"] = {"enabled": True, "target_rows": done[0], "accepted_rows": done[1], "remaining_target_rows": done[0] - done[1],
+            **{k: {r["value"]: r["n"] for r in counts if r["metric"] == k} for k in ("decision", "stage")}}
         write_report(self.spark, f"{self.out}/review_postprocess_summary.json", self.report["review_postprocess"])
         return self.kept(R.applied(records, decided), "reviewed")
 
@@ -227,8 +232,10 @@ class Run:
         result = self.kept(H.hard_cases(records, answers, searches), "hard_cases")
         done = result.agg(F.count("*").alias("n"), F.count_if("accepted").alias("ok")).first()
         if done[0]:
-            by = {c: {r["value"]: r["n"] for r in P.summary(df, [c]).collect() if r["metric"] == c} for df, c in ((result.filter("accepted"), "confidence"), (result.filter("accepted"), "source"), (result, "decision"))}
-            self.report["hardcase_postprocess"] = {"enabled": True, "target_rows": done[0], "accepted_rows": done[1], "remaining_target_rows": done[0] - done[1], "accepted_by_confidence": by["confidence"], "accepted_by_source": by["source"], "result_reason": by["decision"]}
+            by = {c: {r["value"]: r["n"] for r in P.summary(df, [c]).collect() if r["metric"] == c} for df,
+                c in ((result.filter("accepted"), "confidence"), (result.filter("accepted"), "source"), (result, "decision"))}
+            self.report["hardcase_postprocess"] = {"enabled": True, "target_rows": done[0], "accepted_rows": done[1], "remaining_target_rows": done[0] - done[1],
+                "accepted_by_confidence": by["confidence"], "accepted_by_source": by["source"], "result_reason": by["decision"]}
             write_report(self.spark, f"{self.out}/hardcase_postprocess_summary.json", self.report["hardcase_postprocess"])
         else:
             self.report["hardcase_postprocess"] = {"enabled": True, "target_rows": 0, "accepted_rows": 0, "remaining_target_rows": 0}
@@ -239,9 +246,11 @@ class Run:
         if "hard_crossref_title" not in self.sources:
             return None
         keys = targets.select(F.trim("title").alias("key")).filter(H.searchable_title(F.col("key")))
-        found = [self.cached(f"hard_{s}_title", keys, f"hardcase_{s}_title_cache.jsonl", workers=self.o.hardcase_workers).select("key", F.lit(f"{s}_title_search").alias("source"), A.search_results(s, F.col("value")).alias("items")) for s in ("crossref", "datacite")]
+        found = [self.cached(f"hard_{s}_title", keys, f"hardcase_{s}_title_cache.jsonl", workers=self.o.hardcase_workers).select("key",
+            F.lit(f"{s}_title_search").alias("source"), A.search_results(s, F.col("value")).alias("items")) for s in ("crossref", "datacite")]
         rows = found[0].unionByName(found[1]).select("key", "source", F.posexplode("items").alias("rank", "a"))
-        return rows.select(H.norm_text(F.col("key")).alias("query_key"), "source", "rank", F.col("a.authority_doi").alias("doi"), "a.title", "a.authors", "a.container", "a.publisher", "a.year", "a.type")
+        return rows.select(H.norm_text(F.col("key")).alias("query_key"), "source", "rank", F.col("a.authority_doi").alias("doi"), "a.title", "a.authors", "a.container",
+            "a.publisher", "a.year", "a.type")
 
 
 def run(spark: SparkSession, o: argparse.Namespace, sources: dict[str, object] | None = None, told: Callable[[str], None] | None = None) -> dict:

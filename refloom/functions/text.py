@@ -153,7 +153,8 @@ def sections(text: Column, front_lines: int = 150) -> Column:
 
     def parts(lines: Column, stop: Column) -> Column:
         part = lambda a, b: F.array_join(F.slice(lines, a + 1, F.greatest(F.lit(0), b - a)), "\n")
-        return F.struct(part(F.lit(0), F.least(F.lit(front_lines), stop)).alias("front"), F.when(stop > front_lines, part(F.lit(front_lines), stop)).otherwise("").alias("body"), part(stop, F.size(lines)).alias("references"))
+        return F.struct(part(F.lit(0), F.least(F.lit(front_lines), stop)).alias("front"),
+            F.when(stop > front_lines, part(F.lit(front_lines), stop)).otherwise("").alias("body"), part(stop, F.size(lines)).alias("references"))
 
     def found(lines: Column) -> Column:
         at = F.array_position(F.transform(lines, lambda s: F.trim(s).rlike(r"(?i)^#*\s*(references|bibliography)\s*$")), F.lit(True)).cast("int")

@@ -77,7 +77,8 @@ def append_cache(answers: DataFrame, path: str, keep_errors: bool) -> None:
     rows = answers if keep_errors else usable(answers)
     failed = F.struct(F.col("error").alias("error"))
     value = F.coalesce(F.col("value"), F.to_json(failed))
-    line = F.concat(F.lit('{"key":'), F.to_json(F.struct("key")).substr(F.lit(8), F.length(F.to_json(F.struct("key"))) - 8), F.lit(',"value":'), value, F.lit(',"time":'), F.col("time").cast("string"), F.lit("}"))
+    line = F.concat(F.lit('{"key":'), F.to_json(F.struct("key")).substr(F.lit(8), F.length(F.to_json(F.struct("key"))) - 8), F.lit(',"value":'), value, F.lit(',"time":'),
+        F.col("time").cast("string"), F.lit("}"))
     rows.select(line.alias("value")).write.mode("append").text(path)
 
 
@@ -144,7 +145,8 @@ def input_authority(row: dict[str, Column]) -> Column:
     none = F.array().cast("array<string>")
     authors = F.coalesce(row["authority_authors"], none) if "authority_authors" in row else none
     fields = [F.concat_ws("", first(f"authority_{c}", f"authority_{c}_new")).alias(c) for c in ("container", "publisher", "year", "type")]
-    made = F.struct(F.lit("previous_authority").alias("source"), F.lit(True).alias("resolved"), doi.alias("doi"), title.alias("title"), authors.alias("authors"), *fields, F.lit(None).cast("string").alias("error"))
+    made = F.struct(F.lit("previous_authority").alias("source"), F.lit(True).alias("resolved"), doi.alias("doi"), title.alias("title"), authors.alias("authors"), *fields,
+        F.lit(None).cast("string").alias("error"))
     return F.when((doi != "") & (title != ""), made)
 
 
@@ -160,7 +162,8 @@ def _csl(message: Column, literal: bool) -> list[Column]:
     name = lambda p: F.array_join(F.filter(F.array(clean(p["given"]), clean(p["family"])), lambda s: s != ""), " ")
     names = F.transform(people, lambda p: F.when(clean(p["literal"]) != "", clean(p["literal"])).otherwise(name(p)) if literal else name(p))
     names = F.coalesce(F.filter(names, lambda n: n != ""), F.array().cast("array<string>"))
-    return [candidate(at("$.DOI")), _first_text(at("$.title")), names, _first_text(at("$.container-title")), _first_text(at("$.publisher")), clean(at("$.issued.date-parts[0][0]")), _first_text(at("$.type"))]
+    return [candidate(at("$.DOI")), _first_text(at("$.title")), names, _first_text(at("$.container-title")), _first_text(at("$.publisher")),
+        clean(at("$.issued.date-parts[0][0]")), _first_text(at("$.type"))]
 
 
 def _names(json: Column, *fields: str) -> Column:
@@ -177,19 +180,23 @@ def parsed(source: str, value: Column) -> Column:
         fields = _csl(at("$.message"), literal=False)
     elif source == "datacite":
         titles = F.filter(F.transform(F.from_json(at("$.data.attributes.titles"), "array<struct<title:string>>"), lambda t: clean(t["title"])), lambda t: t != "")
-        fields = [candidate(at("$.data.attributes.doi")), F.coalesce(F.get(titles, F.lit(0)), F.lit("")), _names(at("$.data.attributes.creators"), "name"), F.lit(""), clean(at("$.data.attributes.publisher")), clean(at("$.data.attributes.publicationYear")), clean(at("$.data.attributes.types.resourceTypeGeneral"))]
+        fields = [candidate(at("$.data.attributes.doi")), F.coalesce(F.get(titles, F.lit(0)), F.lit("")), _names(at("$.data.attributes.creators"), "name"), F.lit(""),
+            clean(at("$.data.attributes.publisher")), clean(at("$.data.attributes.publicationYear")), clean(at("$.data.attributes.types.resourceTypeGeneral"))]
     elif source == "osti":
         item = F.when(value.startswith("["), at("$[0]")).otherwise(value)
         of = lambda path: F.get_json_object(item, path)
         raw = F.coalesce(of("$.authors"), of("$.author"))
         people = F.when(raw.rlike(r"^\[\s*\{"), _names(raw, "full_name", "name")).when(raw.startswith("["), author_names(F.from_json(raw, "array<string>"))).otherwise(parse_authors(raw))
-        fields = [candidate(of("$.doi")), clean(of("$.title")), people, clean(of("$.journal_name")), F.lit("OSTI"), F.substring(clean(F.coalesce(of("$.publication_date"), of("$.publication_year"))), 1, 4), clean(of("$.resource_type"))]
+        fields = [candidate(of("$.doi")), clean(of("$.title")), people, clean(of("$.journal_name")), F.lit("OSTI"),
+            F.substring(clean(F.coalesce(of("$.publication_date"), of("$.publication_year"))), 1, 4), clean(of("$.resource_type"))]
     elif source == "openalex":
         people = F.transform(F.from_json(at("$.authorships"), "array<struct<author:struct<display_name:string>>>"), lambda p: p["author"]["display_name"])
-        fields = [candidate(at("$.doi")), clean(F.coalesce(at("$.title"), at("$.display_name"))), F.coalesce(author_names(people), F.array().cast("array<string>")), clean(at("$.primary_location.source.display_name")), F.lit("OpenAlex"), clean(at("$.publication_year")), clean(at("$.type"))]
+        fields = [candidate(at("$.doi")), clean(F.coalesce(at("$.title"), at("$.display_name"))), F.coalesce(author_names(people), F.array().cast("array<string>")),
+            clean(at("$.primary_location.source.display_name")), F.lit("OpenAlex"), clean(at("$.publication_year")), clean(at("$.type"))]
     elif source == "semantic_scholar":
         kinds = F.array_join(F.from_json(at("$.publicationTypes"), "array<string>"), "; ")
-        fields = [candidate(at("$.externalIds.DOI")), clean(at("$.title")), _names(at("$.authors"), "name"), clean(at("$.venue")), F.lit("Semantic Scholar"), clean(at("$.year")), F.coalesce(kinds, F.lit(""))]
+        fields = [candidate(at("$.externalIds.DOI")), clean(at("$.title")), _names(at("$.authors"), "name"), clean(at("$.venue")), F.lit("Semantic Scholar"),
+            clean(at("$.year")), F.coalesce(kinds, F.lit(""))]
     else:
         raise ValueError(f"unknown source {source}")
     names = [f.split(" ")[0] for f in AUTHORITY.split(", ")]
@@ -218,4 +225,6 @@ def verify(records: DataFrame, works: DataFrame, exact: bool = True) -> DataFram
     a, found = author_score(F.col("authors"), F.col("work_authors")), F.col("work_title").isNotNull()
     j = with_title_score(j, "t", F.col("title"), F.col("work_title"), exact).withColumn("a", F.when(found, a).otherwise(0.0))
     ok = found & (F.col("t") >= 0.94) & ((F.col("a") >= 0.15) | (F.col("t") >= 0.985) & (F.size("authors") == 0))
-    return j.withColumn("verified", ok).withColumn("reason", F.when(~found, "crossref_not_found").when(ok, "verified").otherwise("score_below_threshold")).withColumn("title_score", F.round("t", 4)).withColumn("author_score", F.round("a", 4)).drop("t", "a", "doi_key")
+    return j.withColumn("verified", ok).withColumn("reason",
+        F.when(~found, "crossref_not_found").when(ok, "verified").otherwise("score_below_threshold")).withColumn("title_score",
+        F.round("t", 4)).withColumn("author_score", F.round("a", 4)).drop("t", "a", "doi_key")

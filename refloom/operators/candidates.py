@@ -15,7 +15,8 @@ def explode_hits(df: DataFrame, key: str, hits: Column) -> DataFrame:
 
 def unique_hits(hits: DataFrame, key: str) -> DataFrame:
     """The first hit for each identifier (whatever its case) and source of a document."""
-    first = hits.groupBy(key, F.lower("doi").alias("doi_key"), "source").agg(F.min("ord").alias("ord"), F.min_by(F.struct(*[c for c in hits.columns if c not in (key, "ord", "source")]), "ord").alias("h"))
+    first = hits.groupBy(key, F.lower("doi").alias("doi_key"), "source").agg(F.min("ord").alias("ord"),
+        F.min_by(F.struct(*[c for c in hits.columns if c not in (key, "ord", "source")]), "ord").alias("h"))
     return first.select(key, "ord", "source", "h.*")
 
 

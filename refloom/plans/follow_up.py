@@ -65,7 +65,8 @@ def more_spellings(rows: DataFrame) -> DataFrame:
     """path, ord, doi, source, reason: a row's candidates and, behind them, publishers' other spellings; first of each."""
     given = [c for c in ("doi", "hardcase_candidate_doi", "filename") if c in rows.columns]
     made = F.flatten(F.array(*[prefix_variants(clean(F.col(c))) for c in given]))
-    other = rows.select("path", F.posexplode(made).alias("n", "v")).select("path", (F.col("n") + 1000).alias("ord"), "v.doi", F.lit("prefix_variant").alias("source"), F.col("v.reason").alias("reason"))
+    other = rows.select("path", F.posexplode(made).alias("n", "v")).select("path", (F.col("n") + 1000).alias("ord"), "v.doi", F.lit("prefix_variant").alias("source"),
+        F.col("v.reason").alias("reason"))
     both = candidates(rows).unionByName(other)
     first = both.groupBy("path", F.lower("doi").alias("_k")).agg(F.min_by(F.struct("ord", "doi", "source", "reason"), "ord").alias("c"))
     return first.select("path", "c.*")
@@ -103,7 +104,8 @@ def longest_first(text: Column, source: str) -> Column:
 def ocr(rows: DataFrame, pages: DataFrame, answers: DataFrame, exact: bool = True) -> DataFrame:
     """rows (path, ...), pages (path, read, error): OCR text of those that were read -> the best result each, and what was read."""
     read = pages.select("path", F.coalesce("read", F.lit("")).alias("text"), front_page.title_authors(F.coalesce("read", F.lit(""))).alias("f"), "error")
-    own = rows.select("path").join(read, "path", "left").select("path", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("f.title", F.lit("")).alias("title"), F.col("f.authors").alias("authors"), F.coalesce("error", F.when(F.col("text").isNull(), "missing PDF")).alias("error"))
+    own = rows.select("path").join(read, "path", "left").select("path", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("f.title", F.lit("")).alias("title"),
+        F.col("f.authors").alias("authors"), F.coalesce("error", F.when(F.col("text").isNull(), "missing PDF")).alias("error"))
     tried = own.select("path", F.posexplode(longest_first(F.col("text"), "ocr_regex")).alias("ord", "h")).select("path", "ord", "h.doi", "h.source", F.col("h.context").alias("reason"))
     out = best_results(own, _resolved(tried, answers), "ocr", exact)
     said = own.select("path", F.col("title").alias("extracted_title"), F.col("authors").alias("extracted_authors"), F.coalesce("error", F.lit("")).alias("error"))
@@ -117,13 +119,15 @@ def layout(rows: DataFrame, texts: DataFrame, answers: DataFrame, searches: Data
     model; titles that say enough are searched for, with and without the first author's last name.
     """
     has = lambda c: F.col(c) if c in rows.columns else F.lit("")
-    base = rows.select("path", clean(has("title")).alias("row_title"), parse_authors(has("authors").cast("string") if "authors" not in rows.columns or dict(rows.dtypes)["authors"] == "string" else F.array_join("authors", "; ")).alias("row_authors"))
+    base = rows.select("path", clean(has("title")).alias("row_title"),
+        parse_authors(has("authors").cast("string") if "authors" not in rows.columns or dict(rows.dtypes)["authors"] == "string" else F.array_join("authors", "; ")).alias("row_authors"))
     base = base.join(texts.select("path", "text"), "path", "left").withColumn("text", F.coalesce("text", F.lit("")))
     if said is not None:
         own = base.join(said.select("path", answered(F.col("value")).alias("m"), F.col("value").alias("response")), "path", "left")
         own = own.select("path", "text", F.coalesce("m.title", F.lit("")).alias("title"), F.coalesce("m.authors", F.array().cast("array<string>")).alias("authors"), "m")
         stated = F.filter(F.coalesce(F.col("m.doi_candidates"), F.array().cast(MODEL_DOIS)), lambda c: F.coalesce(c["is_main_article"], F.lit(True)) & (F.lower(clean(c["confidence"])) != "low"))
-        more = F.filter(F.transform(stated, lambda c: F.struct(candidate(c["doi"]).alias("doi"), F.lit("llm_markdown_doi").alias("source"), clean(c["evidence"]).alias("context"))), lambda h: h["doi"] != "")
+        more = F.filter(F.transform(stated, lambda c: F.struct(candidate(c["doi"]).alias("doi"), F.lit("llm_markdown_doi").alias("source"), clean(c["evidence"]).alias("context"))),
+            lambda h: h["doi"] != "")
     else:
         own = base.withColumn("f", front_page.title_authors(F.col("text")))
         title = F.when(F.col("text") == "", "").otherwise(F.coalesce(F.nullif(F.col("f.title"), F.lit("")), F.col("row_title")))
@@ -142,9 +146,12 @@ def layout(rows: DataFrame, texts: DataFrame, answers: DataFrame, searches: Data
 MODEL_DOIS = "array<struct<doi:string,is_main_article:boolean,confidence:string,evidence:string>>"
 #: What the passes call their columns, and what of a result these show.
 COLUMNS = {
-    "accept": "accepted", "confidence": "confidence", "reason": "decision", "final_doi": "final_doi", "candidate_doi": "doi", "candidate_source": "source", "candidate_reason": "reason", "title_score": "t", "author_score": "a",
-    "pdf_title_coverage": "c", "title": "extracted_title", "authors": "extracted_authors", "authority_source": "answer_source", "authority_doi": "answer_doi", "authority_title": "answer_title", "authority_authors": "answer_authors",
-    "authority_container": "answer_container", "authority_year": "answer_year", "authority_type": "answer_type", "authority_error": "answer_error", "tried_dois": "tried_dois", "pdf_text_chars": "text_chars",
+    "accept": "accepted", "confidence": "confidence", "reason": "decision", "final_doi": "final_doi", "candidate_doi": "doi", "candidate_source": "source",
+    "candidate_reason": "reason", "title_score": "t", "author_score": "a",
+    "pdf_title_coverage": "c", "title": "extracted_title", "authors": "extracted_authors", "authority_source": "answer_source", "authority_doi": "answer_doi",
+    "authority_title": "answer_title", "authority_authors": "answer_authors",
+    "authority_container": "answer_container", "authority_year": "answer_year", "authority_type": "answer_type", "authority_error": "answer_error",
+    "tried_dois": "tried_dois", "pdf_text_chars": "text_chars",
     "candidates_checked": "checked", "error": "error",
 }
 
@@ -167,5 +174,6 @@ def report(table: DataFrame, prefix: str, inputs: int) -> dict:
     """Counts of the parts, and by confidence, source and reason."""
     ok, has = F.col(f"{prefix}_accept"), F.col(f"{prefix}_candidate_doi") != ""
     n = table.agg(F.count("*"), F.count_if(ok), F.count_if(~ok & has), F.count_if(~ok & ~has)).first()
-    by = {f"{name}_by_{c}": {r["value"]: r["n"] for r in summary(df, [f"{prefix}_{col}"]).collect() if r["metric"] != "total"} for name, df, c, col in (("accepted", table.filter(ok), "confidence", "confidence"), ("accepted", table.filter(ok), "source", "candidate_source"), ("still", table.filter(~ok), "reason", "reason"))}
+    by = {f"{name}_by_{c}": {r["value"]: r["n"] for r in summary(df, [f"{prefix}_{col}"]).collect() if r["metric"] != "total"} for name, df, c,
+        col in (("accepted", table.filter(ok), "confidence", "confidence"), ("accepted", table.filter(ok), "source", "candidate_source"), ("still", table.filter(~ok), "reason", "reason"))}
     return {"input_rows": inputs, "targets": n[0], "accepted": n[1], "still": n[0] - n[1], "candidate_rejected": n[2], "no_candidate": n[3], **by}

@@ -48,7 +48,8 @@ def tries(targets: DataFrame, answers: DataFrame, searches: DataFrame | None) ->
         told = F.nullif(clean(F.col("doi_source")), F.lit("")) if "doi_source" in targets.columns else F.lit(None).cast("string")
         before = targets.withColumn("_x", A.input_authority(row)).filter("_x is not null")
         own = F.coalesce(F.nullif(candidate(F.col("doi")), F.lit("")), F.col("_x.doi"))
-        before = before.select("path", F.lit(-1).alias("ord"), own.alias("own"), F.coalesce(told, F.lit("previous_candidate")).alias("source"), F.lit("previous resolved authority").alias("reason"), "_x")
+        before = before.select("path", F.lit(-1).alias("ord"), own.alias("own"), F.coalesce(told, F.lit("previous_candidate")).alias("source"),
+            F.lit("previous resolved authority").alias("reason"), "_x")
         tried = shape(before, F.col("own"), fields(lambda c: F.col(f"_x.{c}"))).unionByName(tried)
     if searches is None:
         return tried
@@ -90,7 +91,8 @@ def best_results(targets: DataFrame, tried: DataFrame, table: str, exact: bool =
         small = small.withColumn("title", F.coalesce("own_title", "title"))
     scored = with_title_score(small, "t", F.col("title"), F.col("x.title"), exact).withColumn("a", author_score(F.col("authors"), F.col("x.authors")))
     each = scored.groupBy("path").agg(F.collect_list(F.struct("ord", "try_doi", "source", "reason", "x", "t", "a", F.col("title").alias("by"))).alias("tries"))  # a record's own
-    whole = targets.select("path", "authors", F.col("title").alias("own"), norm_text(F.col("text")).alias("_normal"), F.length(F.coalesce("text", F.lit(""))).alias("text_chars")).join(each, "path", "left")
+    whole = targets.select("path", "authors", F.col("title").alias("own"), norm_text(F.col("text")).alias("_normal"),
+        F.length(F.coalesce("text", F.lit(""))).alias("text_chars")).join(each, "path", "left")
     covered = F.transform("tries", lambda c: F.struct(c.alias("c"), coverage_of_normal(c["x"]["title"], F.col("_normal")).alias("cover")))
     rows = whole.select("path", "authors", "own", "text_chars", F.explode_outer(covered).alias("r"))
     open_ = rows.select("path", "authors", "text_chars", "r.c.*", F.col("r.cover").alias("c"), "own").withColumn("title", F.coalesce("by", "own"))
@@ -98,14 +100,17 @@ def best_results(targets: DataFrame, tried: DataFrame, table: str, exact: bool =
     kept = decided.select("path", "ord", "bad_title", "text_chars", "try_doi", "source", "reason", "x", "t", "a", "c", "doi_length", "d.*", "by")
     best = F.max_by(F.struct("try_doi", "source", "reason", "x", "accepted", "confidence", "decision", "t", "a", "c", "bad_title", "by"), F.when(F.col("ord").isNotNull(), D.best_by(table)))
     dois = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("ord").between(0, SEARCHED - 1), F.struct("ord", "try_doi")))), lambda x: x["try_doi"]))
-    out = kept.groupBy("path").agg(best.alias("b"), dois.alias("tried_dois"), F.any_value("bad_title").alias("bad_title"), F.any_value("text_chars").alias("text_chars"), F.count("ord").alias("checked"))
+    out = kept.groupBy("path").agg(best.alias("b"), dois.alias("tried_dois"), F.any_value("bad_title").alias("bad_title"), F.any_value("text_chars").alias("text_chars"),
+        F.count("ord").alias("checked"))
     get = lambda c, d: F.coalesce(F.col(f"b.{c}"), F.lit(d)).alias(c)
     final = F.when(F.col("b.accepted"), F.coalesce(F.nullif(F.col("b.x.doi"), F.lit("")), F.col("b.try_doi"))).otherwise("")
     none = {"resolved": F.lit(False), "authors": F.array().cast("array<string>"), "error": F.when(F.col("b").isNull(), "no candidate").otherwise("")}
     answer = [F.coalesce(F.col(f"b.x.{c}"), none.get(c, F.lit(""))).alias(f"answer_{c}") for c in ("resolved", *ANSWER)]
     return out.select(
-        "path", get("try_doi", "").alias("doi"), get("source", ""), get("reason", ""), get("accepted", False), get("confidence", "none"), get("decision", "no DOI candidate and no usable title search"),
-        final.alias("final_doi"), *[F.round(get(x, 0.0), 4).alias(x) for x in ("t", "a", "c")], F.coalesce("b.bad_title", "bad_title").alias("bad_title"), get("by", "").alias("by_title"), "tried_dois", "text_chars", "checked", *answer,
+        "path", get("try_doi", "").alias("doi"), get("source", ""), get("reason", ""), get("accepted", False), get("confidence", "none"),
+        get("decision", "no DOI candidate and no usable title search"),
+        final.alias("final_doi"), *[F.round(get(x, 0.0), 4).alias(x) for x in ("t", "a", "c")], F.coalesce("b.bad_title", "bad_title").alias("bad_title"),
+        get("by", "").alias("by_title"), "tried_dois", "text_chars", "checked", *answer,
     )
 
 
@@ -129,10 +134,14 @@ def hard_cases(records: DataFrame, answers: DataFrame, searches: DataFrame | Non
 
 #: Columns of a record that show the result, and what of the result they show.
 SHOWN = {
-    "hardcase_accept": "accepted", "hardcase_confidence": "confidence", "hardcase_reason": "decision", "hardcase_final_doi": "final_doi", "hardcase_candidate_doi": "doi", "hardcase_candidate_source": "source",
-    "hardcase_candidate_reason": "reason", "hardcase_title_score": "t", "hardcase_author_score": "a", "hardcase_pdf_title_coverage": "c", "hardcase_local_title_bad": "bad_title", "hardcase_pdf_guessed_title": "guess",
-    "hardcase_tried_dois": "tried_dois", "hardcase_pdf_text_chars": "text_chars", "authority_resolved": "answer_resolved", "authority_source": "answer_source", "authority_doi_new": "answer_doi", "authority_title_new": "answer_title",
-    "authority_authors_new": "answer_authors", "authority_container_new": "answer_container", "authority_publisher_new": "answer_publisher", "authority_year_new": "answer_year", "authority_type_new": "answer_type", "authority_error_new": "answer_error",
+    "hardcase_accept": "accepted", "hardcase_confidence": "confidence", "hardcase_reason": "decision", "hardcase_final_doi": "final_doi", "hardcase_candidate_doi": "doi",
+    "hardcase_candidate_source": "source",
+    "hardcase_candidate_reason": "reason", "hardcase_title_score": "t", "hardcase_author_score": "a", "hardcase_pdf_title_coverage": "c",
+    "hardcase_local_title_bad": "bad_title", "hardcase_pdf_guessed_title": "guess",
+    "hardcase_tried_dois": "tried_dois", "hardcase_pdf_text_chars": "text_chars", "authority_resolved": "answer_resolved", "authority_source": "answer_source",
+    "authority_doi_new": "answer_doi", "authority_title_new": "answer_title",
+    "authority_authors_new": "answer_authors", "authority_container_new": "answer_container", "authority_publisher_new": "answer_publisher",
+    "authority_year_new": "answer_year", "authority_type_new": "answer_type", "authority_error_new": "answer_error",
 }
 
 

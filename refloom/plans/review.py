@@ -66,7 +66,8 @@ def review(records: DataFrame, answers: DataFrame | None, exact: bool = True, re
     accepted = F.col("stage2.accepted")
     if answers is None:
         nothing = {c: F.lit(None).cast("array<string>" if c == "authority_authors" else "string") for c in ANSWER}
-        return two.select("path", F.lit("stage2").alias("stage"), "stage2.*", *_result(accepted, F.col("_doi"), F.lit(""), F.array().cast("array<string>"), F.col("t2"), F.col("a2")), *[v.alias(k) for k, v in nothing.items()])
+        return two.select("path", F.lit("stage2").alias("stage"), "stage2.*",
+            *_result(accepted, F.col("_doi"), F.lit(""), F.array().cast("array<string>"), F.col("t2"), F.col("a2")), *[v.alias(k) for k, v in nothing.items()])
     one = _named(A.one_answer(answers))
     again_answers = _named(A.one_answer(retried)) if retried is not None else one
     three = _looked_up(two, one, F.when(~accepted, F.col("_doi")), "found")
@@ -93,7 +94,8 @@ def review(records: DataFrame, answers: DataFrame | None, exact: bool = True, re
     error = F.coalesce(told, pick(F.lit(None), F.col("found.error"), F.col("retry.error"))).alias("error")
     dois = F.coalesce(F.transform("jobs", lambda j: j["doi"]), F.array().cast("array<string>"))
     final = F.when(decision["accepted"] & (canonical != ""), canonical).otherwise(F.col("_doi"))
-    out = four.select("path", stage.alias("stage"), decision.alias("d"), *_result(F.lit(True), final, corrected, dois, pick(F.col("t2"), F.col("t3"), F.col("t4")), pick(F.col("a2"), F.col("a3"), F.col("a4"))), *kept, error)
+    out = four.select("path", stage.alias("stage"), decision.alias("d"),
+        *_result(F.lit(True), final, corrected, dois, pick(F.col("t2"), F.col("t3"), F.col("t4")), pick(F.col("a2"), F.col("a3"), F.col("a4"))), *kept, error)
     return out.select("path", "stage", "d.*", *[c for c in out.columns if c not in ("path", "stage", "d")])
 
 
@@ -112,7 +114,8 @@ def _scored(df: DataFrame, answer: str, t: str, a: str, exact: bool, wanted: Col
 
 
 def _result(ok: Column, final: Column, corrected: Column, tried: Column, t: Column, a: Column) -> list[Column]:
-    return [F.when(ok, final).otherwise(F.col("_doi")).alias("final_doi"), F.coalesce(corrected, F.lit("")).alias("corrected_doi"), tried.alias("tried_dois"), F.round(t, 4).alias("t"), F.round(a, 4).alias("a")]
+    return [F.when(ok, final).otherwise(F.col("_doi")).alias("final_doi"), F.coalesce(corrected, F.lit("")).alias("corrected_doi"), tried.alias("tried_dois"),
+        F.round(t, 4).alias("t"), F.round(a, 4).alias("a")]
 
 
 def keep_originals(columns: list[str]) -> dict[str, Column]:
@@ -134,7 +137,8 @@ def merged_scores(json: Column, scores: dict[str, Column]) -> Column:
 
 def applied(records: DataFrame, decisions: DataFrame) -> DataFrame:
     """records with the review's decisions: accepted ones in place, the answer's fields beside, what was before kept once."""
-    names = {"stage": "review_stage", "decision": "postprocess_decision", "confidence": "postprocess_confidence", "t": "authority_title_score", "a": "authority_author_score", "error": "authority_error"}
+    names = {"stage": "review_stage", "decision": "postprocess_decision", "confidence": "postprocess_confidence", "t": "authority_title_score",
+        "a": "authority_author_score", "error": "authority_error"}
     mine = decisions.select("path", F.struct(*[c for c in decisions.columns if c != "path"]).alias("_d"))
     j = records.drop(*names.values(), *[c for c in ANSWER if c != "error"], "corrected_doi", "tried_dois").join(mine, "path", "left")
     d, seen = (lambda c: F.col(f"_d.{c}")), F.col("_d").isNotNull()
@@ -146,7 +150,8 @@ def applied(records: DataFrame, decisions: DataFrame) -> DataFrame:
     out |= {c: F.when(seen, F.format_string("%.4f", d(k))) for c, k in (("authority_title_score", "t"), ("authority_author_score", "a"))}
     out |= {
         "doi_validation_score": F.when(seen & (ok | (d("stage") != "stage2")), score).otherwise(had("doi_validation_score")),
-        "doi_validation_source": F.when(ok & d("stage").isin("stage3", "stage4"), "doi_authority").when(ok & (F.coalesce(had("doi_validation_source"), F.lit("")) == ""), "postprocess_existing_evidence").otherwise(had("doi_validation_source")),
+        "doi_validation_source": F.when(ok & d("stage").isin("stage3", "stage4"), "doi_authority").when(ok & (F.coalesce(had("doi_validation_source"), F.lit("")) == ""),
+            "postprocess_existing_evidence").otherwise(had("doi_validation_source")),
         "status": F.when(ok, "ok").otherwise(F.col("status")),
         "method": F.when(ok, F.concat(F.lit("postprocess_"), d("decision"))).otherwise(had("method")),
         "doi": F.when(ok, d("final_doi")).otherwise(F.col("doi")),

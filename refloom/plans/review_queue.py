@@ -39,7 +39,8 @@ def review_queue(records: DataFrame, layout: DataFrame, ocr: DataFrame) -> DataF
     seen = first_file(F.col("_m"), F.col("_o"))
     visible = F.concat_ws(" ", clean(F.col("filename")), clean(col("title")), clean(col("round2_title")))
     found = {
-        "candidate_doi": F.coalesce(seen, F.lit("")), "candidate_source": F.when(clean(F.col("_m")) != "", "layout").when(clean(F.col("_o")) != "", "ocr").otherwise(""), "has_candidate": seen.isNotNull(),
+        "candidate_doi": F.coalesce(seen, F.lit("")), "candidate_source": F.when(clean(F.col("_m")) != "", "layout").when(clean(F.col("_o")) != "", "ocr").otherwise(""),
+        "has_candidate": seen.isNotNull(),
         "text": F.lower(visible), "cjk": has_cjk(visible), "text_chars": F.greatest(*[number(col(c)) for c in ("text_chars", "pdf_text_chars", "round2_pdf_text_chars", "hardcase_pdf_text_chars")]),
         **{c: clean(col(c)) for c in ("title", "authors", "final_decision", "doi")}, "path": pdf_path(records.columns),
     }

@@ -38,7 +38,8 @@ STEM = f"""CASE doc_id % 6 WHEN 0 THEN '10.1016_j.' || source || '.' || doc_id W
  WHEN 2 THEN 'paper_ssrn-' || (10000 + doc_id) || '_final' WHEN 3 THEN '10.1149_1945-7111_ac' || doc_id
  WHEN 4 THEN '10.1021_acs.' || doc_id || '_si_001' ELSE 'notes on ' || source || ' ' || doc_id END"""
 TITLE = "CASE doc_id % 9 WHEN 0 THEN 'Abstract' WHEN 1 THEN 'Microsoft Word' WHEN 2 THEN '  ' WHEN 3 THEN 'Master''s thesis of ' || source WHEN 4 THEN 'β-phase <i>' || source || '</i> films – a study_of ' || lang || ' growth' ELSE coalesce(text, '') END"
-SOURCES = ("filename_doi", "markdown_references_front", "xmp_tag_prism:doi_0", "pypdf_page_1", "raw_pdf_bytes", "ocr_body", "grobid_doi", "crossref_title_search", "llm_candidate", "markdown_front", "other")
+SOURCES = ("filename_doi", "markdown_references_front", "xmp_tag_prism:doi_0", "pypdf_page_1", "raw_pdf_bytes", "ocr_body", "grobid_doi", "crossref_title_search",
+    "llm_candidate", "markdown_front", "other")
 SOURCE_SQL = "CASE (doc_id + k * 5) % 11 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(SOURCES)) + " END"
 SCORES = "((doc_id * 37) % 101) / 100.0"
 SCORES_A = "((doc_id * 53) % 101) / 100.0"
@@ -243,9 +244,11 @@ def _candidates(spark, d):
 _GIVEN = f"CASE source WHEN 'grobid_doi' THEN 'medium' WHEN 'crossref_title_search' THEN 'review' WHEN 'llm_candidate' THEN 'review' ELSE {q_weight('source')} END"
 _CHOICE = f"""WITH c AS (SELECT *, {q_group('source')} AS grp, {_GIVEN} AS conf FROM ({_CAND} FROM documents, range(5) r(k))),
 w AS (SELECT *, CASE conf WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END AS wt FROM c WHERE {q_plausible('doi')}),
-g AS (SELECT doc_id, lower(doi) AS key, count(DISTINCT CASE WHEN grp <> 'filename' THEN grp END) AS ng, max(wt) AS mw, count(*) AS n, min(ord) AS o, arg_min(doi, ord) AS doi, arg_min(source, ord) AS source, arg_max(conf, wt * 1000 - ord) AS conf FROM w GROUP BY 1, 2),
+g AS (SELECT doc_id, lower(doi) AS key,
+ count(DISTINCT CASE WHEN grp <> 'filename' THEN grp END) AS ng, max(wt) AS mw, count(*) AS n, min(ord) AS o, arg_min(doi, ord) AS doi, arg_min(source, ord) AS source, arg_max(conf, wt * 1000 - ord) AS conf FROM w GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ng DESC, mw DESC, n DESC, o) AS rn FROM g),
-b AS (SELECT doc_id, doi, CASE WHEN ng = 0 THEN 'review' WHEN ng >= 2 THEN 'high' ELSE conf END AS confidence, CASE WHEN ng = 0 THEN 'filename_only_candidate_requires_validation' WHEN ng >= 2 THEN 'multiple_independent_sources' ELSE 'selected_by_source_weight' END AS doi_decision, source AS doi_source FROM r WHERE rn = 1),
+b AS (SELECT doc_id, doi, CASE WHEN ng = 0 THEN 'review' WHEN ng >= 2 THEN 'high' ELSE conf END AS confidence,
+ CASE WHEN ng = 0 THEN 'filename_only_candidate_requires_validation' WHEN ng >= 2 THEN 'multiple_independent_sources' ELSE 'selected_by_source_weight' END AS doi_decision, source AS doi_source FROM r WHERE rn = 1),
 f AS (SELECT *, CASE WHEN confidence = 'review' THEN 'review' ELSE 'ok' END AS status FROM b)"""
 
 
@@ -340,7 +343,8 @@ def author_score(spark, d):
 @query(f"SELECT doc_id, round({q_overlap('x', 'y')}, 4) AS overlap, round({q_containment('x', 'y')}, 4) AS containment FROM (SELECT doc_id, {SHORT_A} AS x, {SHORT_B} AS y FROM documents)")
 def title_overlap(spark, d):
     x, y = F.col("x"), F.col("y")
-    return docs(spark, d, "doc_id", f"{SHORT_A} AS x", f"{SHORT_B} AS y").select("doc_id", F.round(S.token_overlap(x, y), 4).alias("overlap"), F.round(S.containment(x, y), 4).cast("double").alias("containment"))
+    return docs(spark, d, "doc_id", f"{SHORT_A} AS x", f"{SHORT_B} AS y").select("doc_id", F.round(S.token_overlap(x, y), 4).alias("overlap"),
+        F.round(S.containment(x, y), 4).cast("double").alias("containment"))
 
 
 _TELLING = f"list_filter({q_words('t')}, lambda w: length(w) >= 4 AND w NOT IN {K.COVERAGE_WORDS})"
@@ -380,7 +384,10 @@ def page_title(spark, d):
 @query("""SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'Work ' || doc_id END AS title, CASE WHEN doc_id % 10 = 0 THEN '' ELSE '10.1000/' || lpad((doc_id % 100000)::VARCHAR, 5, '0') END AS doi,
  '' AS date, '' AS year, '' AS journal, '' AS publisher, CASE WHEN doc_id % 10 = 0 THEN '' ELSE 'A ' || source END AS authors, '' AS abstract FROM documents""")
 def tei_header(spark, d):
-    xml = F.expr(f"'<TEI xmlns=\"http://www.tei-c.org/ns/1.0\"><teiHeader><titleStmt><title>Work ' || doc_id || '</title></titleStmt><sourceDesc><analytic><author><persName><forename>A</forename><surname>' || source || '</surname></persName></author></analytic><idno type=\"DOI\">10.1000/' || {PAD} || '</idno></sourceDesc></teiHeader></TEI' || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '>' END")
+    head = "'<TEI xmlns=\"http://www.tei-c.org/ns/1.0\"><teiHeader><titleStmt><title>Work ' || doc_id || '</title></titleStmt><sourceDesc><analytic><author><persName>'"
+    people = "'<forename>A</forename><surname>' || source || '</surname></persName></author></analytic>'"
+    code = f"'<idno type=\"DOI\">10.1000/' || {PAD} || '</idno></sourceDesc></teiHeader></TEI' || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '>' END"
+    xml = F.expr(f"{head} || {people} || {code}")
     return docs(spark, d, "doc_id", "source").select("doc_id", files.tei_header(xml).alias("h")).select("doc_id", "h.*")
 
 
@@ -403,13 +410,19 @@ j AS (SELECT r.*, s.title AS st, s.authors AS sa, s.year AS sy, (coalesce(s.titl
 SELECT doc_id, CASE WHEN nt THEN st ELSE title END AS title, CASE WHEN own THEN 'Own' ELSE replace(sa, '; ', '|') END AS authors, CASE WHEN year = '' THEN sy ELSE year END AS year,
 CASE WHEN nt THEN 'grobid' WHEN title <> '' THEN 'pdf' ELSE '' END AS title_source, CASE WHEN NOT own THEN 'grobid' ELSE 'pdf' END AS authors_source, CASE WHEN nt OR NOT own OR year = '' THEN 'grobid' ELSE '' END AS metadata_source FROM j""")
 def sidecar_merge(spark, d):
-    side = docs(spark, d, "source").groupBy("source").agg(F.count("*").alias("n")).selectExpr("source || '.pdf' AS name_key", "CASE WHEN n % 3 = 0 THEN '' ELSE 'Side title of ' || source END AS title", "'X ' || source || '; Y' AS authors", "'2020' AS year", "'' AS journal", "'' AS publisher", "'' AS abstract")
-    rec = docs(spark, d, "doc_id", "source || '.pdf' AS name_key", f"{TITLE} AS title", "CASE WHEN doc_id % 2 = 0 THEN array('Own') ELSE cast(array() as array<string>) END AS authors", "CASE WHEN doc_id % 5 = 0 THEN '1999' ELSE '' END AS year")
+    side = docs(spark, d, "source").groupBy("source").agg(F.count("*").alias("n")).selectExpr("source || '.pdf' AS name_key",
+        "CASE WHEN n % 3 = 0 THEN '' ELSE 'Side title of ' || source END AS title", "'X ' || source || '; Y' AS authors", "'2020' AS year", "'' AS journal",
+        "'' AS publisher", "'' AS abstract")
+    rec = docs(spark, d, "doc_id", "source || '.pdf' AS name_key", f"{TITLE} AS title",
+        "CASE WHEN doc_id % 2 = 0 THEN array('Own') ELSE cast(array() as array<string>) END AS authors", "CASE WHEN doc_id % 5 = 0 THEN '1999' ELSE '' END AS year")
     return P.with_side_metadata(rec, side).select("doc_id", "title", F.array_join("authors", "|").alias("authors"), "year", "title_source", "authors_source", "metadata_source")
 
 
 @query(f"""WITH x AS (SELECT doc_id, {JSON} AS j FROM documents), m AS (SELECT doc_id, json_extract(j, '$.message') AS m FROM x)
-SELECT doc_id, json_extract_string(m, '$.DOI') AS authority_doi, json_extract_string(m, '$.title[1]') AS title, 'A ' || json_extract_string(m, '$.author[0].family') || '; ' || json_extract_string(m, '$.author[1].family') AS authors, json_extract_string(m, '$."container-title"[0]') AS container, json_extract_string(m, '$.publisher') AS publisher, json_extract_string(m, '$.issued."date-parts"[0][0]') AS year, json_extract_string(m, '$.type') AS type FROM m""")
+SELECT doc_id, json_extract_string(m, '$.DOI') AS authority_doi, json_extract_string(m, '$.title[1]') AS title,
+ 'A ' || json_extract_string(m, '$.author[0].family') || '; ' || json_extract_string(m, '$.author[1].family') AS authors,
+ json_extract_string(m, '$."container-title"[0]') AS container, json_extract_string(m, '$.publisher') AS publisher, 
+ json_extract_string(m, '$.issued."date-parts"[0][0]') AS year, json_extract_string(m, '$.type') AS type FROM m""")
 def authority_json(spark, d):
     df = docs(spark, d, "doc_id", f"{JSON} AS j").select("doc_id", A.parsed("crossref", F.col("j")).alias("a")).select("doc_id", "a.*")
     return df.withColumn("authors", F.array_join("authors", "; "))
@@ -463,7 +476,8 @@ SELECT doc_id, {_PASSES} AS verified, CASE WHEN wt IS NULL THEN 'crossref_not_fo
  round(ts, 4)::DOUBLE AS title_score, round(aus, 4)::DOUBLE AS author_score FROM s""")
 def verify(spark, d):
     none = "cast(array() as array<string>)"
-    rec = docs(spark, d, "doc_id", "'10.1000/' || CASE WHEN doc_id % 11 = 0 THEN 'gone.' ELSE 'x.' END || source AS doi", f"{SHORT_A} AS title", f"CASE WHEN doc_id % 4 = 0 THEN {none} ELSE array('Ana ' || source) END AS authors")
+    rec = docs(spark, d, "doc_id", "'10.1000/' || CASE WHEN doc_id % 11 = 0 THEN 'gone.' ELSE 'x.' END || source AS doi", f"{SHORT_A} AS title",
+        f"CASE WHEN doc_id % 4 = 0 THEN {none} ELSE array('Ana ' || source) END AS authors")
     title = "'Growth of ' || source || ' films in en oxide layers number 3' AS work_title"
     works = docs(spark, d, "source").distinct().selectExpr("'10.1000/x.' || source AS doi_key", title, "array('A. ' || source) AS work_authors")
     return A.verify(rec, works).select("doc_id", "verified", "reason", "title_score", "author_score")
@@ -494,11 +508,13 @@ for _t in D.TABLES:
     _decision(_t)
 
 
-@query(f"""WITH x AS (SELECT doc_id % 100 AS path, doc_id AS ord, {FACTS.replace('doc_id, ', '', 1)}, 8 + doc_id % 9 AS doi_length FROM documents), y AS (SELECT *, t >= 0.5 AS accepted, CASE WHEN t >= 0.8 THEN 'high' WHEN t >= 0.5 THEN 'medium' ELSE 'none' END AS confidence FROM x),
+@query(f"""WITH x AS (SELECT doc_id % 100 AS path, doc_id AS ord, {FACTS.replace('doc_id, ', '', 1)}, 8 + doc_id % 9 AS doi_length FROM documents),
+ y AS (SELECT *, t >= 0.5 AS accepted, CASE WHEN t >= 0.8 THEN 'high' WHEN t >= 0.5 THEN 'medium' ELSE 'none' END AS confidence FROM x),
 r AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY accepted DESC, CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 0 END DESC, t DESC, a DESC, c DESC, doi_length DESC, ord) AS n FROM y)
 SELECT path, ord, confidence FROM r WHERE n = 1""")
 def best_result(spark, d):
-    df = docs(spark, d, "doc_id % 100 AS path", "doc_id AS ord", *_split(FACTS)[1:4], "8 + doc_id % 9 AS doi_length").selectExpr("*", "t >= 0.5 AS accepted", "CASE WHEN t >= 0.8 THEN 'high' WHEN t >= 0.5 THEN 'medium' ELSE 'none' END AS confidence")
+    df = docs(spark, d, "doc_id % 100 AS path", "doc_id AS ord", *_split(FACTS)[1:4], "8 + doc_id % 9 AS doi_length").selectExpr("*", "t >= 0.5 AS accepted",
+        "CASE WHEN t >= 0.8 THEN 'high' WHEN t >= 0.5 THEN 'medium' ELSE 'none' END AS confidence")
     return df.groupBy("path").agg(F.max_by(F.struct("ord", "confidence"), D.best_by("ocr")).alias("b")).select("path", "b.*")
 
 
@@ -569,7 +585,8 @@ ANSWER_DOI = "CASE WHEN doc_id % 3 = 0 THEN '10.1149/MA2013-01/4/' || doc_id ELS
 
 def _records(spark, d):
     return docs(spark, d, "doc_id", "text", "lang", "source").selectExpr(
-        "cast(doc_id as string) AS path", "'10.1149_ma2013-01_4_' || doc_id || '.pdf' AS filename", "CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01_4_' || doc_id ELSE '10.1000/x' || doc_id END AS doi",
+        "cast(doc_id as string) AS path", "'10.1149_ma2013-01_4_' || doc_id || '.pdf' AS filename",
+        "CASE WHEN doc_id % 3 = 0 THEN '10.1149/ma2013-01_4_' || doc_id ELSE '10.1000/x' || doc_id END AS doi",
         "CASE WHEN doc_id % 5 = 0 THEN 'ok' ELSE 'review' END AS status", f"{SHORT_A} AS title", "array('Ana ' || source) AS authors", "array('filename_doi') AS sources",
         f"cast({SCORES} as double) AS old_t", f"cast({SCORES_A} as double) AS old_a", "coalesce(text, '') AS text",
     )

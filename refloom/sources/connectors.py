@@ -98,8 +98,11 @@ class CommandLineOcr:
     def read(self, content: bytes, name: str) -> str:
         with tempfile.TemporaryDirectory() as d:
             (Path(d) / "in.pdf").write_bytes(content)
-            subprocess.run(["gs", "-q", "-dNOPAUSE", "-dBATCH", "-dSAFER", "-sDEVICE=png16m", f"-r{self.dpi}", "-dFirstPage=1", f"-dLastPage={self.pages}", f"-sOutputFile={d}/%03d.png", f"{d}/in.pdf"], check=True, timeout=self.timeout, capture_output=True)
-            read = [subprocess.run(["tesseract", str(p), "stdout", "-l", self.language], check=True, timeout=self.timeout, capture_output=True).stdout.decode("utf-8", "replace") for p in sorted(Path(d).glob("*.png"))]
+            subprocess.run(["gs", "-q", "-dNOPAUSE", "-dBATCH", "-dSAFER", "-sDEVICE=png16m", f"-r{self.dpi}", "-dFirstPage=1", f"-dLastPage={self.pages}",
+                f"-sOutputFile={d}/%03d.png", f"{d}/in.pdf"],
+                check=True, timeout=self.timeout, capture_output=True)
+            read = [subprocess.run(["tesseract", str(p), "stdout", "-l", self.language], check=True, timeout=self.timeout, capture_output=True).stdout.decode("utf-8",
+                "replace") for p in sorted(Path(d).glob("*.png"))]
         return "\n".join(read)
 
 

@@ -36,4 +36,5 @@ def header(root: ET.Element) -> tuple[str, ...]:
         who = " ".join(t for n in ("forename", "surname") for e in _under(a, n) if (t := _text(e))) or _text(next(iter(_under(a, "persName")), None))
         if who:
             people.append(who)
-    return title, doi, date, date[:4] if date[:4].isdigit() else "", _first(root, ("monogr", "title")), _first(root, ("publicationStmt", "publisher"), ("imprint", "publisher")), "; ".join(people), _first(root, ("abstract",))
+    return title, doi, date, date[:4] if date[:4].isdigit() else "", _first(root, ("monogr", "title")), _first(root, ("publicationStmt", "publisher"),
+        ("imprint", "publisher")), "; ".join(people), _first(root, ("abstract",))

@@ -58,7 +58,8 @@ def run(spark: SparkSession, o: argparse.Namespace, reader: connectors.Reader |
     pdfs = stored(spark, o.local_base)
     rows = rows.withColumn("_n", F.monotonically_increasing_id())
     where = rows.join(pdfs.select("folder", "filename", "stored_path"), ["folder", "filename"], "left") if pdfs is not None else rows.withColumn("stored_path", F.lit(None).cast("string"))
-    rows = where.withColumn("pdf_path", Q.pdf_path(manifest.columns, F.col("stored_path"))).withColumn("path", F.concat_ws("\t", "folder", "filename", F.col("_n").cast("string"))).drop("_n", "stored_path")
+    rows = where.withColumn("pdf_path", Q.pdf_path(manifest.columns, F.col("stored_path"))).withColumn("path",
+        F.concat_ws("\t", "folder", "filename", F.col("_n").cast("string"))).drop("_n", "stored_path")
     rows.write.mode("overwrite").parquet(f"{o.output_dir}/rows.parquet")
     rows = spark.read.parquet(f"{o.output_dir}/rows.parquet")
     if o.tool == "panel":
@@ -92,7 +93,9 @@ def run(spark: SparkSession, o: argparse.Namespace, reader: connectors.Reader |
 
 def panel(spark: SparkSession, o: argparse.Namespace, rows: DataFrame) -> dict:
     """The review queue, a template for decisions and a page to read them on."""
-    keyed = lambda path, column: files.keyed(files.manifest(spark, path).withColumn("_n", F.monotonically_increasing_id()).select(*[clean(F.col(c)).alias(c) for c in Q.KEY], F.col(column).alias("candidate_doi"), "_n"), Q.KEY, "_n")
+    keyed = lambda path, column: files.keyed(files.manifest(spark, path).withColumn("_n",
+        F.monotonically_increasing_id()).select(*[clean(F.col(c)).alias(c) for c in Q.KEY], F.col(column).alias("candidate_doi"), "_n"),
+        Q.KEY, "_n")
     none = spark.createDataFrame([], "folder string, filename string, candidate_doi string")
     queue = Q.review_queue(rows, keyed(o.markdown_results, "llm_md_candidate_doi") if o.markdown_results else none, keyed(o.ocr_results, "ocr_candidate_doi") if o.ocr_results else none)
     queue.write.mode("overwrite").parquet(f"{o.output_dir}/queue.parquet")

@@ -20,12 +20,14 @@ def values(spark, column, *rows, schema="x string"):
 
 
 def test_normal_form(spark):
-    got = values(spark, I.normalize(F.col("x")), "https://doi.org/10.1021/acsnano.6b04019]", "10.1002/ange.201903709", "10.21203/rs.3.rs-123456_v1", "10.1/a(b)).", "10.1/a).;)", None, "10.1007/s12.Conclusion", "10.1000/ab.12 34;10.1000/x")
+    got = values(spark, I.normalize(F.col("x")), "https://doi.org/10.1021/acsnano.6b04019]", "10.1002/ange.201903709", "10.21203/rs.3.rs-123456_v1", "10.1/a(b)).",
+        "10.1/a).;)", None, "10.1007/s12.Conclusion", "10.1000/ab.12 34;10.1000/x")
     assert got == ["10.1021/acsnano.6b04019", "10.1002/anie.201903709", "10.21203/rs.3.rs-123456/v1", "10.1/a(b", "10.1/a", "", "10.1007/s12", "10.1000/ab.1234"]
 
 
 def test_plausible(spark):
-    got = values(spark, I.is_plausible(F.col("x")), "10.1016/S0378-7753(98)00241-9", "10.1002/((please", "10.1039/x0xx00000x", "10.1088/2053-1591/0/0/000", "10.1/x", "10.1000/(ISSN)1", None, "10.1000/" + "a" * 300)
+    got = values(spark, I.is_plausible(F.col("x")), "10.1016/S0378-7753(98)00241-9", "10.1002/((please", "10.1039/x0xx00000x", "10.1088/2053-1591/0/0/000", "10.1/x",
+        "10.1000/(ISSN)1", None, "10.1000/" + "a" * 300)
     assert got == [True] + [False] * 7
 
 
@@ -74,26 +76,31 @@ def test_added_candidates_have_weights_of_their_own(spark):
 
 def test_prefix_variants(spark):
     """Only the first underscore parts head and rest; the head's case counts where it is said."""
-    got = values(spark, F.transform(I.prefix_variants(F.col("x")), lambda v: v["doi"]), "10.1049/ic_2010_0012", "10.1049/icp_2010_1", "10.1023/a_1234_5", "10.4233/uuid_ab_c", "10.1117/12.700000.x", "10.1117/12.700000", "10.1209/a_b_c", "10.1000/a_b")
+    got = values(spark, F.transform(I.prefix_variants(F.col("x")), lambda v: v["doi"]), "10.1049/ic_2010_0012", "10.1049/icp_2010_1", "10.1023/a_1234_5",
+        "10.4233/uuid_ab_c", "10.1117/12.700000.x", "10.1117/12.700000", "10.1209/a_b_c", "10.1000/a_b")
     assert got == [["10.1049/ic:2010_0012", "10.1049/cp:2010_0012"], ["10.1049/icp:2010_1"], ["10.1023/A:1234_5"], ["10.4233/uuid:ab_c"], ["10.1117/12.700000"], [], ["10.1209/a/b/c"], []]
 
 
 def test_suspicious_identifiers_and_titles(spark):
-    by_doi = values(spark, I.suspicious(F.col("x")), "10.1000/a.s001", "10.1000/x/fig-1", "10.1000/x/figure12", "10.1000/x/figabc1", "10.1000/x/fig_v2", "10.5061/dryad.1", "10.1000/supporting-information", "10.1000/plain")
+    by_doi = values(spark, I.suspicious(F.col("x")), "10.1000/a.s001", "10.1000/x/fig-1", "10.1000/x/figure12", "10.1000/x/figabc1", "10.1000/x/fig_v2",
+        "10.5061/dryad.1", "10.1000/supporting-information", "10.1000/plain")
     assert by_doi == [True, True, True, False, False, True, True, False]
-    by_title = values(spark, I.suspicious(F.lit("10.1000/a"), F.col("x"), F.lit("journal-article")), "On the dataset of x", "Data from: y", "See Figure 12 here", "Datasets", "A figure of speech", None)
+    by_title = values(spark, I.suspicious(F.lit("10.1000/a"), F.col("x"), F.lit("journal-article")), "On the dataset of x", "Data from: y", "See Figure 12 here",
+        "Datasets", "A figure of speech", None)
     assert by_title == [True, False, True, False, False, False]
     assert values(spark, I.suspicious(F.lit("10.1000/a"), F.lit("t"), F.col("x")), "posted-content", "Dataset", "component", "book", None) == [True, True, True, False, False]
 
 
 def test_useful_titles(spark):
-    rows = ("Introduction to the growth of films", "Growth of films with a table of contents", "关键词: growth of thin oxide films here", "lithium battery electrode materials", "Growth of thin oxide films", "short one", "preparing your manuscript for the press now", None)
+    rows = ("Introduction to the growth of films", "Growth of films with a table of contents", "关键词: growth of thin oxide films here",
+        "lithium battery electrode materials", "Growth of thin oxide films", "short one", "preparing your manuscript for the press now", None)
     assert values(spark, T.useful_title(F.col("x")), *rows) == [False, False, False, False, True, False, False, False]
     assert values(spark, T.useful_title(F.col("x"), domain=False), *rows) == [False, False, False, True, True, False, True, False]
 
 
 def test_names_of_files_and_messages(spark):
-    assert values(spark, T.title_from_name(F.col("x")), "clean_12_growth_of-thin_oxide_films(2).pdf", "10.1000_abc growth of films on thin glass.pdf", "short.pdf", None) == ["growth of thin oxide films", "growth of films on thin glass", "", ""]
+    assert values(spark, T.title_from_name(F.col("x")), "clean_12_growth_of-thin_oxide_films(2).pdf", "10.1000_abc growth of films on thin glass.pdf", "short.pdf",
+        None) == ["growth of thin oxide films", "growth of films on thin glass", "", ""]
     assert values(spark, T.append_message(F.col("a"), F.col("b")), ("", "x"), ("x", "y"), ("x", ""), (None, "y"), schema="a string, b string") == ["x", "x | y", "x", "y"]
     assert values(spark, T.short(F.col("x"), 5), "abcdef", "abcde", None) == ["abcd...", "abcde", ""]
     assert values(spark, T.add_source(F.col("x"), F.lit("ocr")), "pdf+ocr", "pdf", None) == ["pdf+ocr", "pdf+ocr", "ocr"]
@@ -123,7 +130,8 @@ def test_title_search_is_exact(spark, common):
 
 
 def test_one_answer_for_a_key(spark):
-    rows = [("10.1/a", "crossref", True, "B", None), ("10.1/a", "doi.org", True, "", None), ("10.1/a", "doi.org", False, None, "e"), ("10.1/b", "osti", True, "no", None), ("10.1/b", "datacite", False, None, "gone"), ("10.2172/c", "osti", True, "yes", None), ("10.2172/c", "doi.org", True, "x", None)]
+    rows = [("10.1/a", "crossref", True, "B", None), ("10.1/a", "doi.org", True, "", None), ("10.1/a", "doi.org", False, None, "e"), ("10.1/b", "osti", True, "no", None),
+        ("10.1/b", "datacite", False, None, "gone"), ("10.2172/c", "osti", True, "yes", None), ("10.2172/c", "doi.org", True, "x", None)]
     got = A.one_answer(spark.createDataFrame(rows, "doi_key string, source string, resolved boolean, title string, error string").repartition(3))
     assert {r["doi_key"]: (r["source"], r["resolved"]) for r in got.collect()} == {"10.1/a": ("crossref", True), "10.1/b": ("datacite", False), "10.2172/c": ("osti", True)}
 
@@ -150,10 +158,12 @@ def test_front_pages():
     three = "View Article Online\nD Check for updates. Realizing ultrahigh energy storage performance in\n加 sodium bismuth titanate-based ceramics via local\nCite this: J. Mater. Chem. A, 2025, 13,\n32857 polarization engineering\nYiyan Zhou, Shiyu Yang, Ziyang Zhou, Meilin Cao\nAbstract\n"
     assert front_page(one) == ("A robust interphase enables fast charging lithium metal batteries", ["Jian Li", "Maria R. Gomez", "Q. Wang"])
     assert front_page(two) == ("Operando imaging of sodium plating in solid electrolytes", ["Alice Smith", "Bob Chen"])
-    assert front_page(three) == ("Realizing ultrahigh energy storage performance in sodium bismuth titanate-based ceramics via local polarization engineering", ["Yiyan Zhou", "Shiyu Yang", "Ziyang Zhou", "Meilin Cao"])
+    assert front_page(three) == ("Realizing ultrahigh energy storage performance in sodium bismuth titanate-based ceramics via local polarization engineering",
+        ["Yiyan Zhou", "Shiyu Yang", "Ziyang Zhou", "Meilin Cao"])
 
 
-FACTS = {"doi": True, "t": 0.0, "a": 0.0, "c": 0.0, "ff": False, "no_authors": False, "bad_title": False, "res": True, "mainstream": False, "search": False, "title_words": 5, "prefix_variant": False, "useful": True, "visible": False, "suspicious": False, "references": False}
+FACTS = {"doi": True, "t": 0.0, "a": 0.0, "c": 0.0, "ff": False, "no_authors": False, "bad_title": False, "res": True, "mainstream": False, "search": False,
+    "title_words": 5, "prefix_variant": False, "useful": True, "visible": False, "suspicious": False, "references": False}
 
 
 @pytest.mark.parametrize(

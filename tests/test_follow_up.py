@@ -24,7 +24,9 @@ def test_round2(spark):
         ("n", "y.pdf", "", None, None, None),
     ], "path string, filename string, doi string, title string, authors array<string>, text string")
     known = answers(spark, ("10.1049/cp:2010_0012", "Grid faults in wind power farms", ["B C"], "article"))
-    found = spark.createDataFrame([("growth of thin oxide films", "openalex_title_search", 0, "10.1000/near", "Growth of thin oxide films", ["Ana Li"]), ("growth of thin oxide films", "other", 0, "10.1000/no", "Growth of thin oxide films", ["Ana Li"])], SEARCHES)
+    found = spark.createDataFrame([("growth of thin oxide films", "openalex_title_search", 0, "10.1000/near", "Growth of thin oxide films", ["Ana Li"]),
+        ("growth of thin oxide films", "other", 0, "10.1000/no", "Growth of thin oxide films", ["Ana Li"])],
+        SEARCHES)
     got = {r["path"]: r for r in U.round2(rows, known, found).collect()}
     assert (got["v"]["final_doi"], got["v"]["source"], got["v"]["reason"], got["v"]["decision"]) == ("10.1049/cp:2010_0012", "prefix_variant", "IET conference publication DOI", "title in text")
     assert got["v"]["tried_dois"] == ["10.1049/ic_2010_0012", "10.1049/ic:2010_0012", "10.1049/cp:2010_0012"]
@@ -39,7 +41,8 @@ def test_ocr_rows(spark):
     rows = spark.createDataFrame([("a", "30"), ("b", "900"), ("c", "bad")], "path string, hardcase_pdf_text_chars string")
     assert {r["path"] for r in U.ocr_targets(rows).collect()} == {"a", "c"} and U.ocr_targets(rows, every=True).count() == 3
     pages = spark.createDataFrame([("a", PAGE, None), ("b", None, "cannot read")], "path string, read string, error string")
-    known = answers(spark, ("10.1000/abc.1", "Operando imaging of sodium plating in solid electrolytes", ["Alice Smith"], ""), ("10.1000/abc.1.s001", "Operando imaging of sodium plating in solid electrolytes", ["Alice Smith"], ""))
+    known = answers(spark, ("10.1000/abc.1", "Operando imaging of sodium plating in solid electrolytes", ["Alice Smith"], ""),
+        ("10.1000/abc.1.s001", "Operando imaging of sodium plating in solid electrolytes", ["Alice Smith"], ""))
     got = {r["path"]: r for r in U.ocr(rows, pages, known).collect()}
     assert got["a"]["extracted_authors"] == ["Alice Smith", "Bob Chen"] and got["a"]["checked"] == 1
     assert (got["a"]["doi"], got["a"]["accepted"], got["a"]["decision"]) == ("10.1000/abc.1.s001", False, "supplement or dataset")  # the shorter one is the beginning of the longer
@@ -47,15 +50,20 @@ def test_ocr_rows(spark):
 
 
 def test_layout_rows(spark):
-    rows = spark.createDataFrame([("a", "conflict_review", "", ""), ("m", "x", "", ""), ("s", "x", "Seeded growth of thin oxide films", "Ana Li")], "path string, final_decision string, title string, authors string")
+    rows = spark.createDataFrame([("a", "conflict_review", "", ""), ("m", "x", "", ""), ("s", "x", "Seeded growth of thin oxide films", "Ana Li")],
+        "path string, final_decision string, title string, authors string")
     assert U.layout_targets(rows, "conflict_review").count() == 1
     texts = spark.createDataFrame([("a", PAGE.replace(".s001", "")), ("m", "no identifier here"), ("s", "page")], "path string, text string")
-    known = answers(spark, ("10.1000/abc.1", "Operando imaging of sodium plating in solid electrolytes", ["Alice Smith"], "article"), ("10.1000/mod.1", "A model told this long title of work", ["Bo Xu"], "article"))
-    found = spark.createDataFrame([("seeded growth of thin oxide films", "datacite_title_search", 0, "10.1000/S1", "Seeded growth of thin oxide films", ["Ana Li"]), ("seeded growth of thin oxide films li", "crossref_title_search", 1, "10.1000/s1", "Other", [])], SEARCHES)
+    known = answers(spark, ("10.1000/abc.1", "Operando imaging of sodium plating in solid electrolytes", ["Alice Smith"], "article"),
+        ("10.1000/mod.1", "A model told this long title of work", ["Bo Xu"], "article"))
+    found = spark.createDataFrame([("seeded growth of thin oxide films", "datacite_title_search", 0, "10.1000/S1", "Seeded growth of thin oxide films", ["Ana Li"]),
+        ("seeded growth of thin oxide films li", "crossref_title_search", 1, "10.1000/s1", "Other", [])],
+        SEARCHES)
     got = {r["path"]: r for r in U.layout(rows, texts, known, found).collect()}
     assert (got["a"]["final_doi"], got["a"]["decision"], got["a"]["source"]) == ("10.1000/abc.1", "visible, title near-exact", "markdown_regex")
     assert (got["s"]["final_doi"], got["s"]["decision"], got["s"]["source"], got["s"]["checked"]) == ("10.1000/S1", "search, title near-exact", "llm_datacite_title_search", 1)
-    said = json.dumps({"title": "A model told this long title of work", "authors": ["Bo Xu"], "doi_candidates": [{"doi": "10.1000/mod.1", "is_main_article": True, "confidence": "high", "evidence": "e"}, {"doi": "10.1000/mod.2", "is_main_article": False}]})
+    said = json.dumps({"title": "A model told this long title of work", "authors": ["Bo Xu"],
+        "doi_candidates": [{"doi": "10.1000/mod.1", "is_main_article": True, "confidence": "high", "evidence": "e"}, {"doi": "10.1000/mod.2", "is_main_article": False}]})
     got = {r["path"]: r for r in U.layout(rows, texts, known, found, spark.createDataFrame([("m", said)], "path string, value string")).collect()}
     assert (got["m"]["final_doi"], got["m"]["source"], got["m"]["decision"], got["m"]["checked"]) == ("10.1000/mod.1", "llm_markdown_doi", "visible, title near-exact", 1)
 

@@ -75,7 +75,9 @@ def test_look_ups_make_rows_sure_and_are_kept(spark, tmp_path):
     pdf(tmp_path, "n.pdf")
     (tmp_path / "side.tsv").write_text("filename\ttitle\tauthors\na.pdf\tGrowth of thin oxide films on glass\tAna Li\nn.pdf\tAnother title that is long enough\tBo Xu\n")
     found = json.dumps({"message": {"items": [{"DOI": "10.1000/new.1"}]}})
-    sources = {"crossref": Fake(answers={"10.1000/abc.17": work("10.1000/abc.17", "Growth of thin oxide films on glass", "Ana Li"), "10.1000/new.1": work("10.1000/new.1", "Another title that is long enough", "Bo Xu")}), "crossref_title": Fake(answers={"Another title that is long enough": found})}
+    sources = {"crossref": Fake(answers={"10.1000/abc.17": work("10.1000/abc.17", "Growth of thin oxide films on glass", "Ana Li"),
+        "10.1000/new.1": work("10.1000/new.1", "Another title that is long enough", "Bo Xu")}),
+        "crossref_title": Fake(answers={"Another title that is long enough": found})}
     flags = ("--validate", "--side-table", str(tmp_path / "side.tsv"), "--no-review", "--no-hard-cases")
     got, rows = run(spark, tmp_path, *flags, sources=sources)
     assert got["status"] == {"ok": 2}
@@ -121,8 +123,13 @@ def test_hard_cases_by_text_and_by_title_search(spark, tmp_path):
     ]
     df = spark.createDataFrame(records, "path string, filename string, status string, doi string, title string, authors array<string>, text string")
     df = df.withColumns({"method": F.lit("m"), "confidence": F.lit("review"), "metadata_source": F.lit("pdf"), "year": F.lit(""), "journal": F.lit("Own")})
-    answers = spark.createDataFrame([("10.2172/2516710", "osti", True, "10.2172/2516710", title, ["Peter Pintauro"], None, None), ("10.1149/1945-7111/ac6aea", "doi.org", True, "10.1149/1945-7111/ac6aea", "Review - Carbon Cloth as a Versatile Electrode", ["Maria Leon", "Jose Nava"], None, "2022"), ("10.1149/1945-7111_ac6aea", "doi.org", False, None, None, None, "404", None)], SCHEMA + ", year string").withColumn("container", F.lit("Journal of ES"))
-    searches = spark.createDataFrame([("growth of thin oxide films on glass", "crossref_title_search", 0, "10.1000/far", "Something else entirely here", ["Q R"]), ("growth of thin oxide films on glass", "datacite_title_search", 0, "10.1000/near", "Growth of thin oxide films on glass", ["Ana Li"])], "query_key string, source string, rank int, doi string, title string, authors array<string>")
+    answers = spark.createDataFrame([("10.2172/2516710", "osti", True, "10.2172/2516710", title, ["Peter Pintauro"], None, None),
+        ("10.1149/1945-7111/ac6aea", "doi.org", True, "10.1149/1945-7111/ac6aea", "Review - Carbon Cloth as a Versatile Electrode", ["Maria Leon", "Jose Nava"], None, "2022"),
+        ("10.1149/1945-7111_ac6aea", "doi.org", False, None, None, None, "404", None)],
+        SCHEMA + ", year string").withColumn("container", F.lit("Journal of ES"))
+    searches = spark.createDataFrame([("growth of thin oxide films on glass", "crossref_title_search", 0, "10.1000/far", "Something else entirely here", ["Q R"]),
+        ("growth of thin oxide films on glass", "datacite_title_search", 0, "10.1000/near", "Growth of thin oxide films on glass", ["Ana Li"])],
+        "query_key string, source string, rank int, doi string, title string, authors array<string>")
     result = H.hard_cases(df, answers, searches)
     got = {r["path"]: r for r in result.collect()}
     assert set(got) == set("abcd")
@@ -132,8 +139,10 @@ def test_hard_cases_by_text_and_by_title_search(spark, tmp_path):
     assert (got["d"]["decision"], got["d"]["confidence"], got["d"]["answer_error"]) == ("no DOI candidate and no usable title search", "none", "no candidate")
     out = {r["path"]: r for r in H.applied(df, result).collect()}
     c = out["c"]
-    assert (c["status"], c["doi"], c["title"], c["authors"], c["year"], c["journal"]) == ("ok", "10.1149/1945-7111/ac6aea", "Review - Carbon Cloth as a Versatile Electrode", ["Maria Leon", "Jose Nava"], "2022", "Own")
-    assert (c["original_doi"], c["method"], c["metadata_source"], c["hardcase_accept"], c["authority_authors_new"]) == ("10.1149/1945-7111_ac6aea", "hardcase_filename_variant", "pdf+authority", "1", "Maria Leon; Jose Nava")
+    assert (c["status"], c["doi"], c["title"], c["authors"], c["year"], c["journal"]) == ("ok", "10.1149/1945-7111/ac6aea",
+        "Review - Carbon Cloth as a Versatile Electrode", ["Maria Leon", "Jose Nava"], "2022", "Own")
+    assert (c["original_doi"], c["method"], c["metadata_source"], c["hardcase_accept"], c["authority_authors_new"]) == ("10.1149/1945-7111_ac6aea",
+        "hardcase_filename_variant", "pdf+authority", "1", "Maria Leon; Jose Nava")
     assert out["d"]["status"] == "no_doi" and out["d"]["hardcase_accept"] == "0" and out["e"]["hardcase_accept"] is None and out["e"]["original_status"] is None
 
 
@@ -205,7 +214,8 @@ def test_search_results_of_each_source(spark):
 
 
 def test_layout_text(spark):
-    blocks = [("p", 1, 5.0, 20.04, "second\nline"), ("p", 1, 9.0, 1.0, "right one"), ("p", 1, 1.0, 1.04, " left  one "), ("p", 1, 0.0, 0.0, "123"), ("p", 2, 0.0, 0.0, "page two"), ("p", 2, 0.0, 1.0, "ab")]
+    blocks = [("p", 1, 5.0, 20.04, "second\nline"), ("p", 1, 9.0, 1.0, "right one"), ("p", 1, 1.0, 1.04, " left  one "), ("p", 1, 0.0, 0.0, "123"),
+        ("p", 2, 0.0, 0.0, "page two"), ("p", 2, 0.0, 1.0, "ab")]
     got = files.layout_text(spark.createDataFrame(blocks, "k string, page int, x double, y double, text string"), "k", 1000).first()["text"]
     assert got == "# Page 1\n\nleft one\n\nright one\n\nsecond line\n\n\n\n# Page 2\n\npage two\n\n"
 
