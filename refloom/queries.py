@@ -16,6 +16,7 @@ from .operators import candidates as C
 from .operators import decisions as D
 from . import sql_facts as K
 from .plans import hard_cases as H
+from .plans import main_pass as M
 from .plans import records as P
 from .plans import review as R
 from .sources import files, front_page
@@ -661,6 +662,88 @@ def hard_case_pass(spark, d):
     return H.hard_cases(_records(spark, d), _answers(spark, d)).select("path", "doi", "source", "accepted", "confidence", "decision", "final_doi", "t", "a", "c")
 
 
+@query(f"""WITH z AS ({_REVIEW}), r AS ({RECORD}) SELECT r.path, CASE WHEN z.accepted OR r.ok THEN 'ok' ELSE 'review' END AS status, CASE WHEN z.accepted THEN z.final_doi ELSE r.doi END AS doi,
+ CASE WHEN z.accepted THEN 'postprocess_' || z.decision END AS method, CASE WHEN z.accepted THEN z.confidence ELSE 'low' END AS confidence, CASE WHEN z.path IS NOT NULL THEN 'review' END AS original_status,
+ CASE WHEN z.path IS NOT NULL THEN r.doi END AS original_doi, z.stage AS review_stage, z.decision AS postprocess_decision,
+ CASE WHEN z.accepted AND z.stage <> 'stage2' THEN 'doi_authority' WHEN z.accepted THEN 'postprocess_existing_evidence' END AS doi_validation_source
+FROM r LEFT JOIN z ON r.path = z.path""")
+def review_applied(spark, d):
+    records = _records(spark, d).withColumn("confidence", F.lit("low"))
+    done = R.applied(records, R.review(records, _answers(spark, d)))
+    shown = ("status", "doi", "method", "confidence", "original_status", "original_doi", "review_stage", "postprocess_decision", "doi_validation_source")
+    return done.select("path", *shown)
+
+
+@query(f"""WITH z AS ({_HARD}), r AS ({RECORD}) SELECT r.path, CASE WHEN z.accepted OR r.ok THEN 'ok' ELSE 'review' END AS status, CASE WHEN z.accepted THEN z.final_doi ELSE r.doi END AS doi,
+ CASE WHEN z.accepted THEN 'hardcase_' || z.source END AS method, CASE WHEN z.path IS NOT NULL THEN CASE WHEN z.accepted THEN '1' ELSE '0' END END AS hardcase_accept,
+ z.source AS hardcase_candidate_source, CASE WHEN z.accepted THEN CASE WHEN r.doc_id % 7 <> 0 THEN 'doi.org' ELSE 'crossref' END END AS doi_validation_source,
+ CASE WHEN z.accepted THEN '2020' ELSE '' END AS year, 'Own' AS journal FROM r LEFT JOIN z ON r.path = z.path""")
+def hard_case_applied(spark, d):
+    """What an accepted answer has fills what is missing, and only that."""
+    records = _records(spark, d).withColumns({"confidence": F.lit("low"), "year": F.lit(""), "journal": F.lit("Own")})
+    answers = _answers(spark, d).withColumns({"year": F.lit("2020"), "container": F.lit("Other")})
+    done = H.applied(records, H.hard_cases(records, answers))
+    return done.select("path", "status", "doi", "method", "hardcase_accept", "hardcase_candidate_source", "doi_validation_source", "year", "journal")
+
+
+_CELL = "CASE doc_id % 4 WHEN 0 THEN '  <b>' || source || '</b> & \"x\" ' WHEN 1 THEN coalesce(text, '') WHEN 2 THEN '' ELSE source || ' it' || chr(39) || 's' END"
+_PARTS = "CASE doc_id % 3 WHEN 0 THEN 'pdf+' || lang WHEN 1 THEN '' ELSE 'ocr+pdf' END"
+_NUMBER = "CASE doc_id % 5 WHEN 0 THEN '12.7' WHEN 1 THEN '-3' WHEN 2 THEN 'many' WHEN 3 THEN '' ELSE '' || doc_id END"
+
+
+@query(f"""SELECT doc_id, CASE WHEN length({q_clean('x')}) > 40 THEN left({q_clean('x')}, 39) || '...' ELSE {q_clean('x')} END AS short,
+ replace(replace(replace(replace(replace(left(x, 60), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped,
+ CASE WHEN {q_clean('left(x, 60)')} = '' THEN p WHEN p = '' THEN left(x, 60) ELSE p || ' | ' || left(x, 60) END AS message,
+ CASE WHEN list_contains(string_split(p, '+'), 'ocr') THEN p WHEN p = '' THEN 'ocr' ELSE p || '+ocr' END AS sources,
+ greatest(0, coalesce(trunc(try_cast(n AS DOUBLE))::BIGINT, 0)) AS number FROM (SELECT doc_id, {_CELL} AS x, {_PARTS} AS p, {_NUMBER} AS n FROM documents)""")
+def cell_texts(spark, d):
+    df = docs(spark, d, "doc_id", f"{_CELL} AS x", f"{_PARTS} AS p", f"{_NUMBER} AS n").withColumn("head", F.substring("x", 1, 60))
+    p, head = F.col("p"), F.col("head")
+    out = {"short": T.short(F.col("x"), 40), "escaped": T.escape_html(head), "message": T.append_message(p, head), "sources": T.add_source(p, F.lit("ocr")), "number": T.number(F.col("n"))}
+    return df.select("doc_id", *[v.alias(k) for k, v in out.items()])
+
+
+_SCORED = "CASE doc_id % 4 WHEN 0 THEN '{\"title_score\":0.' || (doc_id % 10) || ',\"author_score\":\"0.5\"}' WHEN 1 THEN 'no json' WHEN 2 THEN '' ELSE '{\"title_score\":\"bad\",\"other\":1}' END"
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN round((doc_id % 10) / 10.0, 4) ELSE 0.0 END::DOUBLE AS title_score, CASE WHEN doc_id % 4 = 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS author_score FROM documents""")
+def stored_scores(spark, d):
+    t, a = R.stored_scores(F.col("x"))
+    return docs(spark, d, "doc_id", f"{_SCORED} AS x").select("doc_id", t.alias("title_score"), a.alias("author_score"))
+
+
+_STATE = """doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'A' ELSE 'A fine title of ' || source END AS title, doc_id % 3 = 0 AS people, CASE WHEN doc_id % 5 < 2 THEN '' ELSE '10.1000/x' END AS doi,
+ CASE doc_id % 7 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' WHEN 3 THEN 'none' ELSE 'review' END AS confidence, CASE WHEN doc_id % 11 = 0 THEN 'failed' END AS failed"""
+
+
+@query(f"""SELECT doc_id, title = '' OR NOT people AS header, failed IS NOT NULL OR length(title) < 5 OR NOT people AS ocr_metadata, doi = '' AND length(title) >= 18 AS search,
+ doi <> '' AND confidence IN ('review', 'low', 'medium') AS look_up, doi <> '' AS look_up_all, doi = '' OR confidence = 'review' AS more FROM (SELECT {_STATE} FROM documents)""")
+def gates(spark, d):
+    people = F.when(F.col("people"), F.array(F.lit("Ana Li"))).otherwise(F.array().cast("array<string>"))
+    df = docs(spark, d, *_split(_STATE)).withColumn("authors", people)
+    title, doi, sure = F.col("title"), F.col("doi"), F.col("confidence")
+    out = {
+        "header": M.needs_header(title, F.array_join("authors", "; ")),
+        "ocr_metadata": M.needs_ocr_metadata(title, F.col("authors"), F.col("failed")),
+        "search": M.needs_title_search(doi, title),
+        "look_up": M.needs_look_up(doi, sure, False),
+        "look_up_all": M.needs_look_up(doi, sure, True),
+        "more": M.needs_more(doi, sure),
+    }
+    return df.select("doc_id", *[v.alias(k) for k, v in out.items()])
+
+
+_NAME = """CASE doc_id % 4 WHEN 0 THEN 'clean_' || doc_id || '_growth_of-thin_oxide_films(2).pdf' WHEN 1 THEN '10.1000_abc.' || doc_id || '- growth of films on ' || source || '.pdf' WHEN 2 THEN 'short.pdf'
+ ELSE '10.1016_j.x_y.' || doc_id || '..-10.1002@ab' || doc_id || '_.pdf' END"""
+
+
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'growth of thin oxide films' WHEN 1 THEN 'growth of films on ' || source ELSE '' END AS title,
+ CASE doc_id % 4 WHEN 1 THEN '10.1000_abc.' || doc_id WHEN 3 THEN '10.1016_j.x_y.' || doc_id || '..-10.1002@ab' || doc_id ELSE '' END AS tokens FROM documents""")
+def name_parts(spark, d):
+    stem = F.regexp_replace("x", r"\.[^.]*$", "")
+    return docs(spark, d, "doc_id", f"{_NAME} AS x").select("doc_id", T.title_from_name(F.col("x")).alias("title"), F.array_join(I.name_tokens(stem), "|").alias("tokens"))
+
+
 _ASKED = "lang || ' ' || source || ' note ' || (doc_id % 97)"
 _INDEXED = "'note ' || (doc_id % 89) || ' on ' || source || ' ' || lang || CASE WHEN doc_id % 3 = 0 THEN ' again' ELSE '' END"
 
