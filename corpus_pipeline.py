@@ -51,4 +51,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             docs = scratch.save(docs)
             if i:
                 scratch.drop(old)
+            scratch.release()
     return docs
