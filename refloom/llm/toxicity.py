@@ -161,7 +161,10 @@ def fit(known: np.ndarray, rows: list[tuple[int, int, bytes, bytes]], prior: flo
 
 
 def learn(spark: SparkSession, documents: DataFrame, labels: DataFrame, allowed=None) -> Model:
-    """Fits on labelled documents. Several labels of one document: toxic if any says so. Null labels are left out."""
+    """Fits on labelled documents. Several labels of one document: toxic if any says so. Null labels are left out.
+
+    Of several texts with one doc_id the least counts, so the sample's bound holds whatever repeats.
+    """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     if allowed is not None:
         marked = marked.filter(allowed)
@@ -173,8 +176,9 @@ def learn(spark: SparkSession, documents: DataFrame, labels: DataFrame, allowed=
     for k, c in n.items():
         share = F.when(F.col("y") == k, F.lit(min(1.0, SAMPLE / c))).otherwise(share)
     sample = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20))
-    # about SAMPLE ids of each class
-    rows = Scratch(spark, "toxicity").save(id_text(documents).join(F.broadcast(sample), "doc_id").select("text", "y"))
+    # about SAMPLE ids of each class, and one text of each: an id may have very many rows
+    rows = id_text(documents).join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
+    rows = Scratch(spark, "toxicity").save(rows.select("text", "y"))
     size = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if len(size) < 2:
         return fit(np.zeros(0, np.uint64), [(k, 1, b"", b"") for k in size], float(sum(size)))

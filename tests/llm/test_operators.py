@@ -587,6 +587,14 @@ def test_labels_of_one_kind(spark, kinds):
     assert {r["predicted"] for r in got} == {int(kinds == (1,))} and len(got) == 5
 
 
+def test_toxicity_sample_is_bounded_under_repeated_ids(spark, monkeypatch):
+    taken, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda known, rows, prior: taken.append(len(rows)) or fit(known, rows, prior))
+    texts, ids = ["a b."] * 500 + ["you awful."] * 500 + [f"x{i}." for i in range(20)], [1] * 500 + [2] * 500 + list(range(3, 23))
+    toxicity.learn(spark, docs(spark, texts, ids), spark.createDataFrame([(i, int(i == 2)) for i in range(1, 23)], "doc_id long, toxic int"))
+    assert taken == [22]
+
+
 def test_few_toxic_rows_are_learned(spark):
     texts = [f"plain words {i} of text." for i in range(60)] + ["you awfulword here.", "an awfulword again.", "awfulword!"]
     got = toxicity.toxicity(spark, docs(spark, texts), spark.createDataFrame([(i, int(i >= 60)) for i in range(63)], "doc_id long, toxic int")).collect()
