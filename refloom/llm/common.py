@@ -62,6 +62,14 @@ class Scratch:
         for df in dfs:
             _delete(self.spark, df._scratch_path)
 
+    def keep_only(self, *dfs: DataFrame) -> None:
+        """Deletes all tables but these: nothing else is read any more."""
+        kept = {df._scratch_path for df in dfs}
+        for n in range(1, self.n + 1):
+            if f"{self.root}/{n}" not in kept:
+                _delete(self.spark, f"{self.root}/{n}")
+        self.release()
+
     def release(self) -> None:
         """Let Spark remove the shuffle files of finished steps, which it does when their plans are collected. For after large steps."""
         for _ in range(2):
@@ -95,6 +103,11 @@ def row_numbers(scratch: Scratch, df: DataFrame) -> DataFrame:
     return scratch.save(df.withColumn(ROW, F.monotonically_increasing_id()))
 
 
+def text_names(text: str = "text") -> list[Column]:
+    """Two 64-bit hashes that name a text together; null where it is null."""
+    return [F.when(F.col(text).isNotNull(), F.xxhash64(F.col(text), F.lit(seed))).alias(f"__{name}") for name, seed in (("h", 17), ("i", 29))]
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 8) -> DataFrame:
     """left joined with right (one row a key), each key dealt over several tasks by ``by``: a key may have very many rows on the left."""
     dealt = left.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, id_text, row_numbers, table
+from .common import ROW, Scratch, id_text, row_numbers, table, text_names
 
 MASKS = ((0, 1, 3, 6, 8, 9), (0, 2, 3, 5, 8, 9), (0, 1, 4, 5, 7, 9))
 SPAN = 10
@@ -131,11 +131,13 @@ def contaminated(spark: SparkSession, documents: DataFrame, benchmark: DataFrame
 
 
 def clean(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns, without the rows that hold a benchmark passage, whatever their ids."""
+    """The documents, all columns, without the rows that hold a benchmark passage, whatever their ids: a text decides, by its 128-bit name."""
     scratch = Scratch(spark, "decontamination")
-    rows = row_numbers(scratch, documents)
-    bad = overlaps(scratch, rows.select(F.col(ROW).alias("key"), F.col("text").cast("string").alias("text")), benchmark).select(F.col("key").alias(ROW)).distinct()
-    return rows.join(bad, ROW, "left_anti").select(*documents.columns)
+    named = documents.select("*", *text_names())
+    rows = named.filter(F.col("text").isNotNull()).select(F.struct("__h", "__i").alias("key"), F.col("text").cast("string").alias("text"))
+    bad = scratch.save(overlaps(scratch, rows, benchmark).select("key.*").distinct())
+    scratch.keep_only(bad)
+    return named.join(bad, ["__h", "__i"], "left_anti").select(*documents.columns)
 
 
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

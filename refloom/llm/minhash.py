@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, batch, row_numbers, salted_join, table
+from .common import ROW, Scratch, batch, row_numbers, salted_join, table, text_names
 from .components import components
 from .words import LOWER, U, Words, chunks, content, mix, prefix_sums
 
@@ -78,11 +78,11 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return np.array(out)
 
 
-SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SKETCH = pa.schema([("h", pa.int64()), ("i", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def sketch(documents: DataFrame, row, rows: int, n_bands: int) -> DataFrame:
-    """row, doc_id, n_shingles, name (the words' digest; null without words) and bands."""
+def sketch(documents: DataFrame, rows: int, n_bands: int) -> DataFrame:
+    """h, i (the text's name), doc_id, n_shingles, name (the words' digest; null without words) and bands."""
 
     def run(batches):
         for whole in batches:
@@ -95,10 +95,10 @@ def sketch(documents: DataFrame, row, rows: int, n_bands: int) -> DataFrame:
                     found = bands(signatures(names, np.r_[bounds[:-1][full], bounds[-1]], rows * n_bands), rows).T
                     lists[full] = np.ascontiguousarray(found).view(np.int64)
                 named = [digest(t) for t in b.column("text").to_pylist()]
-                yield batch(SKETCH, b.column("row"), b.column("doc_id"), n, named, pa.FixedSizeListArray.from_arrays(pa.array(lists.ravel()), n_bands).cast(SKETCH.field("bands").type))
+                yield batch(SKETCH, b.column("__h"), b.column("__i"), b.column("doc_id"), n, named, pa.FixedSizeListArray.from_arrays(pa.array(lists.ravel()), n_bands).cast(SKETCH.field("bands").type))
 
-    picked = documents.select(row.cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "row long, doc_id long, n_shingles long, name binary, bands array<long>")
+    picked = documents.select(*text_names(), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return picked.mapInArrow(run, "h long, i long, doc_id long, n_shingles long, name binary, bands array<long>")
 
 
 SETS = pa.schema([("k", pa.int64()), ("shingles", pa.binary())])
@@ -226,7 +226,7 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = 85
     empty table gives no rows. Other columns are not read, whatever their names.
     """
     scratch = Scratch(spark, "minhash")
-    sketched = scratch.save(sketch(documents, F.lit(0), rows, n_bands))
+    sketched = scratch.save(sketch(documents, rows, n_bands))
     out = sketched.select("doc_id", "n_shingles", "name").join(placed(spark, documents, sketched, percent, scratch), "name", "left")
     out = out.withColumn("component_id", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -236,15 +236,27 @@ def deduplicated(spark: SparkSession, documents: DataFrame, percent: int = 80, r
     """The documents, all columns, of each group the one row with the smallest doc_id (of equal ones, or without any, the least by a digest of the words).
 
     Rows count, not ids: null and repeated doc_ids are rows like others, and another text that shares a doc_id stays.
-    Rows without words all stay. A pair at 0.8 shares a band with probability 0.9996.
+    Rows without words all stay. A pair at 0.8 shares a band with probability 0.9996. A row is known by its doc_id and the
+    128-bit name of its text; rows that share both are told apart only where they are the ones that stay.
     """
     scratch = Scratch(spark, "minhash")
-    numbered = row_numbers(scratch, documents)
-    sketched = scratch.save(sketch(numbered, F.col(ROW), rows, n_bands))
-    groups = sketched.select("row", "doc_id", "name").join(placed(spark, numbered, sketched, percent, scratch).select("name", "root"), "name")
-    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "name", "row")).alias("f")).select(F.col("f.row").alias(ROW))
-    stay = first.unionByName(sketched.filter("name is null").select(F.col("row").alias(ROW)))
-    return numbered.join(stay, ROW, "left_semi").select(*documents.columns)
+    sketched = scratch.save(sketch(documents, rows, n_bands))
+    groups = sketched.select("h", "i", "doc_id", "name").join(placed(spark, documents, sketched, percent, scratch).select("name", "root"), "name")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "name", "h", "i")).alias("f"))
+    first = scratch.save(first.select("f.*"))
+    same = (F.col("a.h") == F.col("b.h")) & (F.col("a.i") == F.col("b.i")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
+    again = sketched.alias("a").join(first.alias("b"), same, "left_semi").groupBy("h", "i", "doc_id").count().filter("count > 1").drop("count")
+    again = scratch.save(again)
+    scratch.keep_only(first, again)
+    named = documents.select("*", *text_names(), F.col("doc_id").cast("long").alias("__d"))
+    theirs = lambda df: df.select(*[F.col(c).alias(f"__{c}_") for c in ("h", "i")], F.col("doc_id").alias("__d_"))
+    match = (F.col("__h") == F.col("__h_")) & (F.col("__i") == F.col("__i_")) & F.col("__d").eqNullSafe(F.col("__d_"))
+    wordless = ~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = named.filter(~wordless).join(theirs(first), match, "left_semi")
+    if again.limit(1).count():
+        repeated = kept.join(theirs(again), match, "left_semi").dropDuplicates(["__h", "__i", "__d"])
+        kept = kept.join(theirs(again), match, "left_anti").unionByName(repeated)
+    return kept.unionByName(named.filter(wordless)).select(*documents.columns)
 
 
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
