@@ -66,30 +66,36 @@ def title_search(queries: DataFrame, index: DataFrame, k: int = 5, common: int =
 
     The overlap is the share of the query's words that the title has; of equal ones the smaller doc_key comes first. Words of
     at most ``common`` titles lead from a query to titles, which are scored. A title that shares none of these has only
-    common words of the query: of all titles with the same common words the first k by doc_key can be among the best, and
-    queries with the same common words have the same best of those. So sets of common words meet sets of common words, each
-    set once, whatever number of titles and queries has it.
+    common words of the query. These are put in one order, the rarest first, and a set of them is cut before each of its
+    words. A query and a title meet at the rarest word that they share, and what follows it in both decides how many they
+    share. Few words are more frequent than a frequent one, so few such ends differ: each is met once, whatever number of
+    sets, titles and queries has it. Of all titles with the same end the first k by doc_key can be among the best.
     """
     words = lambda df, key: df.select(key, F.array_distinct(F.filter(F.split(norm_text(F.col("title")), " "), lambda w: w != "")).alias("ws"))
     q, x = words(queries, "query_id"), words(index, "doc_key")
     each = x.select("doc_key", F.explode("ws").alias("w"))
-    spread = each.groupBy("w").count()
-    rare = spread.filter(F.col("count") <= common).select("w")
     asked = q.select("query_id", F.explode("ws").alias("w"))
+    spread = each.groupBy("w").count().join(asked.select("w").distinct(), "w", "left_semi")
+    rare = spread.filter(F.col("count") <= common).select("w")
     pairs = asked.join(each.join(rare, "w"), "w").select("query_id", "doc_key").distinct()
     met = pairs.join(q, "query_id").join(x.withColumnRenamed("ws", "xs"), "doc_key").select("query_id", "doc_key", F.size(F.array_intersect("ws", "xs")).alias("shared"))
 
-    often = spread.filter(F.col("count") > common).select("w")
-    sets = lambda df, key: df.join(often, "w").groupBy(key).agg(F.array_sort(F.collect_set("w")).alias("set"))
-    first = best_rows(sets(each, "doc_key"), ["set"], [F.col("doc_key")], k)
-    by_query = sets(asked, "query_id")
-    wanted = by_query.select("set").distinct()
-    theirs = first.groupBy("set").agg(F.sort_array(F.collect_list("doc_key")).alias("keys"))  # k at most
-    long = lambda df, name: df.select(F.col("set").alias(name), F.explode("set").alias("w"))
-    both = long(wanted, "set").join(long(theirs, "other"), "w").groupBy("set", "other").agg(F.count("*").alias("shared"))
-    both = both.join(theirs.withColumnRenamed("set", "other"), "other").select("set", F.explode("keys").alias("doc_key"), "shared")
-    both = best_rows(both, ["set"], [F.desc("shared"), F.col("doc_key")], k)
-    plain = by_query.join(both, "set").select("query_id", "doc_key", F.col("shared").cast("int").alias("shared"))
+    often = spread.filter(F.col("count") > common)
+    sets = lambda df, key: df.join(often, "w").groupBy(key).agg(F.array_sort(F.collect_set(F.struct("count", "w")))["w"].alias("set"))
+    ends = lambda df, name: df.withColumn("i", F.explode(F.sequence(F.lit(1), F.size("set")))).withColumn(name, F.slice("set", F.col("i"), F.size("set")))
+    begin = lambda df, name: df.withColumn("w", F.element_at(name, 1))
+    by_query = begin(sets(asked, "query_id"), "set")
+    wanted = begin(ends(by_query.select("set").distinct(), "end").select("set", "end"), "end")
+    first = ends(best_rows(sets(each, "doc_key"), ["set"], [F.col("doc_key")], k), "other")
+    first = best_rows(first.select("other", "doc_key"), ["other"], [F.col("doc_key")], k)
+    theirs = begin(first.groupBy("other").agg(F.collect_list("doc_key").alias("keys")), "other")  # k at most
+    both = wanted.select("w", "end").distinct().join(theirs, "w")
+    both = both.select("w", "end", F.explode("keys").alias("doc_key"), F.size(F.array_intersect("end", "other")).alias("shared"))
+    # joined by the first word as well, for an exchange of their own: many sets have the same end, many queries the same set
+    both = wanted.join(best_rows(both, ["end"], [F.desc("shared"), F.col("doc_key")], k).drop("rank"), ["w", "end"])
+    both = both.groupBy("set", "doc_key").agg(F.max("shared").alias("shared"))
+    both = begin(best_rows(both, ["set"], [F.desc("shared"), F.col("doc_key")], k), "set")
+    plain = by_query.join(both, ["w", "set"]).select("query_id", "doc_key", "shared")
 
     found = met.unionByName(plain).groupBy("query_id", "doc_key").agg(F.max("shared").alias("shared"))
     best = best_rows(found, ["query_id"], [F.desc("shared"), F.col("doc_key")], k)

@@ -129,6 +129,36 @@ def test_title_search_is_exact(spark, common):
     assert {(r["query_id"], r["rank"]): (r["doc_key"], r["overlap"]) for r in got} == want
 
 
+def rows_of_joins(df):
+    """Rows that the joins of a finished plan have made."""
+
+    def made(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return made(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return made(node.plan())
+        children, metric = node.children(), node.metrics().get("numOutputRows")
+        own = metric.get().value() if kind.endswith("JoinExec") and metric.isDefined() else 0
+        return own + sum(made(children.apply(i)) for i in range(children.size()))
+
+    return made(df._jdf.queryExecution().executedPlan())
+
+
+def test_title_search_by_common_words_does_not_pair_all_sets(spark):
+    """One word is in all titles, and every set of words is another: their product is no work that has to be done."""
+    texts = [f"note {kind} n{i}" for i in range(40) for kind in ("en s0", "en s1", "en s2", "de s0", "de s1", "de s2", "fr s0", "fr s1")]
+    asked, index = list(enumerate(texts)), [(i, f"{t} again" if i % 3 == 0 else t) for i, t in enumerate(texts)]
+    df = P.title_search(spark.createDataFrame(asked, "query_id long, title string"), spark.createDataFrame(index, "doc_key long, title string"), 3, 0)
+    got = {(r["query_id"], r["rank"]): (r["doc_key"], r["overlap"]) for r in df.collect()}
+    sets, want = [(k, set(x.split())) for k, x in index], {}
+    for i, t in asked:
+        q = set(t.split())
+        want |= {(i, n + 1): (k, -s) for n, (s, k) in enumerate(sorted((-round(len(q & x) / len(q), 4), k) for k, x in sets)[:3])}
+    assert got == want
+    assert rows_of_joins(df) < len(asked) * len(index) / 2
+
+
 def test_one_answer_for_a_key(spark):
     rows = [("10.1/a", "crossref", True, "B", None), ("10.1/a", "doi.org", True, "", None), ("10.1/a", "doi.org", False, None, "e"), ("10.1/b", "osti", True, "no", None),
         ("10.1/b", "datacite", False, None, "gone"), ("10.2172/c", "osti", True, "yes", None), ("10.2172/c", "doi.org", True, "x", None)]
